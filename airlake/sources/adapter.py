@@ -140,15 +140,15 @@ def airports_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame
 
 
 def airlines_from_nations(nation: DataFrame) -> DataFrame:
-    """Every airline twice, once active and once not; one code in six is missing."""
-    return nation.where("n_nationkey % 6 <> 5").selectExpr(
-        "n_nationkey as n", "n_name", "explode(array(0, 1)) as copy"
-    ).selectExpr(
+    """Every airline twice, once active and once not; one in six has no valid code."""
+    copies = nation.selectExpr("n_nationkey as n", "n_name", "explode(array(0, 1)) as copy")
+    return copies.selectExpr(
         "cast(n * 2 + copy as string) as airline_id",
         "if(copy = 0, n_name, concat('A former ', n_name)) as name",
         "cast(null as string) as alias",
         "if(copy = 0, cast(n as string), '') as iata",
-        f"if(copy = 0, lower({_prefix('n')}), concat({_prefix('n')}, ' ')) as icao",
+        f"""case when n % 6 = 5 then if(copy = 0, '-', null) when copy = 0 then lower({_prefix('n')})
+                else concat({_prefix('n')}, ' ') end as icao""",
         "concat('CALL', n) as callsign",
         "concat('Country ', n % 7) as country",
         "case when copy = 0 then 'Y' when n % 2 = 0 then 'N' else null end as active",
@@ -180,13 +180,13 @@ def registry_from_customers(customer: DataFrame) -> DataFrame:
 
 
 def air_quality_from_events(events: DataFrame, supplier: DataFrame) -> DataFrame:
-    """Every snapshot hour at the first ten airports."""
+    """One reading per airport and hour for the airports the events are assigned to."""
     hours = events.selectExpr(
         f"""({EPOCH} + ((unix_seconds(cast(ts as timestamp)) - {EPOCH}) div 10
-             div {SNAPSHOT_SECONDS} + 1) * {SNAPSHOT_SECONDS}) div 3600 as h"""
+             div {SNAPSHOT_SECONDS} + 1) * {SNAPSHOT_SECONDS}) div 3600 as h""",
+        "(event_id div 5) % 10 as k",
     ).distinct()
-    listed = hours.selectExpr("h", "explode(sequence(0L, 9L)) as k")
-    known = listed.join(supplier.where("s_suppkey < 10").selectExpr("s_suppkey as k"), "k")
+    known = hours.join(supplier.selectExpr("s_suppkey as k"), "k")
     return known.selectExpr(
         f"if(k % 2 = 0, {_ident('k')}, concat(lower({_ident('k')}), ' ')) as airport_icao",
         f"{_iata('k')} as airport_iata",
