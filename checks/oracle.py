@@ -15,24 +15,17 @@ SQL_NAMES = {
     "fct_airport_hourly_air_quality": "panel",
 }
 
-# Double columns, rounded like the Spark side rounds them.
-DOUBLES = set(
-    """longitude latitude baro_altitude velocity true_track vertical_rate geo_altitude
-    barometric_altitude_m geometric_altitude_m barometric_altitude_ft ground_speed_ms
-    ground_speed_kt heading_deg vertical_rate_ms position_age_seconds distance_km avg_altitude_m
-    median_altitude_m avg_ground_speed_kt max_ground_speed_kt avg_aircraft_per_snapshot
-    avg_distance_km no2_ugm3 pm25_ugm3 pm10_ugm3 ozone_ugm3 max_altitude_m on_ground_ratio
-    nitrogen_dioxide pm2_5 pm10 ozone""".split()
-)
+# Columns whose last digits differ between engines; both sides round them.
+INEXACT = {"distance_km", "on_ground_ratio"}
 
 
 def columns(names: str) -> str:
     return ", ".join(
-        f"round({name}, 6) as {name}" if name in DOUBLES else name for name in names.split()
+        f"round({name}, 6) as {name}" if name in INEXACT else name for name in names.split()
     )
 
 
-def rounded(table: str, doubles: str = "") -> str:
+def whole(table: str, doubles: str = "") -> str:
     """All columns of a table, the named ones rounded."""
     replaced = ", ".join(f"round({name}, 6) as {name}" for name in doubles.split())
     return query(f"select * {f'replace ({replaced})' if replaced else ''} from {table}")
@@ -204,27 +197,13 @@ ORACLE: dict[str, str] = {
             ]
         )
     ),
-    "stg_states": rounded(
-        "stg_states",
-        "longitude latitude barometric_altitude_m geometric_altitude_m ground_speed_ms "
-        "heading_deg vertical_rate_ms",
-    ),
-    "stg_airports": rounded("stg_airports", "latitude longitude"),
-    "stg_air_quality": rounded(
-        "stg_air_quality",
-        "latitude longitude no2_ugm3 pm25_ugm3 pm10_ugm3 ozone_ugm3",
-    ),
-    "stg_registry": rounded("stg_registry"),
-    "stg_airlines": rounded("stg_airlines"),
-    "dedup_latest": rounded(
-        "deduplicated",
-        "longitude latitude barometric_altitude_m geometric_altitude_m ground_speed_ms "
-        "heading_deg vertical_rate_ms",
-    ),
-    "positions": rounded(
-        "positions",
-        "latitude longitude barometric_altitude_m geometric_altitude_m barometric_altitude_ft ground_speed_ms ground_speed_kt heading_deg vertical_rate_ms position_age_seconds",
-    ),
+    "stg_states": whole("stg_states"),
+    "stg_airports": whole("stg_airports"),
+    "stg_air_quality": whole("stg_air_quality"),
+    "stg_registry": whole("stg_registry"),
+    "stg_airlines": whole("stg_airlines"),
+    "dedup_latest": whole("deduplicated"),
+    "positions": whole("positions"),
     "airline_prefix": query(
         "select upper(left(callsign, 3)) as airline_icao, count(*) as rows from positions group by all"
     ),
@@ -250,11 +229,11 @@ ORACLE: dict[str, str] = {
         f"""select {columns('aircraft_icao24 snapshot_at is_on_ground barometric_altitude_m')}
         from low_positions"""
     ),
-    "dim_airport": rounded("dim_airport", "latitude longitude"),
-    "dim_airline": rounded("dim_airline"),
-    "aircraft_profile": rounded("profile", "max_altitude_m max_ground_speed_kt on_ground_ratio"),
-    "most_frequent_callsign": rounded("usual_callsign"),
-    "dim_aircraft": rounded("dim_aircraft", "max_altitude_m max_ground_speed_kt on_ground_ratio"),
+    "dim_airport": whole("dim_airport"),
+    "dim_airline": whole("dim_airline"),
+    "aircraft_profile": whole("profile", "on_ground_ratio"),
+    "most_frequent_callsign": whole("usual_callsign"),
+    "dim_aircraft": whole("dim_aircraft", "on_ground_ratio"),
     "near_airports": query(
         "select "
         + columns(
@@ -265,13 +244,10 @@ ORACLE: dict[str, str] = {
         )
         + " from near"
     ),
-    "traffic_hourly": rounded(
-        "traffic_hourly",
-        "avg_altitude_m median_altitude_m avg_ground_speed_kt max_ground_speed_kt avg_aircraft_per_snapshot",
-    ),
-    "airport_activity": rounded("airport_activity", "avg_distance_km avg_altitude_m max_ground_speed_kt"),
-    "airline_airport": rounded("airline_airport"),
-    "traffic_air_panel": rounded("panel", "no2_ugm3 pm25_ugm3 pm10_ugm3 ozone_ugm3"),
+    "traffic_hourly": whole("traffic_hourly"),
+    "airport_activity": whole("airport_activity"),
+    "airline_airport": whole("airline_airport"),
+    "traffic_air_panel": whole("panel"),
     "overview": query(
         """select count(*) as positions, count(distinct aircraft_icao24) as aeronefs,
             count(distinct snapshot_at) as snapshots, min(snapshot_at) as debut,

@@ -58,31 +58,26 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return _warehouses[key]
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits, so that engines can be compared by value."""
-    return df.select(
-        *[
-            F.round(name, digits).alias(name) if kind == "double" else F.col(name)
-            for name, kind in df.dtypes
-        ]
-    )
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    """Round columns whose last digits depend on the order of additions or on a math library."""
+    return df.withColumns({name: F.round(name, 6) for name in names})
 
 
 def _bronze(spark: SparkSession, folder: str):
     return warehouse(spark, folder).bronze
 
 
-def _model(name: str) -> Query:
+def _model(name: str, *inexact: str) -> Query:
     """The model planned over its inputs."""
-    return lambda spark, folder: rounded(warehouse(spark, folder).plan(name))
+    return lambda spark, folder: rounded(warehouse(spark, folder).plan(name), *inexact)
 
 
-def _over(function, *models: str) -> Query:
+def _over(function, *models: str, inexact: tuple[str, ...] = ()) -> Query:
     """A function of written models."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         w = warehouse(spark, folder)
-        return rounded(function(*[w[model] for model in models]))
+        return rounded(function(*[w[model] for model in models]), *inexact)
 
     return run
 
@@ -109,7 +104,7 @@ _landed: set[str] = set()
 
 def scan_states(spark, folder):
     states = lake.scan_states(spark, lake_root(spark, folder))
-    return rounded(states.withColumn("sensors", F.array_join("sensors", ",")))
+    return states.withColumn("sensors", F.array_join("sensors", ","))
 
 
 def scan_reference(spark, folder):
@@ -151,7 +146,7 @@ def _payloads(spark, folder):
 
 def decode_states(spark, folder):
     decoded = landing.decode_states(_payloads(spark, folder), "france", F.expr(NOW), "adapter")
-    return rounded(decoded.withColumn("sensors", F.array_join("sensors", ",")))
+    return decoded.withColumn("sensors", F.array_join("sensors", ","))
 
 
 def audit_snapshots(spark, folder):
@@ -188,7 +183,7 @@ def flatten_hourly(spark, folder):
         (k % 180).cast("double").alias("longitude"),
         F.to_json(F.struct(hourly.alias("hourly")), {"ignoreNullFields": "false"}).alias("value"),
     )
-    return rounded(landing.flatten_hourly(payloads, F.expr(NOW), "adapter"))
+    return landing.flatten_hourly(payloads, F.expr(NOW), "adapter")
 
 
 def _written_csv(spark, folder, name, df, **options) -> str:
@@ -302,7 +297,7 @@ def phase_counts(spark, folder):
 
 
 def incremental_slice(spark, folder):
-    return rounded(incremental.incremental_slice(_bronze(spark, folder).states, MARK))
+    return incremental.incremental_slice(_bronze(spark, folder).states, MARK)
 
 
 def _early_facts(spark, folder, path):
@@ -316,7 +311,7 @@ def append_new(spark, folder):
     root, path = lake_root(spark, folder), work_folder(spark, folder, "append/facts")
     _early_facts(spark, folder, path)
     incremental.append_new(spark, root, path)
-    return rounded(incremental.read_facts(spark, path).select(*FACT_COLUMNS))
+    return incremental.read_facts(spark, path).select(*FACT_COLUMNS)
 
 
 FACT_COLUMNS = [
@@ -332,7 +327,7 @@ def upsert_replay(spark, folder):
     replayed = _bronze(spark, folder).states.where(F.col("snapshot_ts") > MARK - OVERLAP_SECONDS)
     for _ in range(2):
         incremental.rebuild_partitions(spark, root, path, replayed)
-    return rounded(incremental.read_facts(spark, path).select(*FACT_COLUMNS))
+    return incremental.read_facts(spark, path).select(*FACT_COLUMNS)
 
 
 def stream_upsert(spark, folder):
@@ -342,7 +337,7 @@ def stream_upsert(spark, folder):
         checkpoint = work_folder(spark, folder, "stream/facts-checkpoint")
         stream.start_upsert(spark, root, path, checkpoint, max_files=150).awaitTermination()
         _streamed.add(path)
-    return rounded(incremental.read_facts(spark, path).select(*FACT_COLUMNS))
+    return incremental.read_facts(spark, path).select(*FACT_COLUMNS)
 
 
 def stream_hourly(spark, folder):
@@ -406,7 +401,7 @@ def source_freshness(spark, folder):
     bronze = _bronze(spark, folder)
     now = F.expr("timestamp '2024-01-31 06:00:00'")
     parts = [C.source_freshness(name, getattr(bronze, name), now) for name in C.FRESHNESS_HOURS]
-    return rounded(union_all(parts))
+    return rounded(union_all(parts), "age_hours")
 
 
 def latest_nonempty(spark, folder):
@@ -437,9 +432,7 @@ QUERIES: dict[str, Query] = {
     "stg_registry": _model("stg_registry"),
     "stg_airlines": _model("stg_airlines"),
     # positions and expressions
-    "dedup_latest": lambda s, f: rounded(
-        keep_latest(warehouse(s, f)["stg_states"], P.GRAIN, "ingested_at")
-    ),
+    "dedup_latest": lambda s, f: keep_latest(warehouse(s, f)["stg_states"], P.GRAIN, "ingested_at"),
     "positions": _model("fct_aircraft_positions"),
     "airline_prefix": airline_prefixes,
     "haversine": haversine,
@@ -455,13 +448,15 @@ QUERIES: dict[str, Query] = {
     "dim_airport": _model("dim_airport"),
     "dim_airline": _model("dim_airline"),
     "aircraft_profile": _over(
-        lambda p: M.aircraft_profile(M.aircraft_usage(p)), "fct_aircraft_positions"
+        lambda p: M.aircraft_profile(M.aircraft_usage(p)),
+        "fct_aircraft_positions",
+        inexact=("on_ground_ratio",),
     ),
     "most_frequent_callsign": _over(
         lambda p: M.usual_callsign(M.aircraft_usage(p)), "fct_aircraft_positions"
     ),
-    "dim_aircraft": _model("dim_aircraft"),
-    "near_airports": _model("int_positions_near_airports"),
+    "dim_aircraft": _model("dim_aircraft", "on_ground_ratio"),
+    "near_airports": _model("int_positions_near_airports", "distance_km"),
     "traffic_hourly": _model("fct_traffic_hourly"),
     "airport_activity": _model("fct_airport_activity"),
     "airline_airport": _model("fct_airline_airport_activity"),
@@ -469,7 +464,11 @@ QUERIES: dict[str, Query] = {
     # consumption
     "overview": _over(A.overview, "fct_aircraft_positions"),
     "active_airports": _over(A.active_airports, "fct_airport_activity"),
-    "freshness": _over(lambda p: A.signal_status(p, F.expr(NOW)), "fct_aircraft_positions"),
+    "freshness": _over(
+        lambda p: A.signal_status(p, F.expr(NOW)),
+        "fct_aircraft_positions",
+        inexact=("age_minutes", "span_hours"),
+    ),
     "latest_region": _over(A.latest_region, "fct_aircraft_positions"),
     "snapshot_series": _over(A.snapshot_series, "fct_aircraft_positions"),
     "latest_snapshot": _over(A.latest_snapshot, "fct_aircraft_positions"),
@@ -489,9 +488,19 @@ QUERIES: dict[str, Query] = {
     ),
     "manufacturer_mix": _over(A.manufacturer_mix, "dim_aircraft"),
     "top_aircraft_types": _over(A.top_aircraft_types, "dim_aircraft"),
-    "dashboard_correlation": _over(A.dashboard_correlation, "fct_airport_hourly_air_quality"),
-    "corr_levels": _over(A.correlation_study, "fct_airport_hourly_air_quality"),
-    "corr_per_airport": _over(A.correlation_per_airport, "fct_airport_hourly_air_quality"),
+    "dashboard_correlation": _over(
+        A.dashboard_correlation,
+        "fct_airport_hourly_air_quality",
+        inexact=("r_naive", "r_within"),
+    ),
+    "corr_levels": _over(
+        A.correlation_study,
+        "fct_airport_hourly_air_quality",
+        inexact=("naive", "within", "resid"),
+    ),
+    "corr_per_airport": _over(
+        A.correlation_per_airport, "fct_airport_hourly_air_quality", inexact=("r",)
+    ),
     "corr_negative": _over(
         lambda p: A.negative_airports(A.correlation_per_airport(p)), "fct_airport_hourly_air_quality"
     ),
@@ -501,6 +510,7 @@ QUERIES: dict[str, Query] = {
             "no2_ugm3", ["airport_id", "hour_of_day"], "no2_resid",
         ).select("airport_id", "activity_hour", "ac_within", "no2_resid"),
         "fct_airport_hourly_air_quality",
+        inexact=("ac_within", "no2_resid"),
     ),
     "scatter_panel": _over(A.scatter_panel, "fct_airport_hourly_air_quality"),
     "panel_summary": _over(A.panel_summary, "fct_airport_hourly_air_quality"),
@@ -526,6 +536,6 @@ def entry(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events to hourly traffic in one plan."""
     prepare(spark)
     states = bronze_from_tables(spark, folder).states
-    return rounded(M.fct_traffic_hourly(P.positions_from_states(states)))
+    return M.fct_traffic_hourly(P.positions_from_states(states))
 
 
