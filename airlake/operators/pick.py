@@ -15,9 +15,7 @@ def _pick(df: DataFrame, keys: list[str], order: list[Column], choose) -> DataFr
     ranks = [column.alias(f"_rank{i}") for i, column in enumerate(order)]
     rest = [name for name in df.columns if name not in keys]
     picked = df.groupBy(*keys).agg(choose(F.struct(*ranks, *rest)).alias("_row"))
-    return picked.select(
-        *[F.col(name) if name in keys else F.col("_row")[name].alias(name) for name in df.columns]
-    )
+    return picked.select(*[name if name in keys else f"_row.{name}" for name in df.columns])
 
 
 def keep_latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:

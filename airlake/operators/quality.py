@@ -1,7 +1,7 @@
 """Data checks whose results are small frames.
 
-All row-wise checks of one table share one scan and one aggregate. Checks that need a
-grouping or another table (uniqueness, references) count per key first.
+All checks of one table share one scan. Checks that need a grouping or another table
+(uniqueness, references) count per key first.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ class Contract:
     """What a table promises about its columns."""
 
     not_null: tuple[str, ...] = ()
+    # At most one column.
     unique: tuple[str, ...] = ()
     ranges: tuple[Range, ...] = ()
     values: dict[str, tuple[str, ...]] = field(default_factory=dict)
@@ -59,19 +60,34 @@ class Contract:
         return checks
 
 
-def row_report(name: str, df: DataFrame, contract: Contract) -> DataFrame:
-    """Violation counts of all row-wise checks of one table, from a single aggregate."""
+def table_report(name: str, df: DataFrame, contract: Contract) -> DataFrame:
+    """One row per row-wise and uniqueness check of a table, from a single scan.
+
+    With a unique column the violations are first counted per value of it, which also shows
+    the repeated values; nulls are not values.
+    """
     checks = contract.row_checks()
-    counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (*_, bad) in enumerate(checks)])
+    names = [f"c{i}" for i in range(len(checks))]
+    bad = [F.count_if(violated).alias(c) for c, (*_, violated) in zip(names, checks)]
+    labels = [(column, check, severity) for column, check, severity, _ in checks]
+    if contract.unique:
+        (key,) = contract.unique
+        per_value = df.groupBy(F.col(key).alias("_value")).agg(*bad, F.count(F.lit(1)).alias("_n"))
+        repeats = F.count_if((F.col("_n") > 1) & F.col("_value").isNotNull())
+        totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+        counts = per_value.agg(*totals, repeats.alias("_repeats"))
+        names, labels = [*names, "_repeats"], [*labels, (key, "unique", ERROR)]
+    else:
+        counts = df.agg(*bad)
     lines = [
         F.struct(
             F.lit(name).alias("table_name"),
             F.lit(column).alias("column_name"),
             F.lit(check).alias("check_name"),
             F.lit(severity).alias("severity"),
-            F.col(f"c{i}").alias("violations"),
+            F.col(c).alias("violations"),
         )
-        for i, (column, check, severity, _) in enumerate(checks)
+        for c, (column, check, severity) in zip(names, labels)
     ]
     return counts.select(F.inline(F.array(*lines)))
 

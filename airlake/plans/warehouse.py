@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from airlake.operators.quality import (
     gate,
     reference_report,
-    row_report,
+    table_report,
     union_all,
-    unique_report,
 )
 from airlake.plans import marts, positions, staging
 from airlake.plans.contracts import CONTRACTS
@@ -114,9 +113,7 @@ class Warehouse:
         chosen = models or list(CONTRACTS)
         parts = []
         for model in chosen:
-            contract = CONTRACTS[model]
-            parts.append(row_report(model, self[model], contract))
-            parts += [unique_report(model, self[model], column) for column in contract.unique]
+            parts.append(table_report(model, self[model], CONTRACTS[model]))
         for child, contract in CONTRACTS.items():
             for column, (parent, parent_column) in contract.references.items():
                 due = child in chosen if known is None else (
@@ -152,6 +149,7 @@ class Warehouse:
         for schema in sorted({schema_of(model) for model in TABLES}):
             self.spark.sql(f"create database if not exists {schema} location '{self.root}/{schema}'")
         for model in TABLES:
+            self[model]  # built on first use
             name = f"{schema_of(model)}.{model}"
             self.spark.sql(f"drop table if exists {name}")
             self.spark.catalog.createTable(name, path=self.path(model), source="parquet")

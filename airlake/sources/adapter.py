@@ -54,8 +54,18 @@ def _iata(k: str) -> str:
     return f"if({k} % 8 = 7, '', {letters})"
 
 
+# Declared, so that reading a table does not first have to look into its files.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+}
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(TABLES[table]).parquet(f"{folder}/{table}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -212,11 +222,15 @@ def air_quality_from_events(events: DataFrame, supplier: DataFrame) -> DataFrame
     )
 
 
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    events = read(spark, folder, "events").select("event_id", "ts", "user_id")
+    return spread(events, "event_id")
+
+
 def bronze_from_tables(spark: SparkSession, folder: str) -> Bronze:
     nation = read(spark, folder, "nation")
     supplier = read(spark, folder, "supplier")
-    events = read(spark, folder, "events").select("event_id", "ts", "user_id")
-    events = spread(events, "event_id")
+    events = read_events(spark, folder)
     return Bronze(
         states=states_from_events(events, nation),
         airports=airports_from_suppliers(supplier, nation),

@@ -30,8 +30,9 @@ def states_path(root: str) -> str:
 def scan_states(spark: SparkSession, root: str) -> DataFrame:
     """All snapshots under the lake root, with their partition columns.
 
-    The declared schema fills columns that older files lack with nulls. Files are found at
-    any depth, so a lake with one file per snapshot directly in the hour folder reads too.
+    The declared schema fills columns that older files lack with nulls. A lake with its files
+    directly in the hour folders reads too; ``write_states`` of that scan into a new root
+    moves it to one folder per snapshot (the two layouts cannot share a root).
     """
     return spark.read.schema(LAKE_STATES).parquet(states_path(root)).select(*LAKE_STATES.names)
 
@@ -49,7 +50,10 @@ def with_partitions(states: DataFrame) -> DataFrame:
 
 
 def write_states(states: DataFrame, root: str) -> None:
-    """Land snapshots; each one replaces an earlier version of itself."""
+    """Land snapshots; each one replaces an earlier version of itself.
+
+    The rebalance puts a snapshot into few files and splits one that outgrows a task.
+    """
     leaves = ["ingest_date", "ingest_hour", "snapshot"]
     (
         with_partitions(states)

@@ -8,7 +8,10 @@ be repeated, and handles replays and late snapshots.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airlake.plans.positions import positions_from_states
 from airlake.plans.warehouse import PARTITIONS, write_table
@@ -71,19 +74,32 @@ def touched_since(spark: SparkSession, lake_root: str, modified_after: str) -> D
     )
 
 
+def hours_predicate(hours: list[tuple[dt.date, int]]) -> Column:
+    """Literal filter for exactly these partitions; dates sharing their hours share a clause."""
+    by_date: dict[dt.date, set[int]] = {}
+    for date, hour in hours:
+        by_date.setdefault(date, set()).add(hour)
+    dates: dict[frozenset[int], list[dt.date]] = {}
+    for date, day_hours in sorted(by_date.items()):
+        dates.setdefault(frozenset(day_hours), []).append(date)
+    clauses = [
+        F.col("ingest_date").isin(*days) & F.col("ingest_hour").isin(*sorted(day_hours))
+        for day_hours, days in dates.items()
+    ]
+    return reduce(lambda a, b: a | b, clauses, F.lit(False))
+
+
 def rebuild_partitions(spark: SparkSession, lake_root: str, path: str, touched: DataFrame) -> None:
     """Recompute the touched hours from raw data and replace them in the fact table.
 
-    The dates (one per day of data) are collected so that they prune the lake scan; the
-    exact hours are kept by a semi join.
+    The hours (at most 24 per day of data) are collected and become a literal partition
+    filter, so that the lake is neither scanned beyond them nor shuffled to find them.
     """
-    hours = touched.select(*HOUR).distinct()
-    dates = [row[0] for row in hours.select("ingest_date").distinct().collect()]
-    if not dates:
+    hours = [tuple(row) for row in touched.select(*HOUR).distinct().collect()]
+    if not hours:
         return
-    states = scan_states(spark, lake_root).where(F.col("ingest_date").isin(*dates))
-    rebuilt = positions_from_states(states.join(hours, HOUR, "left_semi"))
-    write_table(rebuilt, path, HOUR, partitionOverwriteMode="dynamic")
+    states = scan_states(spark, lake_root).where(hours_predicate(hours))
+    write_table(positions_from_states(states), path, HOUR, partitionOverwriteMode="dynamic")
 
 
 def full_refresh(spark: SparkSession, lake_root: str, path: str) -> None:

@@ -23,7 +23,7 @@ from airlake.plans import staging as S
 from airlake.plans.warehouse import Warehouse, write_table
 from airlake.session import prepare, shared_folder
 from airlake.sources import landing, lake
-from airlake.sources.adapter import bronze_from_tables, read
+from airlake.sources.adapter import bronze_from_tables, read, read_events, states_from_events
 from airlake.sources.schemas import STATE_VECTOR
 from airlake.streaming import incremental, stream
 
@@ -535,7 +535,7 @@ QUERIES: dict[str, Query] = {
 def entry(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events to hourly traffic in one plan."""
     prepare(spark)
-    states = bronze_from_tables(spark, folder).states
+    states = states_from_events(read_events(spark, folder), read(spark, folder, "nation"))
     return M.fct_traffic_hourly(P.positions_from_states(states))
 
 
