@@ -80,6 +80,7 @@ class Warehouse:
         self.spark = prepare(spark)
         self.bronze = bronze
         self.root = root.rstrip("/")
+        self._views: dict[str, DataFrame] = {}
         self._written: dict[str, DataFrame] = {}
 
     def path(self, model: str) -> str:
@@ -92,7 +93,9 @@ class Warehouse:
     def __getitem__(self, model: str) -> DataFrame:
         """The model as its consumers see it; a table is built on first use."""
         if model in VIEWS:
-            return self.plan(model)
+            if model not in self._views:
+                self._views[model] = self.plan(model)
+            return self._views[model]
         if model not in self._written:
             self.build(model)
         return self._written[model]
@@ -145,7 +148,7 @@ class Warehouse:
     def register(self) -> None:
         """Publish the models: views as temporary views, tables in their schema's catalog."""
         for model in VIEWS:
-            self.plan(model).createOrReplaceTempView(model)
+            self[model].createOrReplaceTempView(model)
         for schema in sorted({schema_of(model) for model in TABLES}):
             self.spark.sql(f"create database if not exists {schema} location '{self.root}/{schema}'")
         for model in TABLES:
