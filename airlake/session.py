@@ -27,7 +27,11 @@ RUNTIME_SETTINGS = {
 }
 
 # Only settable when the session is created.
-STATIC_SETTINGS = {"spark.sql.codegen.cache.maxEntries": "1000"}
+STATIC_SETTINGS = {
+    "spark.sql.codegen.cache.maxEntries": "1000",
+    # Recording a Python stack trace per column expression slows plan building noticeably.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def build_session(app_name: str = "airlake", master: str | None = None, **settings) -> SparkSession:

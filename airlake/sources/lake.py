@@ -8,6 +8,7 @@ neither a read nor a merge of the others in that hour.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -21,6 +22,8 @@ REFERENCES = {
     "airlines": AIRLINES,
 }
 DEFAULT_RETENTION_DAYS = 180
+# Hours after which a landed reference should be fetched again.
+REFRESH_HOURS = {"airports": 24, "air_quality": 6, "registry": 25 * 24, "airlines": 25 * 24}
 
 
 def states_path(root: str) -> str:
@@ -86,6 +89,26 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/_audit/snapshots")
 
 
+def stale_references(spark: SparkSession, root: str, now: Column) -> DataFrame:
+    """Age of every reference in the lake and whether it is due; a missing one is due."""
+    parts = []
+    for name, hours in REFRESH_HOURS.items():
+        path = f"{root.rstrip('/')}/{name}"
+        written = F.lit(None).cast("timestamp")
+        if exists(spark, path):
+            files = spark.read.schema(REFERENCES[name]).parquet(path)
+            written = files.select(F.max("_metadata.file_modification_time")).scalar()
+        age = (F.unix_micros(now) - F.unix_micros(written)) / F.lit(3.6e9)
+        parts.append(
+            spark.range(1).select(
+                F.lit(name).alias("source_name"),
+                age.alias("age_hours"),
+                F.coalesce(age > hours, F.lit(True)).alias("is_due"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Pruning ------------------------------------------------------------------------------
 
 

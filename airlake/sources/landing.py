@@ -163,3 +163,11 @@ def audit_files(spark: SparkSession, path: str) -> DataFrame:
             F.col("modificationTime").alias("modified_at"),
         )
     )
+
+
+def audit_reference(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
+    """Audit row of one landed reference file: what was read from it, and its checksum."""
+    rows = table.select(F.count(F.lit(1))).scalar()
+    return audit_files(spark, path).withColumns(
+        {"rows": rows, "columns": F.array(*[F.lit(name) for name in table.columns])}
+    )

@@ -144,3 +144,14 @@ def test_references_are_fully_refreshed(spark, root):
     lake.write_reference(airlines.withColumn("name", F.lit("B")), root, "airlines")
     got = lake.scan_reference(spark, root, "airlines").collect()
     assert [r["name"] for r in got] == ["B"]
+
+
+def test_missing_and_old_references_are_due(spark, root):
+    airlines = spark.createDataFrame([("1", "A", None, None, "AAA", None, None, "Y")], lake.AIRLINES)
+    lake.write_reference(airlines, root, "airlines")
+    soon = F.current_timestamp() + F.expr("interval 1 hour")
+    due = {r["source_name"]: r["is_due"] for r in lake.stale_references(spark, root, soon).collect()}
+    assert due == {"airports": True, "air_quality": True, "registry": True, "airlines": False}
+    later = F.current_timestamp() + F.expr("interval 26 days")
+    old = lake.stale_references(spark, root, later).where("source_name = 'airlines'").first()
+    assert old["is_due"] and old["age_hours"] > 25 * 24

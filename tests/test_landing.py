@@ -219,3 +219,6 @@ def test_file_audit(spark, written):
     row = landing.audit_files(spark, path).first()
     assert row["sha256"] == hashlib.sha256(AIRPORTS_CSV.encode()).hexdigest()
     assert row["size_bytes"] == len(AIRPORTS_CSV)
+    table = landing.read_text_csv(spark, path)
+    audit = landing.audit_reference(spark, path, table).first()
+    assert audit["rows"] == 2 and audit["columns"] == table.columns and len(audit["sha256"]) == 64

@@ -151,13 +151,58 @@ def test_places_at_one_spot_give_the_smallest_id(spark):
     assert nearest_within(*frames(spark, positions, places), 8.0, place_id="place").first()["place"] == 4
 
 
-def test_positions_are_not_shuffled_when_places_are_small(spark):
-    positions = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr(
-        "event_id", "45 + event_id % 5 / 10.0D as latitude", "2 + event_id % 7 / 10.0D as longitude"
+@pytest.fixture
+def hot_cell(spark, tmp_path):
+    """A third of all positions beside one place, and a written table of places."""
+    positions = spark.range(30000).selectExpr(
+        "id",
+        "if(id % 3 = 0, 45.0D, 41 + (id * 7919) % 10000 / 1000.0D) as latitude",
+        "if(id % 3 = 0, 2.0D, -5 + (id * 104729) % 15000 / 1000.0D) as longitude",
     )
-    _, places = frames(spark, [(1, 0.0, 0.0)], [(1, 45.0, 2.0)])
-    df = nearest_within(positions, places.hint("broadcast"), 8.0, place_id="place")
-    assert df.columns == ["event_id", "latitude", "longitude", "distance_km", "place"]
+    places = spark.range(2000).selectExpr(
+        "cast(id as int) as place",
+        "41 + (id * 617) % 10000 / 1000.0D as latitude",
+        "-5 + (id * 911) % 15000 / 1000.0D as longitude",
+    )
+    places = places.union(spark.createDataFrame([(5000, 45.01, 2.0)], places.schema))
+    positions.write.parquet(str(tmp_path / "positions"))
+    places.write.parquet(str(tmp_path / "places"))
+    return spark.read.parquet(str(tmp_path / "positions")), spark.read.parquet(str(tmp_path / "places"))
+
+
+def test_a_hot_cell_gives_the_same_rows_broadcast_or_shuffled(spark, hot_cell, rows):
+    positions, places = hot_cell
+
+    def matched():
+        return nearest_within(positions, places, 8.0, place_id="place").select("id", "place")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    broadcast = matched()
+    text = plan(broadcast)
+    side = text[: text.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in side and "Exchange hashpartitioning" not in side
+    expected = rows(broadcast)
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        shuffled = matched()
+        assert "SortMergeJoin" in plan(shuffled) and "Broadcast" not in plan(shuffled)
+        assert rows(shuffled) == expected and len(expected) > 10000
+    finally:
+        for key in changed:
+            spark.conf.unset(key)
+
+
+def test_cells_are_about_as_wide_as_the_radius():
     assert cells_per_degree(8.0) == 13 and cells_per_degree(500.0) == 1
 
 
