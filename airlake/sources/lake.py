@@ -81,12 +81,12 @@ def write_reference(df: DataFrame, root: str, name: str) -> None:
     )
 
 
-def append_audit(audit: DataFrame, root: str) -> None:
-    audit.write.mode("append").parquet(f"{root.rstrip('/')}/_audit/snapshots")
+def append_audit(audit: DataFrame, root: str, kind: str = "snapshots") -> None:
+    audit.write.mode("append").parquet(f"{root.rstrip('/')}/_audit/{kind}")
 
 
-def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/_audit/snapshots")
+def read_audit(spark: SparkSession, root: str, kind: str = "snapshots") -> DataFrame:
+    return spark.read.parquet(f"{root.rstrip('/')}/_audit/{kind}")
 
 
 def stale_references(spark: SparkSession, root: str, now: Column) -> DataFrame:

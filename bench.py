@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from airlake.plans.warehouse import TABLES  # noqa: E402
+from airlake.plans.warehouse import WAVES  # noqa: E402
 from airlake.session import build_session  # noqa: E402
 from checks import registry  # noqa: E402
 
@@ -35,8 +35,8 @@ def run(df) -> None:
 
 def build_all(spark, folder: str) -> None:
     w = registry.warehouse(spark, folder)
-    for model in TABLES:
-        w.build(model)
+    for wave in WAVES:
+        w.build_all(wave)
 
 
 def main() -> None:
