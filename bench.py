@@ -48,6 +48,8 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+            # Throughput collector, and room for the code of some hundred generated stages.
+            "spark.driver.extraJavaOptions": "-XX:+UseParallelGC -XX:ReservedCodeCacheSize=512m",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
