@@ -26,7 +26,6 @@ from airlake.functions.moments import (
     second_boundaries,
 )
 from airlake.functions.text import airline_prefix, display_label, strip
-from airlake.operators.keys import join_on
 from airlake.operators.median import grouped_median
 from airlake.operators.pick import most_frequent
 from airlake.operators.proximity import nearest_within

@@ -139,9 +139,11 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 def useful_registry(entries: DataFrame) -> DataFrame:
     """Entries with an address and at least a type, a manufacturer or an operator."""
-    filled = [F.coalesce(F.col(name), F.lit("")) != "" for name in ("typecode", "manufacturername", "operator")]
+    said = F.concat(
+        *[F.coalesce(name, F.lit("")) for name in ("typecode", "manufacturername", "operator")]
+    )
     return entries.select(*REGISTRY.names).where(
-        (strip(F.coalesce("icao24", F.lit(""))) != "") & (filled[0] | filled[1] | filled[2])
+        (strip(F.coalesce("icao24", F.lit(""))) != "") & (said != "")
     )
 
 

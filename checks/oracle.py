@@ -105,7 +105,11 @@ def pollutant(name: str, column: str) -> str:
     )
 
 
-REPEATS = "select '{0}' as table_name, '{1}' as column_name, 'unique' as check_name, 'error' as severity, count(*) as violations from (select {2} as key from {3} group by 1 having count(*) > 1 and key is not null)"
+REPEATS = (
+    "select '{0}' as table_name, '{1}' as column_name, 'unique' as check_name, 'error' as severity, "
+    "count(*) as violations from (select {2} as key from {3} group by 1 "
+    "having count(*) > 1 and key is not null)"
+)
 
 TRACKED = """(values ('LFPG', 49.0128, 2.55), ('LFPO', 48.7233, 2.3794), ('LFLL', 45.7256, 5.0811),
     ('LFMN', 43.6584, 7.2159), ('LFML', 43.4393, 5.2214), ('LFBO', 43.6291, 1.3638),
