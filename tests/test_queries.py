@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import compare, connect
+from checks.oracle import ORACLE
+from checks.registry import QUERIES
 from tests.conftest import SMALL
 
 
@@ -16,13 +18,14 @@ def con():
 
 def test_sql_belongs_to_queries():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"lake_files"}
+    assert set(QUERIES) - set(ORACLE) == {"lake_files"}
+    assert set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_its_sql(spark, con, name):
-    assert compare(spark, con, SMALL, name, queries()[name], oracle_sql().get(name)) == ""
+    assert compare(spark, con, SMALL, name, QUERIES[name], ORACLE.get(name)) == ""
