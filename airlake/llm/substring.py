@@ -37,8 +37,8 @@ ANCHOR = 6
 BITS = 27
 # Buckets of the anchor pass: each owns a slice of the bitmap.
 BUCKETS = 256
-# Neighbourhoods compiled into one automaton at a time, by expectation.
-SHARD_ROWS = 20_000
+# Automata per shuffle partition, built one after the other, so that one stays small.
+SHARDS = 16
 
 
 def _anchors(space: WordSpace, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,8 +114,8 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
-def _neighbourhoods(width: int, bitmap):
-    """(doc_id, class, first, anchor, words, digest) of every proposed anchor occurrence."""
+def _neighbourhoods(width: int, bitmap, column: str):
+    """(doc_id, class, first, digest) of every proposed anchor occurrence, and ``column``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
@@ -132,16 +132,22 @@ def _neighbourhoods(width: int, bitmap):
                 last = np.append(at[new[1:] - 1], at[-1:]) + width if len(at) else at
                 words = [space.text(i, j) for i, j in zip(first, last)]
                 doc = space.doc[first]
+                if column == "anchor_words":
+                    extra = pa.StructArray.from_arrays(
+                        [pa.array(phrases[anchor[new]].view(np.int64)), pa.array(words, pa.string())],
+                        ["anchor", "words"],
+                    )
+                else:
+                    extra = pa.nulls(len(words), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(2).take(pa.array(doc)),
                         part.column(1).take(pa.array(doc)),
-                        pa.array(first - space.first[doc], pa.int64()),
-                        pa.array(phrases[anchor[new]].view(np.int64), pa.int64()),
-                        pa.array(words, pa.string()),
+                        pa.array((first - space.first[doc]).astype(np.int32)),
                         pa.array([hashlib.blake2b(w.encode(), digest_size=16).digest() for w in words], pa.binary()),
+                        extra,
                     ],
-                    ["doc_id", "class", "first", "anchor", "words", "digest"],
+                    ["doc_id", "class", "first", "digest", column],
                 )
 
     return run
@@ -251,29 +257,28 @@ def repeated_places(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     for bucket, bits in slices:
         bitmap[bucket * len(bits) : (bucket + 1) * len(bits)] = bits
     shared = spark.sparkContext.broadcast(bytes(bitmap))
-    around = written(
-        texts.select("words", "class", "doc_id").mapInArrow(
-            _neighbourhoods(width, shared),
-            "doc_id long, class long, first long, anchor long, words string, digest binary",
-        ),
-        "neighbourhoods",
-    )
-    shards = max(partitions, around.count() // SHARD_ROWS + 1)
-    distinct = around.groupBy("digest").agg(
-        F.first("words").alias("words"),
-        F.first("anchor").alias("anchor"),
+    def around(column: str, kind: str) -> DataFrame:
+        """Neighbourhoods with one of their columns; made twice, since writing them costs more."""
+        return texts.select("words", "class", "doc_id").mapInArrow(
+            _neighbourhoods(width, shared, column), f"doc_id long, class long, first int, digest binary, {kind}"
+        )
+
+    places = around("anchor_words", "anchor_words struct<anchor:long,words:string>")
+    distinct = places.groupBy("digest").agg(
+        F.first("anchor_words").alias("anchor_words"),
         F.min("doc_id").alias("least_id"),
         F.min("class").alias("low"),
         F.max("class").alias("high"),
     )
     owners = (
-        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        .repartition(shards, "shard")
+        distinct.select("digest", "anchor_words.*", "least_id", "low", "high")
+        .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(partitions * SHARDS)))
+        .repartition(partitions, F.pmod("shard", F.lit(partitions)))
         .sortWithinPartitions("shard")
         .mapInPandas(_locate(width), "digest binary, owners array<long>")
     )
     return (
-        around.select("doc_id", "class", "first", "digest")
+        around("nothing", "nothing boolean").drop("nothing")
         .join(owners, "digest")
         .select("doc_id", "class", "first", F.posexplode("owners").alias("k", "owner"))
         .where("owner < doc_id")
