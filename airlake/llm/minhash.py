@@ -2,7 +2,7 @@
 
 1. Each distinct shingle set (texts with equal sets are one *node*) gets ``COORDINATES``
    minima. A pair at the similarity threshold agrees on at least ``MATCHES`` of them but for a
-   chance of about 5e-6, and less for closer pairs.
+   chance of about 1e-5, and less for closer pairs.
 2. Nodes are posted under their (coordinate, value) keys. Keys of one node connect nothing and
    nodes with fewer than ``MATCHES`` shared keys are skipped. The others are posted under their
    rarest keys only: two nodes with ``MATCHES`` common keys share one among the
@@ -11,8 +11,9 @@
 3. Nodes under one key are first compared with one hub each: a group of thousands of copies
    makes thousands of pairs, not millions. Where a key still holds several components, its list
    is cut into blocks and blocks are compared by their signatures inside a task; only pairs of
-   different components with ``MATCHES`` collisions leave it. So no link that joins two
-   components is lost, and no group is expanded into its pairs.
+   different components with ``MATCHES`` collisions leave it, each from the first key that both
+   are posted under. So no link that joins two components is lost, and no group is expanded
+   into its pairs.
 4. Every pair is confirmed on the full shingle sets before it links.
 
 Sets hold 64-bit shingle hashes; a node is 64 bits of its set's digest.
@@ -31,8 +32,8 @@ from airlake.llm.common import byte_slices, prepare, single_spaced, written
 from airlake.llm.graph import components
 from airlake.llm.wordspace import WordSpace, mix
 
-COORDINATES = 64
-MATCHES = 36
+COORDINATES = 96
+MATCHES = 59
 BLOCK = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -109,7 +110,7 @@ def _sets(width: int):
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
-    """(key, node, n_shingles): nodes under the rarest of the keys that they share."""
+    """(node, keys): the rarest of the keys that a node shares, at most COORDINATES - MATCHES + 1."""
     keys = nodes.select(
         "node",
         F.explode(
@@ -127,9 +128,8 @@ def _postings(nodes: DataFrame) -> DataFrame:
         .where(F.size("keys") >= MATCHES)
     )
     # Unshared keys come first in the order of rarity, so they take places of the prefix.
-    return ranked.select("node", F.explode(F.slice("keys", 1, F.size("keys") - MATCHES + 1)).alias("k")).select(
-        F.col("k.key").alias("key"), "node"
-    )
+    prefix = F.transform(F.slice("keys", 1, F.size("keys") - MATCHES + 1), lambda k: k["key"])
+    return ranked.select("node", prefix.alias("keys"))
 
 
 def _near(a: str, b: str, threshold: int):
@@ -143,10 +143,9 @@ def _collisions(a: str, b: str):
 
 def _hub_pairs(postings: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """Each node with the smallest node of every list it is in, if their signatures agree."""
-    hubs = postings.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("uses")).where("uses > 1")
-    pairs = (
-        postings.join(hubs, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
-    )
+    lists = postings.select("node", F.explode("keys").alias("key"))
+    hubs = lists.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("uses")).where("uses > 1")
+    pairs = lists.join(hubs, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
     left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
     return (
@@ -156,6 +155,13 @@ def _hub_pairs(postings: DataFrame, nodes: DataFrame, threshold: int) -> DataFra
     )
 
 
+def _posted(keys: list[int]) -> np.ndarray:
+    """Which coordinates a node is posted under."""
+    mask = np.zeros(COORDINATES, bool)
+    mask[np.array(keys, np.int64) >> 32] = True
+    return mask
+
+
 def _block_collisions(threshold: int):
     """Pairs of two blocks of one list: other component, near size, enough equal coordinates."""
 
@@ -168,9 +174,14 @@ def _block_collisions(threshold: int):
                 sy = np.array([r["signature"] for r in y], np.int32)
                 cx, cy = (np.array([r["component"] for r in z], np.int64) for z in (x, y))
                 nx, ny = (np.array([r["n_shingles"] for r in z], np.int64) for z in (x, y))
+                px, py = (np.array([_posted(r["keys"]) for r in z], bool) for z in (x, y))
                 counts = np.zeros((len(x), len(y)), np.int16)
+                first = np.full((len(x), len(y)), -1, np.int16)
                 for k in range(COORDINATES):
-                    counts += sx[:, None, k] == sy[None, :, k]
+                    same = sx[:, None, k] == sy[None, :, k]
+                    counts += same
+                    first[same & px[:, None, k] & py[None, :, k] & (first < 0)] = k
+                counts[first != row["key"] >> 32] = 0  # the pair is counted under another key
                 sizes = np.minimum(nx[:, None], ny) * 100 >= np.maximum(nx[:, None], ny) * threshold
                 for i, j in zip(*np.nonzero((counts >= MATCHES) & sizes & (cx[:, None] != cy))):
                     for out, value in zip(found, (x[i]["node"], y[j]["node"], nx[i], ny[j])):
@@ -182,29 +193,28 @@ def _block_collisions(threshold: int):
 
 def _rest_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
     """Pairs of different components under one key, after the hub links ``found``."""
-    labelled = nodes.join(found, "node", "left").select(
-        "node", "n_shingles", "signature", F.coalesce("component", "node").alias("component")
+    lists = postings.join(found, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component"), "keys"
     )
-    lists = postings.join(labelled.select("node", "component"), "node")
+    lists = lists.join(nodes.select("node", "n_shingles", "signature"), "node")
     mixed = (
-        lists.groupBy("key")
+        lists.select(F.explode("keys").alias("key"), "component").groupBy("key")
         .agg(F.count("*").alias("uses"), F.min("component").alias("c0"), F.max("component").alias("c1"))
         .where("c0 != c1")
         .select("key", F.ceil(F.col("uses") / BLOCK).alias("blocks"))
     )
     blocks = (
-        postings.join(mixed, "key")
-        .join(labelled, "node")
+        postings.select("node", F.explode("keys").alias("key")).join(mixed, "key")
+        .join(lists, "node")
         .groupBy("key", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-        .agg(F.collect_list(F.struct("node", "component", "n_shingles", "signature")).alias("rows"))
-    )
+        .agg(F.collect_list(F.struct("node", "component", "n_shingles", "signature", "keys")).alias("rows"))
+    )
     blocks = written(blocks, "blocks")
     x = blocks.select("key", F.col("block").alias("i"), F.col("rows").alias("x"))
     y = blocks.select("key", F.col("block").alias("j"), F.col("rows").alias("y"))
     return (
-        x.join(y, "key").where("i <= j").select("x", "y")
+        x.join(y, "key").where("i <= j").select("key", "x", "y")
         .mapInArrow(_block_collisions(threshold), "a long, b long, na long, nb long")
-        .distinct()
     )
 
 
@@ -256,7 +266,7 @@ def near_duplicates(
     )
     nodes = written(nodes, "nodes")
     postings = written(_postings(nodes), "postings")
-    posted = postings.select("node").distinct().join(nodes, "node")
+    posted = postings.select("node").join(nodes, "node")
     wanted = posted.where("doc_id is not null").select("doc_id").distinct()
     sets = written(
         texts.join(wanted, "doc_id").select("words").mapInArrow(_sets(width), "node long, shingles array<long>"),
