@@ -114,8 +114,12 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
-def _neighbourhoods(width: int, bitmap, column: str):
-    """(doc_id, class, first, digest) of every proposed anchor occurrence, and ``column``."""
+def _neighbourhoods(width: int, bitmap, merged: bool):
+    """Every proposed anchor occurrence: (doc_id, class, first, digest).
+
+    ``merged``: each distinct neighbourhood of a batch instead, (digest, anchor, words, least_id, low,
+    high), so that a passage in many documents is sent once per batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
@@ -131,23 +135,35 @@ def _neighbourhoods(width: int, bitmap, column: str):
                 first = at[new]
                 last = np.append(at[new[1:] - 1], at[-1:]) + width if len(at) else at
                 words = [space.text(i, j) for i, j in zip(first, last)]
+                digests = [hashlib.blake2b(w.encode(), digest_size=16).digest() for w in words]
                 doc = space.doc[first]
-                if column == "anchor_words":
-                    extra = pa.StructArray.from_arrays(
-                        [pa.array(phrases[anchor[new]].view(np.int64)), pa.array(words, pa.string())],
-                        ["anchor", "words"],
+                ids, classes = part.column(2).take(pa.array(doc)), part.column(1).take(pa.array(doc))
+                if not merged:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids,
+                            classes,
+                            pa.array((first - space.first[doc]).astype(np.int32)),
+                            pa.array(digests, pa.binary()),
+                        ],
+                        ["doc_id", "class", "first", "digest"],
                     )
-                else:
-                    extra = pa.nulls(len(words), pa.bool_())
+                    continue
+                held: dict[bytes, list] = {}
+                anchors = phrases[anchor[new]].view(np.int64).tolist()
+                for digest, name, text, i, c in zip(digests, anchors, words, ids.to_pylist(), classes.to_pylist()):
+                    known = held.get(digest)
+                    if known is None:
+                        held[digest] = [digest, name, text, i, c, c]
+                    else:
+                        if i is not None and (known[3] is None or i < known[3]):
+                            known[3] = i
+                        known[4], known[5] = min(known[4], c), max(known[5], c)
+                kinds = (pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                columns = zip(*held.values()) if held else [[]] * 6
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(2).take(pa.array(doc)),
-                        part.column(1).take(pa.array(doc)),
-                        pa.array((first - space.first[doc]).astype(np.int32)),
-                        pa.array([hashlib.blake2b(w.encode(), digest_size=16).digest() for w in words], pa.binary()),
-                        extra,
-                    ],
-                    ["doc_id", "class", "first", "digest", column],
+                    [pa.array(values, kind) for values, kind in zip(columns, kinds)],
+                    ["digest", "anchor", "words", "least_id", "low", "high"],
                 )
 
     return run
@@ -257,29 +273,32 @@ def repeated_places(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     for bucket, bits in slices:
         bitmap[bucket * len(bits) : (bucket + 1) * len(bits)] = bits
     shared = spark.sparkContext.broadcast(bytes(bitmap))
-    def around(column: str, kind: str) -> DataFrame:
-        """Neighbourhoods with one of their columns; made twice, since writing them costs more."""
-        return texts.select("words", "class", "doc_id").mapInArrow(
-            _neighbourhoods(width, shared, column), f"doc_id long, class long, first int, digest binary, {kind}"
+    inputs = texts.select("words", "class", "doc_id")
+    # Dealt once, by anchor: what is merged by digest afterwards is already in place.
+    distinct = (
+        inputs.mapInArrow(
+            _neighbourhoods(width, shared, merged=True),
+            "digest binary, anchor long, words string, least_id long, low long, high long",
+        )
+        .repartition(partitions, "anchor")
+        .groupBy("anchor", "digest")
+        .agg(
+            F.first("words").alias("words"),
+            F.min("least_id").alias("least_id"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
         )
-
-    places = around("anchor_words", "anchor_words struct<anchor:long,words:string>")
-    distinct = places.groupBy("digest").agg(
-        F.first("anchor_words").alias("anchor_words"),
-        F.min("doc_id").alias("least_id"),
-        F.min("class").alias("low"),
-        F.max("class").alias("high"),
     )
     owners = (
-        distinct.select("digest", "anchor_words.*", "least_id", "low", "high")
-        .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(partitions * SHARDS)))
-        .repartition(partitions, F.pmod("shard", F.lit(partitions)))
+        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(SHARDS)))
         .sortWithinPartitions("shard")
         .mapInPandas(_locate(width), "digest binary, owners array<long>")
     )
+    around = inputs.mapInArrow(
+        _neighbourhoods(width, shared, merged=False), "doc_id long, class long, first int, digest binary"
+    )
     return (
-        around("nothing", "nothing boolean").drop("nothing")
-        .join(owners, "digest")
+        around.join(owners, "digest")
         .select("doc_id", "class", "first", F.posexplode("owners").alias("k", "owner"))
         .where("owner < doc_id")
         .select("doc_id", "class", (F.col("first") + F.col("k")).alias("place"))
