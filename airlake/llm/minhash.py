@@ -10,10 +10,10 @@
    a third of all texts, whose keys are frequent, is no meeting place.
 3. Nodes under one key are first compared with one hub each: a group of thousands of copies
    makes thousands of pairs, not millions. Where a key still holds several components, its list
-   is cut into blocks and blocks are compared by their signatures inside a task; only pairs of
-   different components with ``MATCHES`` collisions leave it, each from the first key that both
-   are posted under. So no link that joins two components is lost, and no group is expanded
-   into its pairs.
+   is cut into blocks and blocks are compared inside a task: pairs of different components with
+   ``MATCHES`` collisions whose sets, as 15-bit marks, may reach the threshold leave it, each from
+   the first key that both are posted under. So no link that joins two components is
+   lost, and no group is expanded into its pairs.
 4. Every pair is confirmed on the full shingle sets before it links.
 
 Sets hold 64-bit shingle hashes; a node is 64 bits of its set's digest.
@@ -110,7 +110,7 @@ def _sets(width: int):
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
-    """(node, keys): the rarest of the keys that a node shares, at most COORDINATES - MATCHES + 1."""
+    """(node, weight, keys): the rarest of the keys that a node shares, at most COORDINATES - MATCHES + 1."""
     keys = nodes.select(
         "node",
         F.explode(
@@ -129,7 +129,9 @@ def _postings(nodes: DataFrame) -> DataFrame:
     )
     # Unshared keys come first in the order of rarity, so they take places of the prefix.
     prefix = F.transform(F.slice("keys", 1, F.size("keys") - MATCHES + 1), lambda k: k["key"])
-    return ranked.select("node", prefix.alias("keys"))
+    # The middle of a group of copies has the keys that most of the group has.
+    weight = F.aggregate("keys", F.lit(0).cast("long"), lambda sum_, k: sum_ + k["uses"])
+    return ranked.select("node", weight.alias("weight"), prefix.alias("keys"))
 
 
 def _near(a: str, b: str, threshold: int):
@@ -142,9 +144,10 @@ def _collisions(a: str, b: str):
 
 
 def _hub_pairs(postings: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Each node with the smallest node of every list it is in, if their signatures agree."""
-    lists = postings.select("node", F.explode("keys").alias("key"))
-    hubs = lists.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("uses")).where("uses > 1")
+    """Each node with the weightiest node of every list it is in, if their signatures agree."""
+    lists = postings.select("node", "weight", F.explode("keys").alias("key"))
+    hub = F.max(F.struct("weight", "node"))["node"]
+    hubs = lists.groupBy("key").agg(hub.alias("a"), F.count("*").alias("uses")).where("uses > 1")
     pairs = lists.join(hubs, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
     left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
@@ -155,60 +158,87 @@ def _hub_pairs(postings: DataFrame, nodes: DataFrame, threshold: int) -> DataFra
     )
 
 
-def _posted(keys: list[int]) -> np.ndarray:
-    """Which coordinates a node is posted under."""
-    mask = np.zeros(COORDINATES, bool)
-    mask[np.array(keys, np.int64) >> 32] = True
-    return mask
+def _block(rows: list[dict]) -> dict[str, np.ndarray]:
+    posted = np.zeros((len(rows), COORDINATES), bool)
+    for i, r in enumerate(rows):
+        posted[i, r["posted"]] = True
+    block = {name: np.array([r[name] for r in rows], np.int64) for name in ("node", "component", "n_shingles")}
+    return block | {"posted": posted, "signature": np.array([r["signature"] for r in rows], np.int16)}
 
 
 def _block_collisions(threshold: int):
-    """Pairs of two blocks of one list: other component, near size, enough equal coordinates."""
+    """Pairs of two blocks of one list: other component, enough equal coordinates, near enough sets.
+
+    Signatures and sets come as 15-bit marks, so both numbers are upper bounds and lose no pair.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [[], [], [], []]
             for row in batch.to_pylist():
-                x, y = row["x"], row["y"]
-                sx = np.array([r["signature"] for r in x], np.int32)
-                sy = np.array([r["signature"] for r in y], np.int32)
-                cx, cy = (np.array([r["component"] for r in z], np.int64) for z in (x, y))
-                nx, ny = (np.array([r["n_shingles"] for r in z], np.int64) for z in (x, y))
-                px, py = (np.array([_posted(r["keys"]) for r in z], bool) for z in (x, y))
-                counts = np.zeros((len(x), len(y)), np.int16)
-                first = np.full((len(x), len(y)), -1, np.int16)
+                x, y = _block(row["x"]), _block(row["y"])
+                counts = np.zeros((len(row["x"]), len(row["y"])), np.int16)
+                first = np.full(counts.shape, -1, np.int16)
                 for k in range(COORDINATES):
-                    same = sx[:, None, k] == sy[None, :, k]
+                    same = x["signature"][:, None, k] == y["signature"][None, :, k]
                     counts += same
-                    first[same & px[:, None, k] & py[None, :, k] & (first < 0)] = k
-                counts[first != row["key"] >> 32] = 0  # the pair is counted under another key
-                sizes = np.minimum(nx[:, None], ny) * 100 >= np.maximum(nx[:, None], ny) * threshold
-                for i, j in zip(*np.nonzero((counts >= MATCHES) & sizes & (cx[:, None] != cy))):
-                    for out, value in zip(found, (x[i]["node"], y[j]["node"], nx[i], ny[j])):
-                        out.append(int(value))
+                    first[same & x["posted"][:, None, k] & y["posted"][None, :, k] & (first < 0)] = k
+                nx, ny = x["n_shingles"], y["n_shingles"]
+                near = np.minimum(nx[:, None], ny) * 100 >= np.maximum(nx[:, None], ny) * threshold
+                # A pair is counted under the first key that both are posted under.
+                near &= (counts >= MATCHES) & (first == row["key"] >> 32)
+                marks: dict = {}
+                for i, j in zip(*np.nonzero(near & (x["component"][:, None] != y["component"]))):
+                    a = marks.get(("x", i)) or marks.setdefault(("x", i), frozenset(row["x"][i]["marks"]))
+                    b = marks.get(("y", j)) or marks.setdefault(("y", j), frozenset(row["y"][j]["marks"]))
+                    most = len(a & b) + min(nx[i] - len(a), ny[j] - len(b))
+                    if most * 100 >= (nx[i] + ny[j] - most) * threshold:
+                        for out, value in zip(found, (x["node"][i], y["node"][j], nx[i], ny[j])):
+                            out.append(int(value))
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["a", "b", "na", "nb"])
 
     return run
 
 
-def _rest_pairs(postings: DataFrame, nodes: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
+def _marks(hashes: str):
+    """The low 15 bits of each hash."""
+    return F.transform(hashes, lambda h: h.bitwiseAND(0x7FFF).cast("short"))
+
+
+def _rest_pairs(
+    postings: DataFrame, nodes: DataFrame, sets: DataFrame, found: DataFrame, threshold: int
+) -> DataFrame:
     """Pairs of different components under one key, after the hub links ``found``."""
     lists = postings.join(found, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component"), "keys"
+        "node", F.coalesce("component", "node").alias("component"), F.explode("keys").alias("key"), "keys"
     )
-    lists = lists.join(nodes.select("node", "n_shingles", "signature"), "node")
     mixed = (
-        lists.select(F.explode("keys").alias("key"), "component").groupBy("key")
+        lists.groupBy("key")
         .agg(F.count("*").alias("uses"), F.min("component").alias("c0"), F.max("component").alias("c1"))
         .where("c0 != c1")
         .select("key", F.ceil(F.col("uses") / BLOCK).alias("blocks"))
     )
-    blocks = (
-        postings.select("node", F.explode("keys").alias("key")).join(mixed, "key")
-        .join(lists, "node")
-        .groupBy("key", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-        .agg(F.collect_list(F.struct("node", "component", "n_shingles", "signature", "keys")).alias("rows"))
+    dealt = written(
+        lists.join(mixed, "key").select(
+            "key", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node", "component",
+            F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("posted"),
+        ),
+        "dealt",
+    )
+    content = (
+        dealt.select("node").distinct()
+        .join(nodes.select("node", "n_shingles", _marks("signature").alias("signature")), "node")
+        .join(sets.select("node", F.array_distinct(_marks("shingles")).alias("marks")).dropDuplicates(["node"]), "node")
     )
+    blocks = (
+        dealt.join(content, "node")
+        .groupBy("key", "block")
+        .agg(
+            F.collect_list(  # about BLOCK rows
+                F.struct("node", "component", "n_shingles", "signature", "posted", "marks")
+            ).alias("rows")
+        )
+    )
     blocks = written(blocks, "blocks")
     x = blocks.select("key", F.col("block").alias("i"), F.col("rows").alias("x"))
     y = blocks.select("key", F.col("block").alias("j"), F.col("rows").alias("y"))
@@ -273,7 +303,7 @@ def near_duplicates(
         "sets",
     )
     links = written(_confirmed(_hub_pairs(postings, nodes, threshold), sets, threshold), "links")
-    rest = _rest_pairs(postings, nodes, components(links), threshold)
+    rest = _rest_pairs(postings, nodes, sets, components(links), threshold)
     links = links.union(written(_confirmed(rest, sets, threshold), "links"))
     found = components(links)
     labelled = nodes.select("node", "doc_id").join(found, "node", "left").withColumn(
