@@ -40,7 +40,7 @@ def poisson_table(rate: Column) -> Column:
 
 
 def repetition_rates(docs: DataFrame, weights: dict[str, float] | None, scale: float, text: str, source: str) -> DataFrame:
-    """(source, rate, cdf), from the characters that each source has.
+    """(source, cdf) and the rate, from the characters that each source has.
 
     Without ``weights`` a source's weight is the square root of its size. Weights are of
     the sources named; a source without a weight has rate 0.
@@ -54,12 +54,13 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None, scale: f
         pairs = [F.when(F.col("source") == name, F.lit(float(w))) for name, w in weights.items()]
         weight = F.coalesce(*pairs, F.lit(0.0))
     sizes = written(sizes.withColumn("weight", weight), "sizes")
-    totals = sizes.agg(F.sum("weight").alias("weights"), F.sum("chars").alias("all_chars"))
-    share = F.col("weight") / F.col("weights") * F.col("all_chars") * F.lit(scale)
+    weights_sum, all_chars = sizes.agg(F.sum("weight"), F.sum("chars")).first()
+    if not weights_sum:  # nothing to take from
+        return written(sizes.limit(0).select("source", F.array(F.lit(0.0)).alias("cdf")), "rates")
+    share = F.col("weight") / F.lit(weights_sum) * F.lit(all_chars) * F.lit(scale)
     # A source without characters repeats as it is.
     rate = F.when(F.col("chars") > 0, F.least(share / F.col("chars"), F.lit(MAX_RATE))).otherwise(F.lit(1.0))
-    rates = sizes.join(F.broadcast(totals.where("weights > 0")), F.lit(True)).select("source", rate.alias("rate"))
-    return written(rates.withColumn("cdf", poisson_table(F.col("rate"))), "rates")
+    return written(sizes.select("source", rate.alias("rate")).withColumn("cdf", poisson_table(F.col("rate"))), "rates")
 
 
 def mix_sources(
