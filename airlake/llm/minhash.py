@@ -158,43 +158,66 @@ def _hub_pairs(postings: DataFrame, nodes: DataFrame, threshold: int) -> DataFra
     )
 
 
-def _block(rows: list[dict]) -> dict[str, np.ndarray]:
-    posted = np.zeros((len(rows), COORDINATES), bool)
-    for i, r in enumerate(rows):
-        posted[i, r["posted"]] = True
-    block = {name: np.array([r[name] for r in rows], np.int64) for name in ("node", "component", "n_shingles")}
-    return block | {"posted": posted, "signature": np.array([r["signature"] for r in rows], np.int16)}
+class _Blocks:
+    """A column of blocks (lists of structs) as numpy arrays over all rows of the batch."""
+
+    def __init__(self, column: pa.ListArray):
+        self.bounds = column.offsets.to_numpy()
+        rows = column.values
+        self.node, self.component, self.n_shingles = (
+            rows.field(name).to_numpy() for name in ("node", "component", "n_shingles")
+        )
+        signature, posted, marks = (rows.field(name) for name in ("signature", "posted", "marks"))
+        self.signature = signature.values.to_numpy()[signature.offsets[0].as_py() :].reshape(-1, COORDINATES)
+        self.posted = np.zeros((len(rows), COORDINATES), bool)
+        at = posted.offsets.to_numpy()
+        own = np.repeat(np.arange(len(rows)), np.diff(at))
+        self.posted[own, posted.values.to_numpy()[at[0] : at[-1]]] = True
+        self.at, self.values = marks.offsets.to_numpy(), marks.values.to_numpy()
+        self.sets: dict[int, frozenset] = {}
+
+    def marks(self, i: int) -> frozenset:
+        if i not in self.sets:
+            self.sets[i] = frozenset(self.values[self.at[i] : self.at[i + 1]].tolist())
+        return self.sets[i]
 
 
 def _block_collisions(threshold: int):
     """Pairs of two blocks of one list: other component, enough equal coordinates, near enough sets.
 
-    Signatures and sets come as 15-bit marks, so both numbers are upper bounds and lose no pair.
+    Sets come as 15-bit marks, which give an upper bound and lose no pair.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [[], [], [], []]
-            for row in batch.to_pylist():
-                x, y = _block(row["x"]), _block(row["y"])
-                counts = np.zeros((len(row["x"]), len(row["y"])), np.int16)
-                first = np.full(counts.shape, -1, np.int16)
-                for k in range(COORDINATES):
-                    same = x["signature"][:, None, k] == y["signature"][None, :, k]
-                    counts += same
-                    first[same & x["posted"][:, None, k] & y["posted"][None, :, k] & (first < 0)] = k
-                nx, ny = x["n_shingles"], y["n_shingles"]
+            x, y = _Blocks(batch.column(1)), _Blocks(batch.column(2))
+            for r, key in enumerate(batch.column(0).to_pylist()):
+                xs, ys = slice(*x.bounds[r : r + 2].tolist()), slice(*y.bounds[r : r + 2].tolist())
+                nx, ny = x.n_shingles[xs], y.n_shingles[ys]
+                sx, sy = x.signature[xs], y.signature[ys]
+                px, py = x.posted[xs], y.posted[ys]
                 near = np.minimum(nx[:, None], ny) * 100 >= np.maximum(nx[:, None], ny) * threshold
+                near &= x.component[xs][:, None] != y.component[ys]
                 # A pair is counted under the first key that both are posted under.
-                near &= (counts >= MATCHES) & (first == row["key"] >> 32)
-                marks: dict = {}
-                for i, j in zip(*np.nonzero(near & (x["component"][:, None] != y["component"]))):
-                    a = marks.get(("x", i)) or marks.setdefault(("x", i), frozenset(row["x"][i]["marks"]))
-                    b = marks.get(("y", j)) or marks.setdefault(("y", j), frozenset(row["y"][j]["marks"]))
-                    most = len(a & b) + min(nx[i] - len(a), ny[j] - len(b))
-                    if most * 100 >= (nx[i] + ny[j] - most) * threshold:
-                        for out, value in zip(found, (x["node"][i], y["node"][j], nx[i], ny[j])):
-                            out.append(int(value))
+                own = key >> 32
+                near &= sx[:, None, own] == sy[None, :, own]
+                i, j = np.nonzero(near)
+                for part in np.array_split(np.arange(len(i)), len(i) // 20_000 + 1):
+                    a, b = i[part], j[part]
+                    same = sx[a] == sy[b]
+                    first = (same & px[a] & py[b]).argmax(axis=1) == own
+                    for k in np.flatnonzero(first & (same.sum(axis=1) >= MATCHES)):
+                        m, n = xs.start + int(a[k]), ys.start + int(b[k])
+                        left, right = x.marks(m), y.marks(n)
+                        total = int(x.n_shingles[m] + y.n_shingles[n])
+                        spare = min(int(x.n_shingles[m]) - len(left), int(y.n_shingles[n]) - len(right))
+                        most = len(left & right) + spare
+                        if most * 100 >= (total - most) * threshold:
+                            for out, value in zip(
+                                found, (x.node[m], y.node[n], x.n_shingles[m], y.n_shingles[n])
+                            ):
+                                out.append(int(value))
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["a", "b", "na", "nb"])
 
     return run
@@ -227,7 +250,7 @@ def _rest_pairs(
     )
     content = (
         dealt.select("node").distinct()
-        .join(nodes.select("node", "n_shingles", _marks("signature").alias("signature")), "node")
+        .join(nodes.select("node", "n_shingles", "signature"), "node")
         .join(sets.select("node", F.array_distinct(_marks("shingles")).alias("marks")).dropDuplicates(["node"]), "node")
     )
     blocks = (
