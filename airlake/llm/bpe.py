@@ -24,7 +24,7 @@ from airlake.llm.common import prepare
 
 SCAN_PARTS = 200
 # Words a worker remembers; the memory is emptied when full, which changes no result.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 NO_PAIR = 1 << 60
 
 _loaded: dict[str, WordBpe] = {}

@@ -14,7 +14,7 @@ from airlake.session import shared_folder
 
 CHECKOUT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Bytes of text handed to Python at once; rows follow from it, so long texts make small batches.
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 # Rows a lookup table may have to be broadcast; checked by a count before each use.
 BROADCAST_ROWS = 10_000
 SPACES = r"[\x20\x09-\x0D]+"
@@ -71,7 +71,7 @@ def id_bucket(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def byte_slices(batch: pa.RecordBatch, column: int, limit: int = BATCH_BYTES // 4) -> Iterator[pa.RecordBatch]:
+def byte_slices(batch: pa.RecordBatch, column: int, limit: int = BATCH_BYTES // 2) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with about ``limit`` bytes of text each (more only for one long text)."""
     lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
     first, size = 0, 0

@@ -322,7 +322,9 @@ def near_duplicates(
     posted = postings.select("node").join(nodes, "node")
     wanted = posted.where("doc_id is not null").select("doc_id").distinct()
     sets = written(
-        texts.join(wanted, "doc_id").select("words").mapInArrow(_sets(width), "node long, shingles array<long>"),
+        texts.join(wanted, "doc_id").select("words")
+        .union(texts.where("doc_id is null").select("words"))
+        .mapInArrow(_sets(width), "node long, shingles array<long>").where("node is not null"),
         "sets",
     )
     links = written(_confirmed(_hub_pairs(postings, nodes, threshold), sets, threshold), "links")

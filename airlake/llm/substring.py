@@ -39,6 +39,7 @@ BITS = 27
 BUCKETS = 256
 # Automata per shuffle partition, built one after the other, so that one stays small.
 SHARDS = 16
+NO_ID = 2**63 - 1
 
 
 def _anchors(space: WordSpace, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,12 +212,11 @@ def _locate_shard(frame: pd.DataFrame, width: int) -> pd.DataFrame:
             if known is None:
                 held[window] = [least[i], low[i], high[i]]
             else:
-                if least[i] is not None and (known[0] is None or least[i] < known[0]):
-                    known[0] = least[i]
+                known[0] = min(known[0], least[i])
                 known[1], known[2] = min(known[1], low[i]), max(known[2], high[i])
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for window, (owner, first, last) in held.items():
-        if first != last and owner is not None:
+        if first != last:
             automaton.add_word(window, int(owner))
     digests, owners = [], []
     if len(automaton):
@@ -284,7 +284,8 @@ def repeated_places(texts: DataFrame, width: int = WIDTH) -> DataFrame:
         .groupBy("anchor", "digest")
         .agg(
             F.first("words").alias("words"),
-            F.min("least_id").alias("least_id"),
+            # A null id owns nothing: no id is greater than this one.
+            F.coalesce(F.min("least_id"), F.lit(NO_ID)).alias("least_id"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
