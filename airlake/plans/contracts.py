@@ -130,16 +130,16 @@ def source_freshness(name: str, source: DataFrame, now: Column) -> DataFrame:
 def latest_snapshot_rows(states: DataFrame, received: DataFrame | None = None) -> DataFrame:
     """Row count of the newest snapshot and whether it passed.
 
-    An empty snapshot leaves no rows in the lake; the landing audit (``snapshot_ts, rows``)
-    says it happened.
+    An empty snapshot leaves no rows in the lake; the landing audit (``snapshot_ts, rows,
+    ingested_at``) says it happened. The delivery ingested last decides; the lake counts only
+    where there is no audit.
     """
     seen = states.groupBy("snapshot_ts").agg(F.count(F.lit(1)).alias("rows"))
     if received is not None:
-        seen = (
-            seen.unionByName(received.select("snapshot_ts", "rows"))
-            .groupBy("snapshot_ts")
-            .agg(F.max("rows").alias("rows"))
+        audited = received.where("snapshot_ts is not null").groupBy("snapshot_ts").agg(
+            F.max_by("rows", "ingested_at").alias("rows")
         )
+        seen = seen.join(audited, "snapshot_ts", "left_anti").unionByName(audited)
     return seen.agg(
         F.max("snapshot_ts").alias("snapshot_ts"),
         F.coalesce(F.max_by("rows", "snapshot_ts"), F.lit(0)).alias("rows"),

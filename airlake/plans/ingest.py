@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airlake.sources import lake, landing
@@ -12,11 +14,17 @@ from airlake.sources.tracked import tracked_airports
 def land_snapshots(
     spark: SparkSession, path: str, root: str, region: str, ingested_at: Column | None = None
 ) -> None:
-    """State payloads, one JSON file per snapshot. Landing a snapshot again replaces it."""
-    moment = F.current_timestamp() if ingested_at is None else ingested_at
+    """State payloads, one JSON file per snapshot. Landing a snapshot again replaces it,
+    also with nothing. Rows and audit carry one moment."""
+    if ingested_at is None:
+        ingested_at = F.lit(dt.datetime.now(dt.timezone.utc))
     payloads = landing.read_payloads(spark, path)
-    lake.write_states(landing.decode_states(payloads, region, moment), root)
-    lake.append_audit(landing.audit_snapshots(payloads, region, moment), root)
+    lake.write_states(landing.decode_states(payloads, region, ingested_at), root)
+    audit = landing.audit_snapshots(payloads, region, ingested_at)
+    delivered = audit.where("snapshot_ts is not null").groupBy("snapshot_ts").agg(F.sum("rows").alias("rows"))
+    # One number per empty payload of this delivery.
+    lake.clear_snapshots(spark, root, [r["snapshot_ts"] for r in delivered.where("rows = 0").collect()])
+    lake.append_audit(audit, root)
 
 
 def _land_reference(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airlake.operators.quality import (
@@ -18,6 +19,7 @@ from airlake.plans import marts, positions, staging
 from airlake.plans.contracts import CONTRACTS
 from airlake.session import prepare
 from airlake.sources.adapter import Bronze
+from airlake.sources.lake import exists
 
 # Model -> how it is made from the models before it. The order is a valid build order.
 VIEWS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -64,6 +66,8 @@ PARTITIONS = {
     "fct_aircraft_positions": ["ingest_date", "ingest_hour"],
     "int_positions_near_airports": ["ingest_date"],
 }
+# Built from raw data that retention removes.
+OUTLIVES_RAW = {"fct_aircraft_positions"}
 # Views whose rows a table keeps one for one: their checks read the table, after it is
 # written, instead of repeating the work behind the view.
 READ_FROM = {"int_positions_deduplicated": "fct_aircraft_positions"}
@@ -103,20 +107,33 @@ class Warehouse:
         return {**VIEWS, **TABLES}[model](self)
 
     def __getitem__(self, model: str) -> DataFrame:
-        """The model as its consumers see it; a table is built on first use."""
+        """The model as its consumers see it.
+
+        A table that is written is opened as it is, whoever wrote it: reading never replaces
+        rows. Only a table that does not exist yet is built.
+        """
         if model in VIEWS:
             if model not in self._views:
                 self._views[model] = self.plan(model)
             return self._views[model]
         if model not in self._written:
-            self.build(model)
+            if exists(self.spark, self.path(model)):
+                schema = self.plan(model).schema
+                self._written[model] = self.spark.read.schema(schema).parquet(self.path(model))
+            else:
+                self.build(model)
         return self._written[model]
 
-    def build(self, model: str) -> DataFrame:
-        """Fully refresh one table."""
+    def build(self, model: str, full_refresh: bool = False) -> DataFrame:
+        """Refresh one table from its inputs.
+
+        Facts outlive their raw data: partitions that the raw data no longer has stay, unless a
+        full refresh is asked for.
+        """
         df = self.plan(model)
-        # A full refresh also removes partitions that no longer have rows.
-        write_table(df, self.path(model), PARTITIONS.get(model), partitionOverwriteMode="static")
+        keep = model in OUTLIVES_RAW and not full_refresh
+        mode = "dynamic" if keep else "static"
+        write_table(df, self.path(model), PARTITIONS.get(model), partitionOverwriteMode=mode)
         self._written[model] = self.spark.read.schema(df.schema).parquet(self.path(model))
         return self._written[model]
 
@@ -178,18 +195,15 @@ class Warehouse:
                 self.spark.catalog.recoverPartitions(name)
 
     def inventory(self) -> DataFrame:
-        """Schema, table and row count of every table; -1 when a table cannot be read."""
-        parts = []
+        """Schema, table and row count of every table; -1 when a table cannot be read.
+
+        Each count is taken here, so that one unreadable table does not fail the others.
+        """
+        counted = []
         for model in sorted(TABLES):
             try:
-                rows = self.spark.read.parquet(self.path(model)).agg(F.count(F.lit(1)).alias("rows"))
-            except AnalysisException:
-                rows = self.spark.range(1).select(F.lit(-1).cast("bigint").alias("rows"))
-            parts.append(
-                rows.select(
-                    F.lit(schema_of(model)).alias("table_schema"),
-                    F.lit(model).alias("table_name"),
-                    "rows",
-                )
-            )
-        return union_all(parts)
+                rows = self.spark.read.parquet(self.path(model)).count()
+            except (PySparkException, Py4JJavaError):
+                rows = -1
+            counted.append((schema_of(model), model, rows))
+        return self.spark.createDataFrame(counted, "table_schema string, table_name string, rows bigint")

@@ -6,8 +6,6 @@ time zone, so UTC is part of the data model and not a display choice.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -52,21 +50,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_private_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir``, else one in the warehouse folder.
 
-    A private folder is made only when the cluster names none, which is the case in
-    local tests; there the driver and the executors are one process.
+    The warehouse folder is always set and is where the session keeps its tables.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        application = spark.sparkContext.applicationId
-        if application not in _private_folders:
-            _private_folders[application] = tempfile.mkdtemp(prefix="airlake-")
-        folder = _private_folders[application]
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/airlake-shared"
     return folder.rstrip("/")

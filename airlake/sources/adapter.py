@@ -68,15 +68,6 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table that arrives as fewer splits than there are cores.
-
-    A table large enough to matter has more splits than that and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def states_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
     timed = events.selectExpr(
         "event_id as e",
@@ -224,7 +215,7 @@ def air_quality_from_events(events: DataFrame, supplier: DataFrame) -> DataFrame
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
     events = read(spark, folder, "events").select("event_id", "ts", "user_id")
-    return spread(events, "event_id")
+    return events
 
 
 def bronze_from_tables(spark: SparkSession, folder: str) -> Bronze:

@@ -169,6 +169,16 @@ def prune_states(
     return sorted(dropped)
 
 
+def clear_snapshots(spark: SparkSession, root: str, times: list[int]) -> None:
+    """Remove the rows of snapshots that were delivered again without any."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(states_path(root)).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for seconds in times:
+        moment = dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
+        leaf = f"ingest_date={moment.date()}/ingest_hour={moment.hour}/snapshot={seconds}"
+        files.delete(hadoop.Path(f"{states_path(root)}/{leaf}"), True)
+
+
 # Inventory ----------------------------------------------------------------------------
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
 
 from airlake.plans import analytics, ingest
+from airlake.plans.contracts import latest_snapshot_rows
 from airlake.plans.warehouse import Warehouse
 from airlake.sources import lake
 from tests.test_landing import AIRLINES_DAT, REGISTRY_CSV, VECTOR, hourly
@@ -97,3 +99,37 @@ def test_landed_files_become_marts(spark, tmp_path, rows):
     assert rows(audit) == [(T, 3), (T + 900, 1), (T + 1800, 0)]
     landed = lake.read_audit(spark, root, "references").where("source_name = 'registry'").first()
     assert landed["rows"] == 2 and landed["size_bytes"] == len(REGISTRY_CSV)
+
+
+def test_snapshot_delivered_again_as_empty_loses_its_rows(spark, tmp_path):
+    root, payloads = str(tmp_path / "lake"), tmp_path / "states"
+    payloads.mkdir()
+    full = {"time": T, "states": [vector("abc123", "AFR1", 49.01, 2.55, 300.0)]}
+    for payload in (full, {"time": T, "states": None}):
+        (payloads / "a.json").write_text(json.dumps(payload))
+        ingest.land_snapshots(spark, str(payloads), root, "france")
+    states = lake.scan_states(spark, root)
+    assert states.count() == 0
+    newest = latest_snapshot_rows(states, lake.read_audit(spark, root)).first()
+    assert (newest["snapshot_ts"], newest["rows"], newest["passed"]) == (T, 0, False)
+
+
+def test_reading_written_tables_keeps_facts_of_pruned_raw_data(spark, tmp_path):
+    root, out = str(tmp_path / "lake"), str(tmp_path / "warehouse")
+    land(spark, tmp_path / "landing", root)
+    facts = Warehouse(spark, ingest.bronze_from_lake(spark, root), out)["fct_aircraft_positions"].count()
+    assert facts > 0
+    lake.prune_states(spark, root, dt.date(2026, 12, 1), 1)
+    again = Warehouse(spark, ingest.bronze_from_lake(spark, root), out)
+    assert again["fct_aircraft_positions"].count() == facts
+    assert again.build("fct_aircraft_positions").count() == facts
+    assert again.build("fct_aircraft_positions", full_refresh=True).count() == 0
+
+
+def test_inventory_marks_an_unreadable_table(spark, tmp_path):
+    out = tmp_path / "warehouse"
+    broken = out / "marts" / "dim_airline"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("no parquet")
+    counted = {r["table_name"]: r["rows"] for r in Warehouse(spark, None, str(out)).inventory().collect()}
+    assert set(counted.values()) == {-1}
