@@ -84,11 +84,12 @@ def nearest_within(
     *,
     place_id: str,
     distance: str = "distance_km",
-    wrap: bool = False,
+    wrap: bool = True,
 ) -> DataFrame:
     """Positions within ``radius_km`` of a place, with the nearest one's id and distance.
 
-    Both sides carry ``latitude`` and ``longitude``. A position yields at most one row.
+    Both sides carry ``latitude`` and ``longitude``. A position yields at most one row. With
+    ``wrap=False`` (see ``_reach``) places more than one whole degree cell away do not count.
     """
     k = cells_per_degree(radius_km)
     cells = places_by_cell(places.select(place_id, "latitude", "longitude"), place_id, radius_km, wrap)

@@ -11,16 +11,20 @@ from airlake.sources.adapter import Bronze
 from airlake.sources.tracked import tracked_airports
 
 
+def _moment(given: Column | None) -> Column:
+    """The same instant for everything one delivery writes."""
+    return F.lit(dt.datetime.now(dt.timezone.utc)) if given is None else given
+
+
 def land_snapshots(
     spark: SparkSession, path: str, root: str, region: str, ingested_at: Column | None = None
 ) -> None:
     """State payloads, one JSON file per snapshot. Landing a snapshot again replaces it,
     also with nothing. Rows and audit carry one moment."""
-    if ingested_at is None:
-        ingested_at = F.lit(dt.datetime.now(dt.timezone.utc))
+    moment = _moment(ingested_at)
     payloads = landing.read_payloads(spark, path)
-    lake.write_states(landing.decode_states(payloads, region, ingested_at), root)
-    audit = landing.audit_snapshots(payloads, region, ingested_at)
+    lake.write_states(landing.decode_states(payloads, region, moment), root)
+    audit = landing.audit_snapshots(payloads, region, moment)
     delivered = audit.where("snapshot_ts is not null").groupBy("snapshot_ts").agg(F.sum("rows").alias("rows"))
     # One number per empty payload of this delivery.
     lake.clear_snapshots(spark, root, [r["snapshot_ts"] for r in delivered.where("rows = 0").collect()])
@@ -54,14 +58,26 @@ def land_air_quality(
     airports: DataFrame | None = None,
     ingested_at: Column | None = None,
 ) -> None:
-    """Hourly series, one JSON file per airport, named by the airport's code."""
-    moment = F.current_timestamp() if ingested_at is None else ingested_at
+    """Hourly series, one JSON file per airport, named by the airport's code.
+
+    Files of airports that are not in ``airports`` are recorded in the audit ``rejected``.
+    """
+    moment = _moment(ingested_at)
     places = tracked_airports(spark) if airports is None else airports
     payloads = landing.read_payloads(spark, path).select(
         "value", F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("airport_icao")
     )
     rows = landing.flatten_hourly(payloads.join(places, "airport_icao"), moment)
     _land_reference(spark, path, root, "air_quality", rows)
+    rejected = payloads.join(places, "airport_icao", "left_anti").select(
+        F.lit("air_quality").alias("source_name"),
+        F.col("airport_icao").alias("file_name"),
+        F.lit("airport is not followed").alias("reason"),
+        F.octet_length("value").cast("bigint").alias("size_bytes"),
+        F.sha2("value", 256).alias("sha256"),
+        moment.cast("timestamp").alias("ingested_at"),
+    )
+    lake.append_audit(rejected, root, "rejected")
 
 
 def bronze_from_lake(spark: SparkSession, root: str) -> Bronze:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from airlake.functions.text import strip
+from airlake.functions.text import parse_double, strip
 from airlake.sources.schemas import AIR_QUALITY, AIRLINES, REGISTRY, STATE_VECTOR, STATES
 
-# A vector mixes types, so its items are read as text and typed by position.
-SNAPSHOT = "time bigint, states array<array<string>>"
+# A vector mixes types: its items keep what they were in JSON and are typed by position.
+SNAPSHOT = "time bigint, states array<array<variant>>"
+RECEIVED = "time bigint, states array<array<string>>"
 HOURLY = (
     "hourly struct<time: array<string>, nitrogen_dioxide: array<double>, pm2_5: array<double>, "
     "pm10: array<double>, ozone: array<double>>"
@@ -28,20 +29,26 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _item(position: int, kind: T.DataType) -> Column:
-    item = F.get(F.col("vector"), F.lit(position))
+    """One item as ``kind``, null where it cannot be read as such.
+
+    Text must be a number by itself (whole for integers); JSON numbers lose a fraction in an
+    integer column, and JSON booleans count as 0 and 1.
+    """
+    token = F.get(F.col("vector"), F.lit(position))
+    item, written_as = token.try_cast("string"), F.schema_of_variant(token)
+    truth = F.when(written_as == "BOOLEAN", (item == "true").cast("int"))
     if isinstance(kind, T.StringType):
         return item
     if isinstance(kind, T.DoubleType):
-        return item.try_cast("double")
+        return F.coalesce(truth.cast("double"), parse_double(item))
     if isinstance(kind, T.BooleanType):
         return F.when(item.isNotNull(), ~F.lower(item).isin("false", "0", "0.0", ""))
     if isinstance(kind, T.ArrayType):
         listed = F.from_json(item, "array<int>")
         return F.filter(listed, lambda sensor: sensor.isNotNull())
-    # A whole number, or a JSON number with a fraction, which is cut off.
-    return F.coalesce(item.try_cast("bigint"), item.try_cast("double").try_cast("bigint")).try_cast(
-        kind
-    )
+    whole = F.when(item.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(item).try_cast("bigint"))
+    cut = F.when(written_as != "STRING", item.try_cast("double").try_cast("bigint"))
+    return F.coalesce(truth.cast("bigint"), whole, cut).try_cast(kind)
 
 
 def decode_states(
@@ -55,7 +62,7 @@ def decode_states(
     vectors = payloads.select(F.from_json("value", SNAPSHOT).alias("payload")).select(
         F.col("payload.time").alias("snapshot_ts"), F.explode("payload.states").alias("vector")
     )
-    rows = vectors.where(F.get("vector", F.lit(0)).isNotNull()).select(
+    rows = vectors.where(F.get("vector", F.lit(0)).try_cast("string").isNotNull()).select(
         *[_item(i, kind).alias(name) for i, (name, kind) in enumerate(STATE_VECTOR)],
         "snapshot_ts",
         ingested_at.cast("timestamp").alias("ingested_at"),
@@ -67,7 +74,7 @@ def decode_states(
 
 def audit_snapshots(payloads: DataFrame, region: str, ingested_at: Column) -> DataFrame:
     """One audit row per payload, including the empty ones that leave no rows behind."""
-    payload = F.from_json("value", SNAPSHOT)
+    payload = F.from_json("value", RECEIVED)
     states = F.coalesce(payload["states"], F.array().cast("array<array<string>>"))
     return payloads.select(
         payload["time"].alias("snapshot_ts"),

@@ -66,18 +66,20 @@ AIR_QUALITY = T.StructType(
 )
 
 
-def text_columns(names: str) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names.split()])
+def text_columns(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 # Column order of the reference files.
 AIRPORTS = text_columns(
-    "id ident type name latitude_deg longitude_deg elevation_ft continent iso_country iso_region "
-    "municipality scheduled_service icao_code iata_code gps_code local_code home_link "
-    "wikipedia_link keywords"
-)
+    "id", "ident", "type", "name", "latitude_deg", "longitude_deg", "elevation_ft", "continent",
+    "iso_country", "iso_region", "municipality", "scheduled_service", "icao_code", "iata_code",
+    "gps_code", "local_code", "home_link", "wikipedia_link", "keywords",
+)
 REGISTRY = text_columns(
-    "icao24 registration typecode manufacturername model operator operatoricao owner built "
-    "categoryDescription"
-)
-AIRLINES = text_columns("airline_id name alias iata icao callsign country active")
+    "icao24", "registration", "typecode", "manufacturername", "model", "operator", "operatoricao",
+    "owner", "built", "categoryDescription",
+)
+AIRLINES = text_columns(
+    "airline_id", "name", "alias", "iata", "icao", "callsign", "country", "active",
+)

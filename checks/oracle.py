@@ -19,10 +19,8 @@ SQL_NAMES = {
 INEXACT = {"distance_km", "on_ground_ratio"}
 
 
-def columns(names: str) -> str:
-    return ", ".join(
-        f"round({name}, 6) as {name}" if name in INEXACT else name for name in names.split()
-    )
+def columns(*names: str) -> str:
+    return ", ".join(f"round({name}, 6) as {name}" if name in INEXACT else name for name in names)
 
 
 def whole(table: str, doubles: str = "") -> str:
@@ -38,14 +36,14 @@ def _quoted(names) -> str:
 LATEST = "(select * from positions where snapshot_at = (select max(snapshot_at) from positions))"
 NOW = "timestamp '2024-01-03 23:45:00'"
 FACTS = columns(
-    "aircraft_icao24 snapshot_at callsign flight_phase barometric_altitude_ft ground_speed_kt "
-    "position_age_seconds ingested_at ingest_date ingest_hour"
+    "aircraft_icao24", "snapshot_at", "callsign", "flight_phase", "barometric_altitude_ft",
+    "ground_speed_kt", "position_age_seconds", "ingested_at", "ingest_date", "ingest_hour",
 )
 STATES = (
-    "icao24 callsign origin_country time_position last_contact longitude latitude baro_altitude "
-    "on_ground velocity true_track vertical_rate"
-)
-STATES_TAIL = "geo_altitude squawk spi position_source category snapshot_ts"
+    "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude", "latitude",
+    "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate",
+)
+STATES_TAIL = ("geo_altitude", "squawk", "spi", "position_source", "category", "snapshot_ts")
 SENSORS = "array_to_string(sensors, ',') as sensors"
 
 
@@ -121,7 +119,7 @@ HOUR_SERIES = "case when {0} then ((k * {1} + h) % 97 / 2.0::double) end as {2}"
 
 ORACLE: dict[str, str] = {
     "scan_states": query(
-        f"select {columns(STATES)}, {SENSORS}, {columns(STATES_TAIL)}, ingested_at, region, source, "
+        f"select {columns(*STATES)}, {SENSORS}, {columns(*STATES_TAIL)}, ingested_at, region, source, "
         "ingest_date, ingest_hour from air_states"
     ),
     "scan_reference": query(
@@ -131,8 +129,8 @@ ORACLE: dict[str, str] = {
         union all select 'airlines', count(*) from air_airlines"""
     ),
     "decode_states": query(
-        f"""select {columns(STATES.replace('time_position ', ''))}, {SENSORS},
-            {columns(STATES_TAIL.replace('category ', ''))},
+        f"""select {columns(*(c for c in STATES if c != 'time_position'))}, {SENSORS},
+            {columns(*(c for c in STATES_TAIL if c != 'category'))},
             case when last_contact % 7 <> 0 then time_position end as time_position,
             case when last_contact % 6 <> 0 then category end as category,
             {NOW} as ingested_at, region, source
@@ -230,7 +228,7 @@ ORACLE: dict[str, str] = {
     ),
     "phase_counts": query("select flight_phase, count(*) as rows from positions group by all"),
     "low_positions": query(
-        f"""select {columns('aircraft_icao24 snapshot_at is_on_ground barometric_altitude_m')}
+        f"""select {columns('aircraft_icao24', 'snapshot_at', 'is_on_ground', 'barometric_altitude_m')}
         from low_positions"""
     ),
     "dim_airport": whole("dim_airport"),
@@ -241,10 +239,11 @@ ORACLE: dict[str, str] = {
     "near_airports": query(
         "select "
         + columns(
-            """aircraft_icao24 snapshot_at callsign origin_country latitude longitude
-            barometric_altitude_m ground_speed_kt vertical_rate_ms is_on_ground flight_phase
-            ingest_date ingest_hour airport_id airport_icao_code airport_iata_code airport_name
-            airport_label airport_iso_country airport_municipality distance_km"""
+            "aircraft_icao24", "snapshot_at", "callsign", "origin_country", "latitude", "longitude",
+            "barometric_altitude_m", "ground_speed_kt", "vertical_rate_ms", "is_on_ground",
+            "flight_phase", "ingest_date", "ingest_hour", "airport_id", "airport_icao_code",
+            "airport_iata_code", "airport_name", "airport_label", "airport_iso_country",
+            "airport_municipality", "distance_km",
         )
         + " from near"
     ),
@@ -275,8 +274,8 @@ ORACLE: dict[str, str] = {
     "latest_snapshot": query(
         "select "
         + columns(
-            """latitude longitude callsign origin_country barometric_altitude_ft ground_speed_kt
-            flight_phase aircraft_icao24"""
+            "latitude", "longitude", "callsign", "origin_country", "barometric_altitude_ft",
+            "ground_speed_kt", "flight_phase", "aircraft_icao24",
         )
         + f" from {LATEST}"
     ),
@@ -358,7 +357,7 @@ ORACLE: dict[str, str] = {
         from panel"""
     ),
     "scatter_panel": query(
-        f"""select {columns('distinct_aircraft no2_ugm3 airport_iata_code')} from panel
+        f"""select {columns('distinct_aircraft', 'no2_ugm3', 'airport_iata_code')} from panel
         where no2_ugm3 is not null"""
     ),
     "panel_summary": query(
@@ -412,11 +411,11 @@ ORACLE: dict[str, str] = {
     "incremental_slice": query(
         "select "
         + columns(
-            """aircraft_icao24 snapshot_at callsign origin_country latitude longitude
-            barometric_altitude_m geometric_altitude_m barometric_altitude_ft ground_speed_ms
-            ground_speed_kt heading_deg vertical_rate_ms is_on_ground squawk
-            has_special_purpose_indicator flight_phase position_age_seconds ingestion_region
-            ingested_at ingest_date ingest_hour"""
+            "aircraft_icao24", "snapshot_at", "callsign", "origin_country", "latitude", "longitude",
+            "barometric_altitude_m", "geometric_altitude_m", "barometric_altitude_ft",
+            "ground_speed_ms", "ground_speed_kt", "heading_deg", "vertical_rate_ms", "is_on_ground",
+            "squawk", "has_special_purpose_indicator", "flight_phase", "position_age_seconds",
+            "ingestion_region", "ingested_at", "ingest_date", "ingest_hour",
         )
         + " from positions where snapshot_at > timestamp '2024-01-02 12:00:00'"
     ),

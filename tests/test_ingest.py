@@ -33,13 +33,13 @@ def vector(address, callsign, latitude, longitude, altitude, ground=False, rate=
 def land(spark, folder, root):
     files = {
         "states/a.json": {"time": T, "states": [
-            vector("abc123", "AFR1    ", 49.01, 2.55, 300.0, rate=-3.0),
-            vector("abc789", "DLH2    ", 48.72, 2.38, 100.0, ground=True),
+            vector("5c0001", "VLA1    ", 49.01, 2.55, 300.0, rate=-3.0),
+            vector("5c0003", "HLW2    ", 48.72, 2.38, 100.0, ground=True),
             vector("fff000", None, 45.0, 5.0, 10000.0),
             vector(None, "X", 45.0, 5.0, 10000.0),
         ]},
         "states/b.json": {"time": T + 900, "states": [
-            vector("ABC123", "AFR1    ", 49.02, 2.56, 500.0, rate=4.0, time=T + 890),
+            vector("5C0001", "VLA1    ", 49.02, 2.56, 500.0, rate=4.0, time=T + 890),
         ]},
         "states/c.json": {"time": T + 1800, "states": None},
     }
@@ -87,16 +87,18 @@ def test_landed_files_become_marts(spark, tmp_path, rows):
         "aircraft_icao24", "airline_name", "manufacturer_group", "built_year", "observed_span_seconds"
     )
     assert rows(aircraft) == [
-        ("abc123", "Air France", "Airbus", 2005, 900),
-        ("abc789", "Lufthansa", "Airbus", 2010, 0),
+        ("5c0001", "Vale Air", "Embraer", 2011, 900),
+        ("5c0003", "Hill Wings", "ATR", 2017, 0),
         ("fff000", None, "Inconnu", None, 0),
     ]
-    ages = warehouse["fct_aircraft_positions"].where("aircraft_icao24 = 'abc123'")
+    ages = warehouse["fct_aircraft_positions"].where("aircraft_icao24 = '5c0001'")
     assert sorted(r["position_age_seconds"] for r in ages.collect()) == [0.0, 10.0]
     assert analytics.overview(warehouse["fct_aircraft_positions"]).first()["positions"] == 4
 
     audit = lake.read_audit(spark, root).groupBy("snapshot_ts").agg(F.max("rows").alias("rows"))
     assert rows(audit) == [(T, 3), (T + 900, 1), (T + 1800, 0)]
+    rejected = lake.read_audit(spark, root, "rejected").select("source_name", "file_name", "reason").distinct()
+    assert rows(rejected) == [("air_quality", "ZZZZ", "airport is not followed")]
     landed = lake.read_audit(spark, root, "references").where("source_name = 'registry'").first()
     assert landed["rows"] == 2 and landed["size_bytes"] == len(REGISTRY_CSV)
 
@@ -104,7 +106,7 @@ def test_landed_files_become_marts(spark, tmp_path, rows):
 def test_snapshot_delivered_again_as_empty_loses_its_rows(spark, tmp_path):
     root, payloads = str(tmp_path / "lake"), tmp_path / "states"
     payloads.mkdir()
-    full = {"time": T, "states": [vector("abc123", "AFR1", 49.01, 2.55, 300.0)]}
+    full = {"time": T, "states": [vector("5c0001", "VLA1", 49.01, 2.55, 300.0)]}
     for payload in (full, {"time": T, "states": None}):
         (payloads / "a.json").write_text(json.dumps(payload))
         ingest.land_snapshots(spark, str(payloads), root, "france")

@@ -141,8 +141,9 @@ def test_nearest_equals_brute_force(spark, radius, south, north, west, east, wra
 
 def test_wrap_matches_across_the_180th_meridian(spark):
     positions, places = [(1, 0.0, -179.99)], [(7, 0.0, 179.99)]
-    assert nearest_within(*frames(spark, positions, places), 8.0, place_id="place").count() == 0
-    wrapped = nearest_within(*frames(spark, positions, places), 8.0, place_id="place", wrap=True)
+    clipped = nearest_within(*frames(spark, positions, places), 8.0, place_id="place", wrap=False)
+    assert clipped.count() == 0
+    wrapped = nearest_within(*frames(spark, positions, places), 8.0, place_id="place")
     assert wrapped.first()["place"] == 7
 
 
@@ -221,17 +222,27 @@ def panel():
 def test_correlation_levels_match_demeaned_residuals(spark, panel):
     df = spark.createDataFrame(panel, "k string, h int, x int, y double")
     got = correlation_levels(df, "x", "y", {"plain": [], "within": ["k"], "resid": ["k", "h"]}).first()
-    sub = pd.DataFrame(panel, columns=["k", "h", "x", "y"]).dropna(subset=["y"])
-
-    def residual(column, by):
-        return sub[column] - sub.groupby(by)[column].transform("mean")
-
-    assert got["n"] == len(sub)
-    assert got["plain"] == pytest.approx(sub.x.corr(sub.y), abs=1e-9)
-    assert got["within"] == pytest.approx(residual("x", ["k"]).corr(residual("y", ["k"])), abs=1e-9)
-    assert got["resid"] == pytest.approx(
-        residual("x", ["k", "h"]).corr(residual("y", ["k", "h"])), abs=1e-9
-    )
+    def within(*by):
+        """Pooled sums of squares around group means; rows with a null key are in no group."""
+        groups = {}
+        for k, h, x, y in panel:
+            key = tuple({"k": k, "h": h}[name] for name in by)
+            if y is not None and None not in key:
+                groups.setdefault(key, []).append((x, y))
+        xy = xx = yy = 0.0
+        for points in groups.values():
+            x_mean = math.fsum(x for x, _ in points) / len(points)
+            y_mean = math.fsum(y for _, y in points) / len(points)
+            for x, y in points:
+                xy += (x - x_mean) * (y - y_mean)
+                xx += (x - x_mean) ** 2
+                yy += (y - y_mean) ** 2
+        return xy / math.sqrt(xx * yy)
+
+    assert got["n"] == sum(y is not None for *_, y in panel)
+    assert got["plain"] == pytest.approx(within(), abs=1e-9)
+    assert got["within"] == pytest.approx(within("k"), abs=1e-9)
+    assert got["resid"] == pytest.approx(within("k", "h"), abs=1e-9)
 
 
 def test_correlation_of_a_constant_series_is_null(spark):
