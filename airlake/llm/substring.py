@@ -39,6 +39,8 @@ BITS = 27
 BUCKETS = 256
 # Automata per shuffle partition, built one after the other, so that one stays small.
 SHARDS = 16
+# Distinct neighbourhoods a task gathers before it sends them.
+HELD_BYTES = 8 * 1024 * 1024
 NO_ID = 2**63 - 1
 
 
@@ -53,12 +55,11 @@ def _anchors(space: WordSpace, width: int) -> tuple[np.ndarray, np.ndarray, np.n
     return at, at + least, phrases
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(56)).astype(np.int64)
-
-
 def _post_anchors(width: int):
-    """(bucket, hashes, classes): the distinct anchors of a batch with their extreme classes."""
+    """(bucket, hashes, classes): the distinct anchors of a batch with their extreme classes.
+
+    An anchor is sent as 40 bits of its hash, 8 of them the bucket; equal bits only propose more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,15 +67,16 @@ def _post_anchors(width: int):
                 space = WordSpace(part.column(0).to_pylist())
                 _, anchor, phrases = _anchors(space, width)
                 anchor = np.unique(anchor)
-                hashes = phrases[anchor]
+                hashes = phrases[anchor] >> np.uint64(24)
                 classes = part.column(1).to_numpy(zero_copy_only=False)[space.doc[anchor]]
                 order = np.lexsort((classes, hashes))
                 hashes, classes = hashes[order], classes[order]
                 edge = np.flatnonzero(hashes[1:] != hashes[:-1])
                 keep = np.unique(np.concatenate(([0], edge + 1, edge, [len(hashes) - 1]))) if len(hashes) else []
                 hashes, classes = hashes[keep], classes[keep]
-                bounds = np.searchsorted(_bucket(hashes), np.arange(BUCKETS + 1))
+                bounds = np.searchsorted(hashes >> np.uint64(32), np.arange(BUCKETS + 1, dtype=np.uint64))
                 used = np.flatnonzero(np.diff(bounds))
+                hashes = hashes.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used, pa.int64()),
@@ -101,14 +103,14 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             held[0].append(hashes)
             held[1].append(classes)
     for bucket, (hashes, classes) in rows.items():
-        h = np.frombuffer(b"".join(hashes), np.uint64)
+        h = np.frombuffer(b"".join(hashes), np.uint32)
         c = np.frombuffer(b"".join(classes), np.int64)
         order = np.lexsort((c, h))
         h, c = h[order], c[order]
         repeated = h[1:][(h[1:] == h[:-1]) & (c[1:] != c[:-1])]
         size = 1 << (BITS - 8)
         bits = np.zeros(size, bool)
-        bits[_bits(repeated) - bucket * size] = True
+        bits[repeated >> np.uint32(40 - BITS)] = True
         yield pa.RecordBatch.from_arrays(
             [pa.array([bucket], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())],
             ["bucket", "bits"],
@@ -118,12 +120,15 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _neighbourhoods(width: int, bitmap, merged: bool):
     """Every proposed anchor occurrence: (doc_id, class, first, digest).
 
-    ``merged``: each distinct neighbourhood of a batch instead, (digest, anchor, words, least_id, low,
-    high), so that a passage in many documents is sent once per batch.
+    ``merged``: each distinct neighbourhood instead, (anchor, words, least_id, low, high), so that
+    a passage in many documents is sent once per ``HELD_BYTES`` of distinct ones. ``high`` is null
+    where it equals ``low``; the anchor is 32 bits of its hash, which only deal rows out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
+        held: dict[str, list] = {}
+        size = 0
         for batch in batches:
             for part in byte_slices(batch, 0):
                 space = WordSpace(part.column(0).to_pylist())
@@ -136,7 +141,6 @@ def _neighbourhoods(width: int, bitmap, merged: bool):
                 first = at[new]
                 last = np.append(at[new[1:] - 1], at[-1:]) + width if len(at) else at
                 words = [space.text(i, j) for i, j in zip(first, last)]
-                digests = [hashlib.blake2b(w.encode(), digest_size=16).digest() for w in words]
                 doc = space.doc[first]
                 ids, classes = part.column(2).take(pa.array(doc)), part.column(1).take(pa.array(doc))
                 if not merged:
@@ -145,31 +149,43 @@ def _neighbourhoods(width: int, bitmap, merged: bool):
                             ids,
                             classes,
                             pa.array((first - space.first[doc]).astype(np.int32)),
-                            pa.array(digests, pa.binary()),
+                            pa.array([_digest(w) for w in words], pa.binary()),
                         ],
                         ["doc_id", "class", "first", "digest"],
                     )
                     continue
-                held: dict[bytes, list] = {}
-                anchors = phrases[anchor[new]].view(np.int64).tolist()
-                for digest, name, text, i, c in zip(digests, anchors, words, ids.to_pylist(), classes.to_pylist()):
-                    known = held.get(digest)
+                anchors = (phrases[anchor[new]] >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()
+                for name, text, i, c in zip(anchors, words, ids.to_pylist(), classes.to_pylist()):
+                    known = held.get(text)
                     if known is None:
-                        held[digest] = [digest, name, text, i, c, c]
+                        held[text] = [name, text, i, c, c]
+                        size += len(text)
                     else:
-                        if i is not None and (known[3] is None or i < known[3]):
-                            known[3] = i
-                        known[4], known[5] = min(known[4], c), max(known[5], c)
-                kinds = (pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-                columns = zip(*held.values()) if held else [[]] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-                    ["digest", "anchor", "words", "least_id", "low", "high"],
-                )
+                        if i is not None and (known[2] is None or i < known[2]):
+                            known[2] = i
+                        known[3], known[4] = min(known[3], c), max(known[4], c)
+                if size > HELD_BYTES:
+                    yield _merged_rows(held)
+                    held, size = {}, 0
+        if merged:
+            yield _merged_rows(held)
 
     return run
 
 
+def _digest(words: str) -> bytes:
+    return hashlib.blake2b(words.encode(), digest_size=16).digest()
+
+
+def _merged_rows(held: dict[str, list]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+    rows = [(name, text, i, low, None if low == high else high) for name, text, i, low, high in held.values()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values, kind) for values, kind in zip(zip(*rows) if rows else [[]] * 5, kinds)],
+        ["anchor", "words", "least_id", "low", "high"],
+    )
+
+
 def _locate(width: int):
     """Per shard: compile confirmed windows, stream all neighbourhoods, give the owner of each window."""
 
@@ -221,14 +237,14 @@ def _locate_shard(frame: pd.DataFrame, width: int) -> pd.DataFrame:
     digests, owners = [], []
     if len(automaton):
         automaton.make_automaton()
-        for digest, words in zip(frame["digest"], sequences):
+        for text, words in zip(frame["words"], sequences):
             found = [-1] * (len(words) - width + 1)
             hit = False
             for end, owner in automaton.iter(words):
                 found[end - width + 1] = owner
                 hit = True
             if hit:
-                digests.append(digest)
+                digests.append(_digest(text))
                 owners.append([None if o == -1 else o for o in found])
     return pd.DataFrame({"digest": digests, "owners": owners})
 
@@ -274,20 +290,19 @@ def repeated_places(texts: DataFrame, width: int = WIDTH) -> DataFrame:
         bitmap[bucket * len(bits) : (bucket + 1) * len(bits)] = bits
     shared = spark.sparkContext.broadcast(bytes(bitmap))
     inputs = texts.select("words", "class", "doc_id")
-    # Dealt once, by anchor: what is merged by digest afterwards is already in place.
+    # Dealt once, by anchor: what is merged by its words afterwards is already in place.
     distinct = (
         inputs.mapInArrow(
             _neighbourhoods(width, shared, merged=True),
-            "digest binary, anchor long, words string, least_id long, low long, high long",
+            "anchor int, words string, least_id long, low long, high long",
         )
         .repartition(partitions, "anchor")
-        .groupBy("anchor", "digest")
+        .groupBy("anchor", "words")
         .agg(
-            F.first("words").alias("words"),
             # A null id owns nothing: no id is greater than this one.
             F.coalesce(F.min("least_id"), F.lit(NO_ID)).alias("least_id"),
             F.min("low").alias("low"),
-            F.max("high").alias("high"),
+            F.max(F.coalesce("high", "low")).alias("high"),
         )
     )
     owners = (
