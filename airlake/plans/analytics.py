@@ -2,6 +2,8 @@
 
 Facts have one row per aircraft and instant, so counting aircraft inside one snapshot is
 counting rows; no distinct is needed there.
+
+Fixed values: the French result names are the columns that the dashboards expect.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from airlake.functions.flight import UNKNOWN
 from airlake.functions.text import airline_prefix, strip
 from airlake.operators.correlate import correlation_by, correlation_levels
 from airlake.operators.keys import top_k
-from airlake.operators.median import grouped_median
 
 SCHEDULE_MINUTES = 15
 
@@ -25,13 +26,16 @@ def _rows(name: str) -> Column:
 
 
 def overview(positions: DataFrame) -> DataFrame:
-    return positions.agg(
-        _rows("positions"),
-        F.count_distinct("aircraft_icao24").alias("aeronefs"),
-        F.count_distinct("snapshot_at").alias("snapshots"),
+    """Size and span of the history; each distinct count has its own spread shuffle, so the fact
+    is not multiplied by the number of distinct columns."""
+    per_snapshot = positions.groupBy("snapshot_at").agg(_rows("n"))
+    aircraft = positions.agg(F.count_distinct("aircraft_icao24").alias("n")).scalar()
+    return per_snapshot.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("positions"),
+        F.count("snapshot_at").alias("snapshots"),
         F.min("snapshot_at").alias("debut"),
         F.max("snapshot_at").alias("fin"),
-    )
+    ).select("positions", aircraft.alias("aeronefs"), "snapshots", "debut", "fin")
 
 
 def active_airports(airport_activity: DataFrame) -> DataFrame:
@@ -100,12 +104,11 @@ def flight_phase_mix(positions: DataFrame) -> DataFrame:
 
 
 def latest_medians(positions: DataFrame) -> DataFrame:
-    latest = latest_slice(positions)
-    altitude = grouped_median(latest, [], "barometric_altitude_ft", "median_altitude_ft")
-    speed = grouped_median(latest, [], "ground_speed_kt", "median_speed_kt")
-    return altitude.unionByName(speed, allowMissingColumns=True).agg(
-        F.max("median_altitude_ft").alias("median_altitude_ft"),
-        F.max("median_speed_kt").alias("median_speed_kt"),
+    """Exact medians of one snapshot in one scan: tasks send distinct values with their counts, and
+    one snapshot's values are bounded by the aircraft in the air."""
+    return latest_slice(positions).agg(
+        F.median("barometric_altitude_ft").alias("median_altitude_ft"),
+        F.median("ground_speed_kt").alias("median_speed_kt"),
     )
 
 

@@ -18,6 +18,10 @@ RUNTIME_SETTINGS = {
     # A replayed partition replaces itself and leaves its neighbours alone.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Stream state (a week of keys) on disk instead of the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The JVM never compiles methods above 8000 bytes of bytecode; wide cleaning projections
     # are faster as several compiled operators than as one interpreted stage.

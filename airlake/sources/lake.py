@@ -171,12 +171,17 @@ def prune_states(
 
 def clear_snapshots(spark: SparkSession, root: str, times: list[int]) -> None:
     """Remove the rows of snapshots that were delivered again without any."""
+    moments = [(dt.datetime.fromtimestamp(seconds, dt.timezone.utc), seconds) for seconds in times]
+    leaves = [f"ingest_date={m.date()}/ingest_hour={m.hour}/snapshot={seconds}" for m, seconds in moments]
+    delete_folders(spark, states_path(root), leaves)
+
+
+def delete_folders(spark: SparkSession, table: str, leaves: list[str]) -> None:
+    """Delete partition folders of a table; missing ones are passed over."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(states_path(root)).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for seconds in times:
-        moment = dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
-        leaf = f"ingest_date={moment.date()}/ingest_hour={moment.hour}/snapshot={seconds}"
-        files.delete(hadoop.Path(f"{states_path(root)}/{leaf}"), True)
+    files = hadoop.Path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for leaf in leaves:
+        files.delete(hadoop.Path(f"{table}/{leaf}"), True)
 
 
 # Inventory ----------------------------------------------------------------------------

@@ -14,8 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airlake.plans.positions import positions_from_states
+from airlake.plans.staging import stg_states
 from airlake.plans.warehouse import PARTITIONS, write_table
-from airlake.sources.lake import exists, scan_states, since, states_path
+from airlake.sources.lake import delete_folders, exists, scan_states, since, states_path
 from airlake.sources.schemas import LAKE_STATES
 
 FACT = "fct_aircraft_positions"
@@ -23,8 +24,10 @@ HOUR = PARTITIONS[FACT]
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """The fact table; columns added later are null in older files."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """The fact table in its declared schema: no footers are read to find it, and columns added
+    later are null in older files."""
+    declared = positions_from_states(spark.createDataFrame([], LAKE_STATES)).schema
+    return spark.read.schema(declared).parquet(path)
 
 
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -93,13 +96,18 @@ def rebuild_partitions(spark: SparkSession, lake_root: str, path: str, touched:
     """Recompute the touched hours from raw data and replace them in the fact table.
 
     The hours (at most 24 per day of data) are collected and become a literal partition
-    filter, so that the lake is neither scanned beyond them nor shuffled to find them.
+    filter, so that the lake is neither scanned beyond them nor shuffled to find them. Hours
+    that have no usable position any more lose their old facts.
     """
     hours = [tuple(row) for row in touched.select(*HOUR).distinct().collect()]
     if not hours:
         return
     states = scan_states(spark, lake_root).where(hours_predicate(hours))
     write_table(positions_from_states(states), path, HOUR, partitionOverwriteMode="dynamic")
+    # A dynamic overwrite leaves partitions alone that get no row. Staging decides which hours do.
+    filled = {tuple(row) for row in stg_states(states).select(*HOUR).distinct().collect()}
+    emptied = [f"ingest_date={date}/ingest_hour={hour}" for date, hour in hours if (date, hour) not in filled]
+    delete_folders(spark, path, emptied)
 
 
 def full_refresh(spark: SparkSession, lake_root: str, path: str) -> None:

@@ -54,6 +54,20 @@ def test_rebuild_handles_replays_and_late_snapshots_and_can_be_repeated(spark, p
     assert len(summary(spark, path)) == 4
 
 
+def test_an_hour_that_loses_its_rows_loses_its_facts(spark, place):
+    root, path, _ = place
+    land(spark, root, (T, 3, "A"), (T + 7200, 1, "A"), (T + 14400, 2, "A"))
+    incremental.full_refresh(spark, root, path)
+    hours = lake.scan_states(spark, root).where(F.col("snapshot_ts") < T + 14400).select(*incremental.HOUR).distinct()
+    hours = spark.createDataFrame(hours.collect(), hours.schema)
+    # One hour is delivered again without a usable position, the other without any row.
+    lake.write_states(snapshot(spark, T, 2, callsign="A").withColumn("latitude", F.lit(None).cast("double")), root)
+    lake.clear_snapshots(spark, root, [T + 7200])
+    for _ in range(2):
+        incremental.rebuild_partitions(spark, root, path, hours)
+        assert summary(spark, path) == [(14400, "A", 2)]
+
+
 def test_rebuilding_every_hour_equals_a_full_refresh(spark, place, rows, tmp_path):
     root, path, _ = place
     land(spark, root, (T, 3, "A"), (T + 90000, 2, "B"))
