@@ -1,41 +1,56 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-Symbols are the words that make up at least ``SYMBOL_SHARE`` of the training tokens, the end, and
-one symbol for all other words, which spreads its probability over them by their counts.
-Contexts of one and two symbols are candidates if they precede at least ``CONTEXT_SHARE`` of the
-tokens, and are retained if the divergence of their next-symbol distribution from that of their
-shorter context is significant. A retained distribution is smoothed with its parent's. A token is
-scored in the state of the longest retained suffix of what stands before it. Shares bound the
-tree at any size of the corpus: at most 1/share symbols and contexts per depth.
-
-The count of every training token is gathered, in hash buckets of packed arrays. Words
-that are not frequent are looked up by sending each bucket the words of all documents and summing
-what comes back; the frequent ones (at most 1 / ``FREQUENT_SHARE``, broadcast) never are, so no
-bucket holds more than a small share of the tokens of one word. Words are identified by 64 bits.
+Contexts are the last 1 to ``DEPTH`` words before a token (with a mark for the start of the text).
+Every context followed by at least ``LEAST`` training tokens is a candidate, so the tree grows
+with the corpus. It is retained if the distribution of its next words differs from that of
+its shorter context: the marginal likelihood ratio of a Dirichlet prior of weight ``PRIOR`` around the
+parent's distribution must exceed 1 / ``ERROR``. The ratio has mean 1 if they are the same, so that
+a wrong one is retained with a probability of at most ``ERROR`` however rare the words are.
+
+With n of N tokens, a retained context gives a word (n + PRIOR * parent) / (N + PRIOR); others pass the
+parent's probability on. So the log probability of a token is that of the smoothed word counts, plus
+for each retained context before it log(PRIOR / (N + PRIOR)), plus for each of these that has the word next
+log(1 + n / (PRIOR * parent)). These are sums over the word sequences of a text, and each sequence is
+looked up by its hash alone.
+
+Counts and values stay in tables in hash buckets of packed arrays; each bucket is sent the
+sequences of all documents and gives back sums. Frequent words (at most 1 / ``FREQUENT_SHARE``)
+are broadcast and never sent, so no bucket holds more than a small share of the tokens of one
+word. Bitmaps of ``BITS`` bits keep back sequences without a candidate or retained context; a full one
+only sends more. Words and sequences are identified by 64 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from airlake.llm.common import byte_slices, prepare, single_spaced, written
 from airlake.llm.minhash import LOWER, UPPER
 from airlake.llm.wordspace import WordSpace
 
 FREQUENT_SHARE = 1e-4
-SYMBOL_SHARE = 1e-3
-CONTEXT_SHARE = 1e-3
+# Most words of a context, and least tokens after it.
+DEPTH = 3
+LEAST = 20
 # Weight of the parent's distribution, in observations.
 PRIOR = 20.0
+# Chance of retaining a context that does not differ from its parent.
+ERROR = 1e-3
+# Size of a bitmap.
+BITS = 27
 END = np.uint64(0xE0F)
-RARE_SYMBOL, END_SYMBOL, FIRST_SYMBOL = 0, 1, 2
+START = np.uint64(0x50F)
 LEAST_BUCKETS = 64
 # Distinct words that a task holds before it sends their counts on.
 HELD_WORDS = 2_000_000
+# Values that a task packs at once.
+HELD_VALUES = 1_000_000
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,111 +135,123 @@ def _frequent(least: float):
     return run
 
 
-class SuffixTree:
-    """Totals, frequent words, and the log10 next-symbol probabilities of retained contexts."""
-
-    def __init__(self, tokens: int, words: int, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        self.tokens, self.words = tokens, words
-        self.keys, self.counts = keys[order], counts[order]
-        self.symbol = np.zeros(len(keys), np.int64)
-        symbols = np.flatnonzero((self.counts >= SYMBOL_SHARE * tokens) & (self.keys != END))
-        self.symbol[symbols] = np.arange(len(symbols)) + FIRST_SYMBOL
-        self.symbol[self.keys == END] = END_SYMBOL
-        self.size = len(symbols) + FIRST_SYMBOL
-        self.total = tokens + 0.5 * (words + 1)  # of the smoothed unigram
-        root = np.zeros(self.size)
-        named = self.symbol > 0
-        root[self.symbol[named]] = (self.counts[named] + 0.5) / self.total
-        if not (self.keys == END).any():
-            root[END_SYMBOL] = 0.5 / self.total if tokens else 0.25
-        root[RARE_SYMBOL] = max(1.0 - root[1:].sum(), 1e-12)
-        self.root = root
-        # Rows of next-symbol probabilities; row 0 is the root.
-        self.rows, self.state = [root], [{}, {}]
-        self.codes = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        self._freeze()
-
-    def symbols(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol of each token, and its place among the frequent words (-1: not there)."""
-        if not len(self.keys):
-            return np.zeros(len(tokens), np.int64), np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.keys, tokens), len(self.keys) - 1)
-        hit = self.keys[at] == tokens
-        symbol = np.where(hit, self.symbol[at], RARE_SYMBOL)
-        symbol[tokens == END] = END_SYMBOL
-        return symbol, np.where(hit, at, -1)
-
-    def contexts(self, symbol: np.ndarray, doc: np.ndarray, depth: int) -> np.ndarray:
-        """Code of the ``depth`` symbols before each token; what precedes a text is the end."""
-        code = np.zeros(len(symbol), np.int64)
-        for back in range(depth, 0, -1):
-            before = np.full(len(symbol), END_SYMBOL)
-            before[back:] = np.where(doc[back:] == doc[:-back], symbol[:-back], END_SYMBOL)
-            code = code * self.size + before
-        return code
-
-    def retain(self, depth: int, contexts: np.ndarray, following: np.ndarray, counts: np.ndarray) -> None:
-        """Test each context's counts against its parent's distribution and keep those that differ."""
-        order = np.argsort(contexts, kind="stable")
-        contexts, following, counts = contexts[order], following[order], counts[order]
-        starts = np.flatnonzero(np.diff(contexts, prepend=-1))
-        for first, last in zip(starts, np.append(starts[1:], len(contexts))):
-            code, n = int(contexts[first]), counts[first:last].astype(float)
-            parent = self.rows[self.state[0].get(code % self.size, 0) if depth == 2 else 0]
-            total = n.sum()
-            divergence = 2 * (n * np.log(n / total / parent[following[first:last]])).sum()
-            freedom = max(last - first - 1, 1)
-            if divergence > freedom + 4 * np.sqrt(2 * freedom):
-                row = PRIOR * parent / (total + PRIOR)
-                row[following[first:last]] += n / (total + PRIOR)
-                self.state[depth - 1][code] = len(self.rows)
-                self.rows.append(row)
-        self._freeze()
-
-    def _freeze(self) -> None:
-        self.logp = np.log10(np.array(self.rows))
-        self.codes = [np.array(sorted(s), np.int64) for s in self.state]
-        self.places = [np.array([s[c] for c in sorted(s)], np.int64) for s in self.state]
-
-    def states(self, symbol: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """Row of the longest retained suffix before each token."""
-        row = np.zeros(len(symbol), np.int64)
-        for depth in (1, 2):
-            codes = self.codes[depth - 1]
-            if len(codes):
-                code = self.contexts(symbol, doc, depth)
-                at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-                row = np.where(codes[at] == code, self.places[depth - 1][at], row)
-        return row
-
-
-def _count_contexts(tree, depth: int, candidates: np.ndarray | None):
-    """(context, following, n) of a batch, for the candidate contexts."""
+def _joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Hash of a sequence from those of all but its last and all but its first word: Spark's xxhash64."""
+    p1, p2, p3, p4, p5 = (
+        np.uint64(p)
+        for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
+    rotated = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+    h = np.full(len(prefix), 42, np.uint64)
+    for part in (prefix, suffix):
+        h = (h + p5 + np.uint64(8)) ^ (rotated(part * p2, 31) * p1)
+        h = rotated(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def _sequences(texts: list[str], longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Text number of every token, and per length the hash of the sequence from each token on.
+
+    Each text has a start before and an end after its words. Sequences may run across texts.
+    """
+    space = WordSpace(texts)
+    edges = np.stack((space.first, space.first + space.n), axis=1).reshape(-1)
+    tokens = np.insert(space.hash, edges, np.tile(np.array([START, END]), len(texts)))
+    hashes = [tokens]
+    for _ in range(longest - 1):
+        hashes.append(_joined(hashes[-1][:-1], hashes[-1][1:]))
+    return np.repeat(np.arange(len(texts)), space.n + 2), hashes
+
+
+def _inside(doc: np.ndarray, size: int) -> np.ndarray:
+    """Whether ``size`` tokens from each one on lie in one text."""
+    count = max(0, len(doc) - size + 1)
+    return doc[:count] == doc[size - 1 : size - 1 + count]
+
+
+def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _bitmap(hashes: DataFrame) -> bytes:
+    """A bit for each hash in column ``seq``."""
+    bit = F.shiftrightunsigned("seq", 64 - BITS) + 1
+    slices = hashes.groupBy(F.bitmap_bucket_number(bit).alias("slice")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    bitmap = bytearray(1 << (BITS - 3))
+    for row in slices.toLocalIterator():
+        first = (row["slice"] - 1) * len(row["bits"])
+        bitmap[first : first + len(row["bits"])] = row["bits"]
+    return bytes(bitmap)
+
+
+def _count_grams(depth: int, bitmap):
+    """(context, suffix, n): the tokens after each context that is in the bitmap.
+
+    The suffix is the context without its first word, with the token.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tree.value
+        bits = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             for part in byte_slices(batch, 0):
-                tokens, doc = _tokens(part.column(0).to_pylist())
-                symbol, _ = model.symbols(tokens)
-                context = model.contexts(symbol, doc, depth)
-                if candidates is not None:
-                    chosen = np.isin(context, candidates)
-                    context, symbol = context[chosen], symbol[chosen]
-                code, n = np.unique(context * model.size + symbol, return_counts=True)
+                doc, hashes = _sequences(part.column(0).to_pylist(), depth)
+                own = hashes[depth - 1]
+                at = np.flatnonzero(_inside(doc, depth + 1))
+                at = at[_marked(bits, own[at])]
+                _, first, n = np.unique(_joined(own[at], own[at + 1]), return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code // model.size), pa.array(code % model.size), pa.array(n)],
-                    ["context", "following", "n"],
+                    [pa.array(own[at[first]].view(np.int64)), pa.array(own[at[first] + 1].view(np.int64)), pa.array(n)],
+                    ["context", "suffix", "n"],
                 )
 
     return run
 
 
-def fit_suffix_tree(words: DataFrame, buckets: int) -> tuple[SuffixTree, DataFrame]:
-    """The tree of the texts in column ``words`` (single-spaced), and the written word counts.
+def _log_gamma(x: Column) -> Column:
+    """Stirling's series of x + 8, taken back by the product of the 8 steps."""
+    y = x + 8
+    steps = reduce(lambda a, k: a * (x + k), range(1, 8), x)
+    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
+    return (y - 0.5) * F.log(y) - y + F.lit(0.5 * float(np.log(2 * np.pi))) + series - F.log(steps)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(n, np.int64))], ["seq", "n"]
+            )
+
+
+@dataclass
+class SuffixTree:
+    """Totals, and what is broadcast: frequent words with their counts and values as contexts, the
+    value of the start, and a bitmap of the retained contexts. ``counts`` and ``values`` are tables."""
+
+    tokens: int
+    words: int
+    keys: np.ndarray
+    n: np.ndarray
+    context: np.ndarray
+    start: float
+    bitmap: bytes
+
+    @property
+    def total(self) -> float:
+        return self.tokens + 0.5 * (self.words + 1)  # of the smoothed word counts
+
 
-    What reaches the driver is bounded by the shares: frequent words, and next-symbol counts of candidate contexts.
+def fit_suffix_tree(words: DataFrame, buckets: int, depth: int = DEPTH) -> tuple[SuffixTree, DataFrame, DataFrame]:
+    """The tree of the texts in column ``words`` (single-spaced), the written word counts, and
+    (seq, value): log10 of what a sequence adds, in up to two rows.
+
+    What reaches the driver is frequent words and bitmaps.
     """
     spark = words.sparkSession
     counts = written(
@@ -237,132 +264,215 @@ def fit_suffix_tree(words: DataFrame, buckets: int) -> tuple[SuffixTree, DataFra
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))
     ).first()
     frequent = counts.select("keys", "n").mapInArrow(_frequent(max(FREQUENT_SHARE * tokens, 1)), "key long, n long")
-    frequent = frequent.toPandas()
+    frequent = frequent.toPandas().sort_values("key")
     tree = SuffixTree(
-        tokens, distinct, frequent["key"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.int64)
+        tokens, distinct, frequent["key"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), None, 0.0, b""
     )
-    candidates = None
-    for depth in (1, 2):
-        shared = spark.sparkContext.broadcast(tree)
-        found = (
-            words.mapInArrow(
-                _count_contexts(shared, depth, candidates), "context long, following long, n long"
-            )
-            .groupBy("context", "following")
+    unigrams = counts.select("keys", "n").mapInArrow(_unpacked, "seq long, n long")
+    parents = unigrams.select("seq", F.log((F.col("n") + 0.5) / tree.total).alias("logp"))
+    start = spark.range(1).select(F.lit(int(START)).cast("long").alias("seq"))
+    candidates = unigrams.where(F.col("n") >= LEAST).select("seq").union(start)
+    prior = F.lit(PRIOR)
+    likely = prior * F.exp("logp")
+    evidence = F.when(F.col("n") == 1, F.log(prior)).otherwise(
+        _log_gamma(F.col("n") + likely) - _log_gamma(likely) - F.col("n") * F.col("logp")
+    )
+    values, states = [], []
+    for size in range(1, depth + 1):
+        shared = spark.sparkContext.broadcast(_bitmap(candidates))
+        grams = (
+            words.mapInArrow(_count_grams(size, shared), "context long, suffix long, n long")
+            .groupBy("context", "suffix")
             .agg(F.sum("n").alias("n"))
-            .toPandas()
-            .sort_values(["context", "following"])
         )
-        context, following, n = (found[c].to_numpy(np.int64) for c in ("context", "following", "n"))
-        totals = np.bincount(context, n) if depth == 1 and len(context) else None
-        if depth == 1:
-            often = np.isin(context, np.flatnonzero(totals >= CONTEXT_SHARE * tokens)) if len(context) else context > 0
-            tree.retain(1, context[often], following[often], n[often])
-            # A pair that precedes that many tokens is itself that frequent.
-            candidates = (context * tree.size + following)[n >= CONTEXT_SHARE * tokens]
-        else:
-            tree.retain(2, context, following, n)
-    return tree, counts
+        weighed = written(grams.join(parents.withColumnRenamed("seq", "suffix"), "suffix"), "grams")
+        tested = weighed.groupBy("context").agg(F.sum("n").alias("total"), F.sum(evidence).alias("evidence"))
+        ratio = F.col("evidence") + _log_gamma(prior) - _log_gamma(F.col("total") + prior)
+        tested = written(
+            tested.where(F.col("total") >= LEAST).select(
+                "context", "total", (ratio > float(-np.log(ERROR))).alias("retained")
+            ),
+            "contexts",
+        )
+        smoothed = F.log((F.col("n") + likely) / (F.col("total") + prior))
+        known = written(
+            weighed.join(tested if size < depth else tested.where("retained"), "context").select(
+                F.xxhash64("context", "suffix").alias("seq"),
+                "n",
+                F.when(F.col("retained"), smoothed).otherwise(F.col("logp")).alias("logp"),
+                F.when(F.col("retained"), F.log10(1 + F.col("n") / likely)).alias("value"),
+            ),
+            "sequences",
+        )
+        kept = tested.where("retained").select(
+            F.col("context").alias("seq"), F.log10(prior / (F.col("total") + prior)).alias("value")
+        )
+        states.append(kept)
+        values += [kept, known.where("value is not null").select("seq", "value")]
+        parents = known.select("seq", "logp")
+        candidates = known.where(F.col("n") >= LEAST).select("seq")
+    tree.bitmap = _bitmap(reduce(DataFrame.union, states).select("seq"))
+    wanted = spark.createDataFrame([(int(k),) for k in [*tree.keys, START]], "seq long")
+    found = dict(states[0].join(F.broadcast(wanted), "seq", "left_semi").toPandas().to_numpy(object).tolist())
+    tree.context = np.array([found.get(int(k), 0.0) for k in tree.keys], np.float64)
+    tree.start = float(found.get(int(START), 0.0))
+    order = np.argsort(tree.keys.view(np.uint64))
+    tree.keys, tree.n, tree.context = tree.keys.view(np.uint64)[order], tree.n[order], tree.context[order]
+    return tree, counts, reduce(DataFrame.union, values)
+
+
+# Rows of a bucket come in this order, with up to four packed arrays each.
+COUNTS, VALUES, WORDS, SEQUENCES, HEADS = range(5)
+PACKED = "bucket long, kind int, a binary, b binary, c binary, d binary"
+
+
+def _pack(buckets: np.ndarray | list, kind: int, *columns: list) -> pa.RecordBatch:
+    columns = [*columns, *[[None] * len(buckets)] * (4 - len(columns))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(buckets, pa.int64()), pa.array([kind] * len(buckets), pa.int32())]
+        + [pa.array(c, pa.binary()) for c in columns],
+        ["bucket", "kind", "a", "b", "c", "d"],
+    )
 
 
-def _heads(tree):
-    """Per text: what needs no lookup."""
+def _pack_values(buckets: int):
+    def packed(keys: list, values: list) -> pa.RecordBatch:
+        keys, values = np.concatenate(keys), np.concatenate(values)
+        own = _buckets(keys, buckets)
+        order = np.argsort(own, kind="stable")
+        keys, values, bounds = keys[order], values[order], np.searchsorted(own[order], np.arange(buckets + 1))
+        used = np.flatnonzero(np.diff(bounds))
+        cut = lambda a: [a[bounds[b] : bounds[b + 1]].tobytes() for b in used]
+        return _pack(used, VALUES, cut(keys), cut(values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tree.value
+        keys, values = [], []
         for batch in batches:
-            for part in byte_slices(batch, 0):
-                size = part.num_rows
-                tokens, doc = _tokens(part.column(0).to_pylist())
-                symbol, at = model.symbols(tokens)
-                count = np.where(at >= 0, model.counts[at] if len(model.counts) else 0, 0)
-                direct = (at >= 0) | (tokens == END)
-                logc = np.where(direct, np.log10(count + 0.5), 0.0)
-                rare = symbol == RARE_SYMBOL
-                sums = lambda x: pa.array(np.bincount(doc, x, size))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(1),
-                        pa.array(np.bincount(doc, minlength=size)),
-                        sums(direct & (count > 0)).cast(pa.int64()),
-                        sums(logc),
-                        sums(np.where(rare, logc, 0.0)),
-                        sums(rare).cast(pa.int64()),
-                        sums(model.logp[model.states(symbol, doc), symbol]),
-                    ],
-                    ["key", "n_tokens", "n_known", "logc", "rare_logc", "n_rare", "symbol_score"],
-                )
+            keys.append(batch.column(0).to_numpy().view(np.uint64))
+            values.append(batch.column(1).to_numpy())
+            if sum(map(len, keys)) > HELD_VALUES:
+                yield packed(keys, values)
+                keys, values = [], []
+        if keys:
+            yield packed(keys, values)
 
     return run
 
 
-def _post_words(tree, buckets: int):
-    """(bucket, keys, docs, n) of the words that are not frequent, each once per text."""
+def _post(tree, buckets: int, depth: int):
+    """Each text's sums over frequent words, and its other words and sequences once each, by bucket."""
+
+    def posted(kind: int, hashes: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        own = _buckets(hashes, buckets)
+        order = np.lexsort((hashes, doc, own))
+        hashes, doc = hashes[order], doc[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+        starts = np.flatnonzero(new)
+        n = np.diff(np.append(starts, len(hashes))).astype(np.uint32)
+        hashes, doc = hashes[starts], doc[starts]
+        bounds = np.searchsorted(_buckets(hashes, buckets), np.arange(buckets + 1))
+        used = np.flatnonzero(np.diff(bounds))
+        columns = [], [], [], []
+        for b in used:
+            part = slice(bounds[b], bounds[b + 1])
+            runs = np.flatnonzero(np.diff(doc[part], prepend=-1))
+            lengths = np.diff(np.append(runs, bounds[b + 1] - bounds[b])).astype(np.uint32)
+            for column, packed in zip(columns, (hashes[part], ids[doc[part][runs]], lengths, n[part])):
+                column.append(packed.tobytes())
+        return _pack(used, kind, *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tree.value
+        bits = np.frombuffer(model.bitmap, np.uint8)
         for batch in batches:
             for part in byte_slices(batch, 0):
-                tokens, doc = _tokens(part.column(0).to_pylist())
-                _, at = model.symbols(tokens)
-                other = (at < 0) & (tokens != END)
-                tokens, doc = tokens[other], doc[other]
-                order = np.lexsort((tokens, doc, _buckets(tokens, buckets)))
-                tokens, doc = tokens[order], doc[order]
-                new = np.ones(len(tokens), bool)
-                new[1:] = (tokens[1:] != tokens[:-1]) | (doc[1:] != doc[:-1])
-                starts = np.flatnonzero(new)
-                n = np.diff(np.append(starts, len(tokens))).astype(np.uint32)
-                tokens, doc = tokens[starts], doc[starts]
-                docs = part.column(1).to_numpy(zero_copy_only=False)[doc]
-                bounds = np.searchsorted(_buckets(tokens, buckets), np.arange(buckets + 1))
-                used = np.flatnonzero(np.diff(bounds))
-                cut = lambda a: pa.array([a[bounds[b] : bounds[b + 1]].tobytes() for b in used], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int64()), cut(tokens), cut(docs), cut(n)], ["bucket", "keys", "docs", "n"]
-                )
+                size = part.num_rows
+                ids = part.column(1).to_numpy(zero_copy_only=False)
+                doc, hashes = _sequences(part.column(0).to_pylist(), depth + 1)
+                real = hashes[0] != START
+                tokens, own = hashes[0][real], doc[real]
+                at = np.searchsorted(model.keys, tokens)
+                at[at == len(model.keys)] = 0
+                direct = model.keys[at] == tokens if len(model.keys) else np.zeros(len(tokens), bool)
+                count = np.where(direct, model.n[at] if len(model.keys) else 0, 0)
+                context = np.where(direct, model.context[at] if len(model.keys) else 0.0, 0.0)
+                direct |= tokens == END
+                sums = lambda x: np.bincount(own, x, size)
+                yield _pack(
+                    [int(ids[0]) % buckets], HEADS, [ids.tobytes()],
+                    [np.bincount(own, minlength=size).astype(np.int64).tobytes()],
+                    [sums(count > 0).astype(np.int64).tobytes()],
+                    [np.stack((sums(np.where(direct, np.log10(count + 0.5), 0.0)), sums(context) + model.start)).tobytes()],
+                )
+                yield posted(WORDS, tokens[~direct], own[~direct], ids)
+                marked = [_marked(bits, h) for h in hashes]
+                for length in range(2, depth + 2):
+                    # Of use if the context or the whole sequence, as a context, is retained.
+                    use = _inside(doc, length)
+                    use &= marked[length - 2][: len(use)] | marked[length - 1][: len(use)]
+                    use = np.flatnonzero(use)
+                    yield posted(SEQUENCES, hashes[length - 1][use], doc[use], ids)
 
     return run
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, n_known, logc): the sums of each text over the words of each bucket.
+    """(key, n_tokens, n_known, logc, context, copies): the sums of each text over what each bucket has."""
+    bucket, pieces, tables = None, {}, {}
+
+    def found(kind: int, keys: np.ndarray) -> np.ndarray:
+        if kind not in tables:
+            own = pieces.pop(kind, [])
+            table, which = np.unique(np.concatenate([k for k, _ in own] or [np.zeros(0, np.uint64)]), return_inverse=True)
+            # A sequence has one value as a context and one as a context with its next word.
+            tables[kind] = table, np.bincount(which, np.concatenate([v for _, v in own]), len(table)) if own else which
+        table, values = tables[kind]
+        if not len(table):
+            return np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+        return np.where(table[at] == keys, values[at], 0.0)
 
-    Rows come sorted by bucket, its counts (no docs) before its words.
-    """
-    bucket, table, counts = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
-        for own, keys, docs, n in zip(*(c.to_pylist() for c in batch.columns)):
-            keys = np.frombuffer(keys, np.uint64)
+        for own, kind, a, b, c, d in zip(*(column.to_pylist() for column in batch.columns)):
             if own != bucket:
-                bucket, table, counts = own, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            if docs is None:
-                table, counts = keys, np.frombuffer(n, np.int64)
+                bucket, pieces, tables = own, {}, {}
+            if kind in (COUNTS, VALUES):
+                values = np.frombuffer(b, np.int64 if kind == COUNTS else np.float64)
+                pieces.setdefault(kind, []).append((np.frombuffer(a, np.uint64), values))
                 continue
-            docs, n = np.frombuffer(docs, np.int64), np.frombuffer(n, np.uint32)
-            c = np.zeros(len(keys), np.int64)
-            if len(table):
-                at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-                c = np.where(table[at] == keys, counts[at], 0)
-            # Words of a text follow each other.
-            starts = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+            if kind == HEADS:
+                docs = np.frombuffer(a, np.int64)
+                tokens, known = np.frombuffer(b, np.int64), np.frombuffer(c, np.int64)
+                logc, context = np.frombuffer(d, np.float64).reshape(2, -1)
+                copies = np.ones(len(docs), np.int64)
+            else:
+                keys, docs = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)
+                n = np.frombuffer(d, np.uint32).astype(np.int64)
+                starts = np.append(0, np.cumsum(np.frombuffer(c, np.uint32))[:-1]).astype(np.int64)
+                nothing = np.zeros(len(docs), np.int64)
+                tokens = known = copies = nothing
+                logc = nothing.astype(np.float64)
+                if kind == WORDS:
+                    count = found(COUNTS, keys)
+                    known = np.add.reduceat(np.where(count > 0, n, 0), starts)
+                    logc = np.add.reduceat(n * np.log10(count + 0.5), starts)
+                context = np.add.reduceat(n * found(VALUES, keys), starts)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(docs[starts]),
-                    pa.array(np.add.reduceat(np.where(c > 0, n, 0).astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(n * np.log10(c + 0.5), starts)),
-                ],
-                ["key", "n_known", "logc"],
+                [pa.array(x) for x in (docs, tokens, known, logc, context, copies)],
+                ["key", "n_tokens", "n_known", "logc", "context", "copies"],
             )
 
 
-def score_documents(docs: DataFrame, train: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def score_documents(
+    docs: DataFrame, train: str, text: str = "text", doc_id: str = "doc_id", depth: int = DEPTH
+) -> DataFrame:
     """(doc_id, trained, n_tokens, n_known, train_tokens, base_score, score): one row per row of ``docs``.
 
     ``train`` is a boolean SQL expression over ``docs``; rows where it is true are learned from
     (``trained``), and all are scored. A-Z are lower-cased, words split at ASCII white space, and
     each text is closed by an end token. ``base_score`` is the log10 probability under smoothed
-    word counts, ``score`` under the suffix tree.
+    word counts, ``score`` under the suffix tree with contexts of up to ``depth`` words.
 
     Null text is empty: one end token. Null ids are scored like others. Repeated rows count
     once each in training and get equal scores. Without training rows everything is unknown. Other
@@ -375,37 +485,26 @@ def score_documents(docs: DataFrame, train: str, text: str = "text", doc_id: str
         F.coalesce(F.expr(train), F.lit(False)).alias("trained"),
         single_spaced(F.translate(F.col(text), UPPER, LOWER)).alias("words"),
     ).withColumn("key", F.xxhash64("doc_id", "words"))
-    tree, counts = fit_suffix_tree(texts.where("trained").select("words"), buckets)
+    tree, counts, values = fit_suffix_tree(texts.where("trained").select("words"), buckets, depth)
     shared = spark.sparkContext.broadcast(tree)
-    inputs = texts.select("words", "key")
-    heads = inputs.mapInArrow(
-        _heads(shared),
-        "key long, n_tokens long, n_known long, logc double, rare_logc double, n_rare long, symbol_score double",
-    )
-    words = inputs.mapInArrow(_post_words(shared, buckets), "bucket long, keys binary, docs binary, n binary")
-    tables = counts.select("bucket", "keys", F.lit(None).cast("binary").alias("docs"), "n")
+    absent = F.lit(None).cast("binary")
     looked = (
-        tables.union(words)
+        counts.select("bucket", F.lit(COUNTS).alias("kind"), F.col("keys").alias("a"), F.col("n").alias("b"), absent.alias("c"), absent.alias("d"))
+        .union(values.mapInArrow(_pack_values(buckets), PACKED))
+        .union(texts.select("words", "key").mapInArrow(_post(shared, buckets, depth), PACKED))
         .repartition(buckets, "bucket")
-        .sortWithinPartitions("bucket", F.col("docs").isNotNull())
-        .mapInArrow(_look_up, "key long, n_known long, logc double")
-        .select(
-            "key", F.lit(0).alias("n_tokens"), "n_known", "logc", F.col("logc").alias("rare_logc"),
-            F.lit(0).alias("n_rare"), F.lit(0.0).alias("symbol_score"), F.lit(0).alias("copies"),
-        )
-    )
+        .sortWithinPartitions("bucket", "kind")
+        .mapInArrow(_look_up, "key long, n_tokens long, n_known long, logc double, context double, copies long")
+    )
     # Equal rows share a key and add up alike; their number is divided out again.
-    sums = heads.withColumn("copies", F.lit(1)).union(looked).groupBy("key")
-    sums = sums.agg(*[F.sum(c).alias(c) for c in heads.columns[1:]], F.sum("copies").alias("copies"))
-    zero, rare = float(np.log10(tree.total)), float(np.log10(tree.root[RARE_SYMBOL]))
+    sums = looked.groupBy("key").agg(*[F.sum(c).alias(c) for c in looked.columns[1:]])
+    base = F.col("logc") - F.col("n_tokens") * float(np.log10(tree.total))
     scored = sums.select(
         "key",
         (F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"),
         (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
-        ((F.col("logc") - F.col("n_tokens") * zero) / F.col("copies")).alias("base_score"),
-        (
-            (F.col("symbol_score") + F.col("rare_logc") - F.col("n_rare") * (zero + rare)) / F.col("copies")
-        ).alias("score"),
+        (base / F.col("copies")).alias("base_score"),
+        ((base + F.col("context")) / F.col("copies")).alias("score"),
     )
     return (
         texts.select("doc_id", "trained", "key")

@@ -245,6 +245,73 @@ def test_suffix_tree_learns_order(spark):
     assert got[100]["score"] > got[101]["score"] + 10
 
 
+def tree_scores(texts, trained, depth):
+    """log10 probability of each text under the tree, with all counts in dictionaries."""
+    unigrams, following = collections.Counter(), collections.defaultdict(collections.Counter)
+    padded = [(None, *t, "\n") for t in texts]
+    for t in (t for t, learn in zip(padded, trained) if learn):
+        unigrams.update(t[1:])
+        for i in range(1, len(t)):
+            for d in range(1, min(depth, i) + 1):
+                following[t[i - d : i]][t[i]] += 1
+    total = sum(unigrams.values()) + 0.5 * (len(unigrams) + 1)
+    weight, states = suffix_tree.PRIOR, {}
+
+    def probability(context, word):
+        if not context:
+            return (unigrams[word] + 0.5) / total
+        parent = probability(context[1:], word)
+        if not states[context]:
+            return parent
+        n = following[context]
+        return (n[word] + weight * parent) / (sum(n.values()) + weight)
+
+    states = collections.defaultdict(bool)
+    for context in sorted(following, key=len):
+        n = following[context]
+        if (size := sum(n.values())) >= suffix_tree.LEAST:
+            ratio = math.lgamma(weight) - math.lgamma(size + weight)
+            for word, k in n.items():
+                p = probability(context[1:], word)
+                ratio += math.lgamma(k + weight * p) - math.lgamma(weight * p) - k * math.log(p)
+            states[context] = ratio > -math.log(suffix_tree.ERROR)
+    scores = [
+        sum(math.log10(probability(t[max(0, i - depth) : i], t[i])) for i in range(1, len(t))) for t in padded
+    ]
+    return scores, {c for c, kept in states.items() if kept}
+
+
+def test_suffix_tree_equals_brute_force(spark, tables):
+    lower = str.maketrans(minhash.UPPER, minhash.LOWER)
+    for frame, pairs in tables:
+        texts = [tuple(WORD.findall((t or "").translate(lower))) for _, t in pairs]
+        trained = [i is not None and i % 5 != 1 for i, _ in pairs]
+        expected, _ = tree_scores(texts, trained, 3)
+        got = suffix_tree.score_documents(frame, "doc_id % 5 != 1").collect()
+        assert sorted((str(r["doc_id"]), round(r["score"], 4)) for r in got) == sorted(
+            (str(i), round(s, 4)) for (i, _), s in zip(pairs, expected)
+        )
+
+
+def test_suffix_tree_keeps_rare_contexts(spark):
+    """Contexts of 30 in 60,000 tokens, of words that are rare themselves, of one and of three words."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 3000, 200)) for _ in range(300)]
+    for i in range(30):
+        texts[i] += f" left{i % 2} mid dle {'yes' if i % 2 else 'no'} qux zap"
+    texts += ["qux zap", "qux yes", "left1 mid dle yes", "left1 mid dle no"]
+    trained = [i < 300 for i in range(len(texts))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["score"] for r in suffix_tree.score_documents(frame, "doc_id < 300").orderBy("doc_id").collect()]
+    expected, states = tree_scores([tuple(t.split()) for t in texts], trained, 3)
+    assert ("qux",) in states
+    assert got == pytest.approx(expected)
+    assert got[300] > got[301] + 0.5
+    assert [hash_ for hash_ in spark.sql("select xxhash64(3L, -5L) h").first()] == [
+        int(suffix_tree._joined(np.array([3], np.uint64), np.array([-5]).view(np.uint64)).view(np.int64)[0])
+    ]
+
+
 def test_secrets_and_ledger(spark, odd, tmp_path):
     text = 'x password = "abc123DEF" AKIA' + "A1" * 9 + " " + "0af" * 10 + " token:abc secret=short1"
     spans = [(secrets.KINDS[k], text[s:e]) for k, s, e in secrets.find_secrets(text)]
