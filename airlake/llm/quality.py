@@ -1,13 +1,15 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule is a score of a text, higher being worse, on a grid of ``STEPS`` cutoffs. Labelled
-good documents that pass the base rules are the holdout. Per stratum (language) and rule, cutoffs are
-tested from the mildest to the strictest: "this cutoff rejects more than ``RISK / rules`` of good
-documents" must be refuted by the exact binomial tail, at level ``ERROR / (rules * strata)``
-(Bonferroni over rules and strata; within a rule the order is fixed and testing stops at the
-first failure, which needs no further correction). So with probability ``1 - ERROR`` at
-most ``RISK`` of good documents are rejected in any stratum. A stratum with too few labels gets no
-cutoff and rejects nothing.
+Each rule is a score of a text, higher being worse, on a grid of ``STEPS`` steps. Labelled
+good documents that pass the base rules are the holdout. In each stratum (language) all rules share one
+cutoff: steps become severities, by how rare they are among the good documents of the other
+strata and, beyond all of these, by how far beyond, and a document is as severe as its worst rule. Severities
+are tested from the highest down: "rejecting from here on loses more than ``RISK`` of good documents" must
+be refuted by the exact binomial tail at level ``ERROR / strata`` (the order is fixed without the
+stratum's own holdout, and testing stops at the first failure, so that only the strata need a correction).
+So with probability ``1 - ERROR`` at most ``RISK`` of good documents are rejected in any
+stratum. Only strata with enough labels for any cutoff (:func:`least_labels`) are tested and counted; the others
+reject nothing. A single stratum takes a half of its own holdout for the severities, by a hash of the id.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -89,13 +92,24 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def _select(level: float, risk: float):
+def least_labels(strata: int, risk: float = RISK, error: float = ERROR) -> int:
+    """Good labels, none of them rejected, that a stratum needs for a cutoff."""
+    return math.ceil(math.log(error / strata) / math.log1p(-risk))
+
+
+def tested_strata(sizes: list[int], risk: float, error: float) -> int:
+    """How many of the strata, by falling number of good labels, can be tested together."""
+    sizes = sorted(sizes, reverse=True)
+    return max((m for m, n in enumerate(sizes, 1) if n >= least_labels(m, risk, error)), default=0)
+
+
+def _select(level: float, risk: float, steps: int = STEPS):
     """The strictest cutoff of one (stratum, rule): documents with step >= cutoff are rejected."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         counts = dict(zip(frame["step"], frame["good"]))
-        n, rejected, cutoff = int(frame["good"].sum()), 0, STEPS + 1
-        for step in range(STEPS, 0, -1):
+        n, rejected, cutoff = int(frame["good"].sum()), 0, steps + 1
+        for step in range(steps, 0, -1):
             rejected += int(counts.get(step, 0))
             if rejected > n * risk or binomial_tail(rejected, n, risk) > level:
                 break
@@ -107,28 +121,88 @@ def _select(level: float, risk: float):
     return run
 
 
+def severities(reference: np.ndarray) -> np.ndarray:
+    """Severity (0 to 2 * STEPS) of each rule (rows) and step, from the reference's documents at each.
+
+    Up to the highest step in the reference, the share of its documents below; beyond, the distance.
+    """
+    steps, out = np.arange(STEPS + 1), []
+    for counts in reference:
+        n = counts.sum()
+        top = np.flatnonzero(counts).max(initial=0)
+        below = (np.cumsum(counts) - counts) * STEPS // max(n, 1)
+        beyond = STEPS + np.ceil(STEPS * (steps - top) / max(STEPS - top, 1))
+        out.append(np.where(steps <= top, below, beyond))
+    return np.array(out, np.int64)
+
+
+def _severities(totals: np.ndarray | None):
+    """Of one stratum: from the totals of all strata without its own documents; from its own if None."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros((len(RULES), STEPS + 1), np.int64)
+        own[frame["rule"], frame["step"]] = frame["good"]
+        table = severities(own if totals is None else totals - own)
+        return pd.DataFrame({"stratum": [frame["stratum"].iloc[0]], "severities": [table.tolist()]})
+
+    return run
+
+
+def _rule_cutoffs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first step of each rule with the severity of the cutoff; beyond the grid if there is none."""
+    for frame in frames:
+        cutoffs = []
+        for table, cutoff in zip(frame["severities"], frame["cutoff"]):
+            reached = np.array([list(rule) for rule in table]) >= cutoff
+            cutoffs.append(np.where(reached.any(axis=1), reached.argmax(axis=1), STEPS + 1).tolist())
+        yield pd.DataFrame({"stratum": frame["stratum"], "cutoffs": cutoffs})
+
+
 def risk_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, cutoffs): a cutoff per rule for every stratum that has good labels.
+    """(stratum, cutoffs): a cutoff per rule for every stratum that has enough good labels.
 
     ``measured`` as made here; ``labels`` has doc_id and quality (1 is good; null labels are none).
-    What is grouped is counts on the grid, never documents.
+    What reaches the driver is label numbers of strata and the grid's totals.
     """
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    holdout = measured.where("not base_failed").join(good, "doc_id")
-    counts = (
-        holdout.select("stratum", F.posexplode("steps").alias("rule", "step"))
+    holdout = written(
+        measured.where("not base_failed")
+        .join(good, "doc_id")
+        .select("stratum", "steps", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("half")),
+        "holdout",
+    )
+    single = holdout.select("stratum").distinct().limit(2).count() == 1
+    reference = holdout.where("half") if single else holdout
+    holdout = holdout.where("not half") if single else holdout
+    counts = written(
+        reference.select("stratum", F.posexplode("steps").alias("rule", "step"))
         .groupBy("stratum", "rule", "step")
-        .agg(F.count("*").alias("good"))
+        .agg(F.count("*").alias("good")),
+        "grid",
     )
-    counts = written(counts, "grid")
-    strata = counts.select("stratum").distinct().count()
-    level = error / (len(RULES) * max(strata, 1))
-    chosen = counts.groupBy("stratum", "rule").applyInPandas(
-        _select(level, risk / len(RULES)), "stratum string, rule int, cutoff int"
+    totals = np.zeros((len(RULES), STEPS + 1), np.int64)
+    for row in counts.groupBy("rule", "step").agg(F.sum("good").alias("good")).collect():
+        totals[row["rule"], row["step"]] = row["good"]
+    tables = counts.groupBy("stratum").applyInPandas(
+        _severities(None if single else totals), "stratum string, severities array<array<int>>"
+    )
+    tables = written(tables, "severities")
+    sizes = written(holdout.groupBy("stratum").agg(F.count("*").alias("n")), "sizes")
+    enough = sizes.where(F.col("n") >= least_labels(1, risk, error)).select("n").collect()
+    tested = tested_strata([row["n"] for row in enough], risk, error)
+    sizes = sizes.where(F.col("n") >= least_labels(max(tested, 1), risk, error)).select(F.col("stratum").alias("__stratum"))
+    chosen = lookup_join(holdout, sizes, F.col("stratum") == F.col("__stratum"), "left_semi")
+    of_rule = F.zip_with("__severities", "steps", lambda table, step: F.get(table, step))
+    looked = tables.select(F.col("stratum").alias("__stratum"), F.col("severities").alias("__severities"))
+    cutoffs = (
+        lookup_join(chosen, looked, F.col("stratum") == F.col("__stratum"))
+        .groupBy("stratum", F.lit(0).alias("rule"), F.array_max(of_rule).alias("step"))
+        .agg(F.count("*").alias("good"))
+        .groupBy("stratum", "rule")
+        .applyInPandas(_select(error / max(tested, 1), risk, 2 * STEPS), "stratum string, rule int, cutoff int")
     )
-    # One entry per rule, in the order of RULES.
-    return chosen.groupBy("stratum").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rule", "cutoff"))), lambda r: r["cutoff"]).alias("cutoffs")
+    return tables.join(cutoffs, "stratum").select("stratum", "severities", "cutoff").mapInPandas(
+        _rule_cutoffs, "stratum string, cutoffs array<int>"
     )
 
 

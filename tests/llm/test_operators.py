@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from airlake.llm import bpe, embeddings, language, minhash, mixing, quality, secrets, substring, suffix_tree
@@ -184,6 +185,30 @@ def test_binomial_bound():
     assert quality._select(0.01, 1e-6)(frame)["cutoff"].iloc[0] == quality.STEPS + 1
 
 
+def test_quality_rejects_planted_documents(spark):
+    """240 good labels in each of 4 languages, and 5 in a fifth, are enough to reject what breaks a rule."""
+    assert quality.least_labels(4) == 217 and quality.tested_strata([300, 240, 230, 220, 5], 0.02, 0.05) == 4
+    rng = np.random.default_rng(2)
+    rows, good = [], []
+    for lang, n in (("en", 240), ("de", 240), ("fr", 240), ("es", 240), ("la", 5)):
+        for k in range(n + 20):
+            words = [f"w{w}" for w in rng.integers(0, 4000, 120)]
+            if k >= n:
+                words = words[:60] + [f"#{w}$" for w in words[:60]]
+            rows.append((len(rows), " ".join(words), lang, k < n))
+            good += [rows[-1][0]] if k < n else []
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, good boolean")
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    for part in (docs, docs.where("lang in ('en', 'la')")):
+        kept = collections.Counter()
+        for r in quality.quality_verdicts(part, labels).where("not base_failed").join(docs, "doc_id").collect():
+            kept[r["lang"] if r["lang"] == "la" else "rest", r["good"]] += r["kept"]
+        assert kept["rest", False] == 0 and kept["la", False] == 20
+        assert kept["rest", True] >= 0.98 * part.where("good and lang != 'la'").count()
+    alone = quality.quality_verdicts(docs.where("lang = 'en'").union(docs.where("lang = 'de'").withColumn("lang", F.lit("en"))), labels)
+    assert alone.join(docs.where("not good"), "doc_id").where("kept").count() == 0
+
+
 def test_language(spark, small, odd):
     model = language.fit_languages(small)
     got = language.predict_languages(small, model).join(small.select("doc_id", "lang"), "doc_id").collect()
