@@ -2,7 +2,8 @@
 
 Each source's repetition rate is its target share of the output divided by what it has. A
 document's count is the Poisson quantile of a uniform number taken from a hash of its id, so
-that counts repeat on every run and machine. Documents are exploded by their count and ordered by
+that counts repeat on every run and machine. A rate above ``MAX_RATE`` is a sum of draws of that rate, each
+with its own hash, and one of the rest, since a sum of Poisson numbers is one. Documents are exploded by their count and ordered by
 a hash of id and copy, which is a global shuffle with balanced ranges.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from airlake.llm.common import lookup_join, prepare, written
 
 TEMPERATURE = 0.5
-# Highest repetition rate; a source that would need more gets this rate.
+# Highest rate of one draw; a source that needs more gets several.
 MAX_RATE = 20.0
 
 
@@ -40,7 +41,7 @@ def poisson_table(rate: Column) -> Column:
 
 
 def repetition_rates(docs: DataFrame, weights: dict[str, float] | None, scale: float, text: str, source: str) -> DataFrame:
-    """(source, cdf) and the rate, from the characters that each source has.
+    """(source, draws, full, cdf): ``draws`` of ``MAX_RATE`` (table ``full``), and the table of the rest of the rate.
 
     Without ``weights`` a source's weight is the square root of its size. Weights are of
     the sources named; a source without a weight has rate 0.
@@ -55,12 +56,19 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None, scale: f
         weight = F.coalesce(*pairs, F.lit(0.0))
     sizes = written(sizes.withColumn("weight", weight), "sizes")
     weights_sum, all_chars = sizes.agg(F.sum("weight"), F.sum("chars")).first()
-    if not weights_sum:  # nothing to take from
-        return written(sizes.limit(0).select("source", F.array(F.lit(0.0)).alias("cdf")), "rates")
-    share = F.col("weight") / F.lit(weights_sum) * F.lit(all_chars) * F.lit(scale)
     # A source without characters repeats as it is.
-    rate = F.when(F.col("chars") > 0, F.least(share / F.col("chars"), F.lit(MAX_RATE))).otherwise(F.lit(1.0))
-    return written(sizes.select("source", rate.alias("rate")).withColumn("cdf", poisson_table(F.col("rate"))), "rates")
+    rate = F.lit(1.0)
+    if weights_sum:
+        share = F.col("weight") / F.lit(weights_sum) * F.lit(all_chars) * F.lit(scale)
+        rate = F.when(F.col("chars") > 0, share / F.col("chars")).otherwise(rate)
+    elif all_chars:  # no source with characters has a weight
+        rate = F.when(F.col("chars") > 0, F.lit(0.0)).otherwise(rate)
+    # The rest is above 0 and at most MAX_RATE, so that rates up to it take one draw.
+    draws = F.greatest(F.ceil(F.col("rate") / MAX_RATE) - 1, F.lit(0)).cast("int")
+    rates = sizes.select("source", rate.alias("rate")).withColumn("draws", draws)
+    full = F.when(F.col("draws") > 0, poisson_table(F.lit(MAX_RATE)))
+    rest = poisson_table(F.col("rate") - F.col("draws") * MAX_RATE)
+    return written(rates.select("source", "draws", full.alias("full"), rest.alias("cdf")), "rates")
 
 
 def mix_sources(
@@ -81,9 +89,18 @@ def mix_sources(
     """
     prepare(docs.sparkSession)
     rates = repetition_rates(docs, weights, scale, text, source)
-    rates = rates.select(F.col("source").alias("__source"), F.col("cdf").alias("__cdf"))
+    rates = rates.select(*[F.col(c).alias(f"__{c}") for c in rates.columns])
     key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-    count = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
+
+    def drawn(cdf: Column, u: Column) -> Column:
+        return F.size(F.filter(cdf, lambda c: c <= u))
+
+    further = F.aggregate(
+        F.sequence(F.lit(1), F.col("__draws")),
+        F.lit(0),
+        lambda n, k: n + drawn(F.col("__full"), uniform(F.concat(F.lit("draw "), k.cast("string"), F.lit(":"), key))),
+    )
+    count = drawn(F.col("__cdf"), F.col("__u")) + F.when(F.col("__draws") > 0, further).otherwise(0)
     columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     return (
         lookup_join(docs.withColumn("__u", uniform(key)), rates, F.col(source).eqNullSafe(F.col("__source")))

@@ -162,6 +162,25 @@ def test_mixing_counts_and_sql(spark, small, odd):
     assert {r["source"] for r in only.select("source").distinct().collect()} == {"src0"}
 
 
+def test_mixing_meets_high_rates(spark):
+    """1% of the characters for half of the output: rate 50; 400 for the rarest."""
+    rows = [(i, "x" * 100, "small" if i < 200 else "big") for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs, weights={"small": 0.5, "big": 0.5})
+    n = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert abs(n["small"] - 10_000) < 500 and abs(n["big"] - 10_000) < 500
+    copies = [r["n"] for r in mixed.where("source = 'small'").groupBy("doc_id").agg(F.max("copy").alias("n")).collect()]
+    assert 30 < np.var(copies) < 75  # of a Poisson number, 50
+    rare = mixing.mix_sources(docs.where("doc_id < 10 or doc_id >= 16010"), weights={"small": 1.0})
+    assert abs(rare.count() - 4000) < 320
+
+
+def test_mixing_without_any_text(spark):
+    docs = spark.createDataFrame([(i, None if i % 2 else "", f"s{i % 3}") for i in range(300)], "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs)
+    assert 240 < mixed.count() < 360 and mixed.select("source").distinct().count() == 3
+
+
 def test_quality_base_and_risk(spark, tables):
     frame, pairs = tables[1]
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id long, quality int")
