@@ -1,7 +1,7 @@
 """Embedding near-dedup by Euclidean p-stable hashing.
 
 Vectors are normalised. In each of ``TABLES`` tables, ``PROJECTIONS`` Gaussian projections are
-shifted, cut into steps of ``STEP`` and together name a bucket, per label. At the threshold
+shifted, cut into steps of ``STEP`` and together name a bucket, per label and length. At the threshold
 of 0.93 (distance 0.37) two vectors share a bucket of at least one table with a probability of
 0.99, and closer ones more surely. Bucket mates are compared by exact cosine in blocks of
 vectors inside a task; a large bucket is cut into blocks and every two blocks are compared. A pair
@@ -81,8 +81,9 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = pd.DataFrame({"node": batch.column(0).to_numpy(), "label": batch.column(1).to_pylist(), "vector": batch.column(2).to_pylist()})
         rows["size"] = rows["vector"].str.len()
-        for (label, _), part in rows.groupby(["label", "size"]):
-            salt = np.uint64(int.from_bytes(hashlib.blake2b(label.encode(), digest_size=8).digest(), "little"))
+        for (label, size), part in rows.groupby(["label", "size"]):
+            content = label.encode() + b"\0" + int(size).to_bytes(8, "little")
+            salt = np.uint64(int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little"))
             keys = mix(_bucket_keys(_unit(part["vector"].tolist())) ^ salt)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -128,7 +129,12 @@ def _compare_groups(threshold: float):
 
 
 def _compare(group: pd.DataFrame, threshold: float) -> Iterator[pa.RecordBatch]:
-    if len(group) < 2 or group["vector"].str.len().nunique() > 1:
+    if len(group) < 2:
+        return
+    lengths = group["vector"].str.len()
+    if lengths.nunique() > 1:  # keys of two lengths that are equal by chance
+        for _, part in group.groupby(lengths):
+            yield from _compare(part, threshold)
         return
     node, block, copies = (group[c].to_numpy() for c in ("node", "block", "copies"))
     order = np.argsort(node)

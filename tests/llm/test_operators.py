@@ -289,6 +289,29 @@ def test_suffix_tree_learns_order(spark):
     assert got[100]["score"] > got[101]["score"] + 10
 
 
+def test_embeddings_of_two_lengths(spark):
+    """Vectors of another length under the same label take no links away."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for size in (32, 64):
+        centres = rng.standard_normal((300, size))
+        rows += [[float(v) for v in c + 0.02 * rng.standard_normal(size)] for c in centres for _ in range(3)]
+    frame = spark.createDataFrame([(i, v, "hot") for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label string")
+    links = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(frame).collect()}
+    alone = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(frame.where("size(embedding) = 64")).collect()}
+    assert sum(alone.values()) >= 1790
+    assert all(links[i] == n for i, n in alone.items())
+
+
+def test_embeddings_compare_each_length(spark):
+    """Should two lengths meet in a bucket, each is compared."""
+    vectors = [[1.0, 0.0], [1.0, 0.0], [0.0, 1.0, 0.0], [0.0, 1.0, 0.0]]
+    group = embeddings.pd.DataFrame({"vector": vectors, "node": range(4), "label": "a"})
+    group = group.assign(block=0, copies=1, low=0, high=0, slot=0, key=0)
+    found = [n for b in embeddings._compare(group, 0.93) for n in b.column(0).to_pylist()]
+    assert found == [0, 1, 2, 3]
+
+
 def tree_scores(texts, trained, depth):
     """log10 probability of each text under the tree, with all counts in dictionaries."""
     unigrams, following = collections.Counter(), collections.defaultdict(collections.Counter)
