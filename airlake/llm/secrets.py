@@ -30,7 +30,16 @@ RULES = (
     ),
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 1),
+    # To the END line of the same kind; else over the headers and base64 lines that follow.
+    (
+        "private_key",
+        r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----"
+        r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1-----"
+        r"|(?:(?:\s|\\r|\\n)+[A-Za-z]+(?:-[A-Za-z]+)+:\x20[^\r\n\\]*)*(?:(?:(?:\s|\\r|\\n)+(?=[A-Za-z0-9+/=]*[0-9+/=A-Z])[A-Za-z0-9+/=]{16,})+"
+        r"(?:(?:[\r\n]|\\r|\\n)+[A-Za-z0-9+/]+={0,2}(?=[\r\n]|\\r|\\n|\Z))?)?)",
+        0,
+        1,
+    ),
     ("web_token", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 1),
     ("host_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})", 0, 1),
 )
