@@ -26,6 +26,8 @@ DISCOUNT = 0.75
 # Whole texts are used.
 SAMPLE_DOCS = 1500
 CALIBRATION_DOCS = 500
+# Rows that calibrate, below which a language rejects nothing.
+LEAST_CALIBRATION = 50
 # Share of calibration texts of a language that its rejection limit may reject, and the margin above.
 REJECTED = 0.002
 MARGIN = 1.15
@@ -230,7 +232,7 @@ class LanguageModel:
         self.temperature = grid[int(np.argmin(losses))]
         for lang in range(len(self.langs)):
             values = entropies[langs == lang, lang]
-            if len(values):
+            if len(values) >= LEAST_CALIBRATION:
                 self.limits[lang] = np.quantile(values, 1 - REJECTED) * MARGIN
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -249,29 +251,35 @@ class LanguageModel:
         return [self.langs[b] if k else UNKNOWN for b, k in zip(best, known)], score, low, accepted
 
 
-def _sampled(docs: DataFrame, seed: int, size: int) -> DataFrame:
-    """About ``size`` rows per language, chosen by a hash of the id; whole texts."""
+def _samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Whole texts that are learned from, and others that calibrate, by one hash of the id.
+
+    A language that could not give ``LEAST_CALIBRATION`` rows of a quarter of its own is learned from whole.
+    """
     sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
     sizes = {r["lang"]: r["n"] for r in sizes.collect()}  # one row per language
-    part = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    chosen = F.lit(False)
+    part = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
+    learn, hold = F.lit(False), F.lit(False)
     for lang, n in sizes.items():
-        chosen = chosen | ((F.col("lang") == lang) & (part < size / n))
-    return docs.where(chosen).select("lang", "text")
+        held = min(CALIBRATION_DOCS / n, 0.25) if n * 0.25 >= LEAST_CALIBRATION else 0.0
+        own = F.col("lang") == lang
+        learn = learn | (own & (part < min(SAMPLE_DOCS / n, 1 - held)))
+        hold = hold | (own & (part >= 1 - held))
+    return docs.where(learn).select("lang", "text"), docs.where(hold).select("lang", "text")
 
 
 def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> LanguageModel:
     """The model of a table of labelled texts, from bounded samples (``SAMPLE_DOCS`` per language).
 
-    Rows with a null language, text or id teach nothing. What reaches the driver is bounded by the sample.
+    Rows with a null language, text or id teach nothing. No row both teaches and calibrates. What reaches the driver is bounded by the sample.
     """
     prepare(docs.sparkSession)
     labelled = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")
     ).where("doc_id is not null and lang is not null and text is not null")
+    learned, held = _samples(labelled)
     counted = (
-        _sampled(labelled, 1, SAMPLE_DOCS)
-        .mapInArrow(_count_grams, "lang string, order int, gram string, n long")
+        learned.mapInArrow(_count_grams, "lang string, order int, gram string, n long")
         .groupBy("order", "gram", "lang")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -292,7 +300,7 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
                 [batch.column(0), pa.array(list(entropies), pa.list_(pa.float64()))], ["lang", "entropies"]
             )
 
-    held = _sampled(labelled, 2, CALIBRATION_DOCS).mapInArrow(score, "lang string, entropies array<double>").toPandas()
+    held = held.mapInArrow(score, "lang string, entropies array<double>").toPandas()
     held = held[held["lang"].isin(langs)]
     if len(held):
         model.calibrate(np.stack(held["entropies"].to_list()), held["lang"].map(place).to_numpy())

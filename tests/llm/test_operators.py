@@ -240,6 +240,23 @@ def test_language(spark, small, odd):
     assert {r["lang_pred"] for r in language.predict_languages(odd, nothing).collect()} == {"und"}
 
 
+def test_unseen_texts_of_rare_languages_are_accepted(spark):
+    """5 or 400 labelled texts of a language: clean unseen ones are not rejected; no row both teaches and calibrates."""
+    rng = np.random.default_rng(5)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(30))
+
+    rows = [(i, text("abcdefghijklmn"), "aa") for i in range(400)] + [(400 + i, text("opqrstuvwxyz"), "bb") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned, held = language._samples(docs)
+    assert learned.join(held, "text").count() == 0 and learned.where("lang = 'bb'").count() == 5 and held.count() >= 50
+    unseen = [(1000 + i, text("abcdefghijklmn" if i < 100 else "opqrstuvwxyz"), None) for i in range(200)]
+    frame = spark.createDataFrame(unseen, "doc_id long, text string, lang string")
+    kept = [r["doc_id"] for r in language.keep_identified(frame, language.fit_languages(docs)).collect()]
+    assert sum(i >= 1100 for i in kept) == 100 and sum(i < 1100 for i in kept) >= 95
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((30, 16))
