@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airlake.llm import (
     bpe,
+    conversations,
     embeddings,
     language,
     minhash,
@@ -18,6 +19,8 @@ from airlake.llm import (
     substring,
     suffix_tree,
     token_counts,
+    warc,
+    whitening,
 )
 from airlake.llm.common import id_bucket
 
@@ -107,6 +110,32 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    reports, _, hashes = conversations.repair_conversations(conversations.damaged(rows))
+    every = rows.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    counts = [c for c in reports.columns if c not in ("conv_id", "audit")]
+    hashes = hashes.withColumnRenamed("conv_id", "hashed")
+    return (
+        every.join(reports, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+        .join(hashes, F.col("id").eqNullSafe(F.col("hashed")), "left")
+        .select(
+            F.col("id").alias("conv_id"),
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,9 +153,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
+    "op11_warc": op11_warc,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
 # The others are not expressible in SQL, or too slow there on whole tables; tests/llm compares
 # them with brute force.
-ORACLE = {"op3_mixing": mixing.MIX_SQL.format(table="documents")}
+ORACLE = {
+    "op3_mixing": mixing.MIX_SQL.format(table="documents"),
+    "op11_warc": warc.WARC_SQL.format(table="pages"),
+    "op12_conversation_repair": conversations.REPAIR_SQL.format(table="conversations"),
+}
