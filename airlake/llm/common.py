@@ -54,6 +54,11 @@ def lookup_join(df: DataFrame, table: DataFrame, on: Column, how: str = "inner")
     return df.join(table, on, how)
 
 
+def quoted(name: str) -> str:
+    """A column name as it is, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def single_spaced(text: Column) -> Column:
     """The words of a text, joined by one space each; empty for null."""
     collapsed = F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")

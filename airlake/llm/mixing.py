@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from airlake.llm.common import lookup_join, prepare, written
+from airlake.llm.common import lookup_join, prepare, quoted, written
 
 TEMPERATURE = 0.5
 # Highest rate of one draw; a source that needs more gets several.
@@ -71,7 +71,7 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None, scale: f
     return written(rates.select("source", "draws", full.alias("full"), rest.alias("cdf")), "rates")
 
 
-def mix_sources(
+def replicated(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
     scale: float = 1.0,
@@ -80,37 +80,50 @@ def mix_sources(
     doc_id: str = "doc_id",
     source: str = "source",
 ) -> DataFrame:
-    """``docs`` replicated to the target weights, with ``copy`` (1, 2, ...) and ``shuffle_key``.
+    """(row, copy, shuffle_key): each row of ``docs`` as a struct, once per copy, in the order of ``shuffle_key``.
 
-    Rows come in the global order of ``shuffle_key``. ``scale`` is the size of the output in
-    characters relative to the input; shares are met in expectation. A null source is a source
-    of its own; a null id hashes like an empty one. Null texts count no characters. Repeated rows
-    repeat alike. Input columns named ``copy`` or ``shuffle_key`` are replaced. An empty table gives no rows.
+    The struct keeps columns of any name apart from those of the operator.
     """
     prepare(docs.sparkSession)
-    rates = repetition_rates(docs, weights, scale, text, source)
-    rates = rates.select(*[F.col(c).alias(f"__{c}") for c in rates.columns])
+    rates = repetition_rates(docs, weights, scale, text, source).withColumnRenamed("source", "rate_of")
     key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    rows = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), F.col(source).alias("source"), key.alias("key"))
 
     def drawn(cdf: Column, u: Column) -> Column:
         return F.size(F.filter(cdf, lambda c: c <= u))
 
     further = F.aggregate(
-        F.sequence(F.lit(1), F.col("__draws")),
+        F.sequence(F.lit(1), F.col("draws")),
         F.lit(0),
-        lambda n, k: n + drawn(F.col("__full"), uniform(F.concat(F.lit("draw "), k.cast("string"), F.lit(":"), key))),
+        lambda n, k: n + drawn(F.col("full"), uniform(F.concat(F.lit("draw "), k.cast("string"), F.lit(":"), F.col("key")))),
     )
-    count = drawn(F.col("__cdf"), F.col("__u")) + F.when(F.col("__draws") > 0, further).otherwise(0)
-    columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    return (
-        lookup_join(docs.withColumn("__u", uniform(key)), rates, F.col(source).eqNullSafe(F.col("__source")))
-        .withColumn("__n", count)
-        .where("__n > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-        .withColumn("shuffle_key", F.md5(F.concat(key, F.lit(":"), F.col("copy").cast("string")).cast("binary")))
-        .select(*columns, "copy", "shuffle_key")
-        .orderBy("shuffle_key")
+    rows = lookup_join(rows.withColumn("u", uniform(F.col("key"))), rates, F.col("source").eqNullSafe(F.col("rate_of")))
+    count = drawn(F.col("cdf"), F.col("u")) + F.when(F.col("draws") > 0, further).otherwise(0)
+    copies = rows.withColumn("n", count).where("n > 0").select(
+        "row", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")
     )
+    spread = F.md5(F.concat("key", F.lit(":"), F.col("copy").cast("string")).cast("binary"))
+    return copies.select("row", "copy", spread.alias("shuffle_key")).orderBy("shuffle_key")
+
+
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, scale: float = 1.0, **names) -> DataFrame:
+    """``docs`` replicated to the target weights, with ``copy`` (1, 2, ...) and ``shuffle_key``.
+
+    Rows come in the global order of ``shuffle_key``. ``scale`` is the size of the output in
+    characters relative to the input; shares are met in expectation. ``names`` are those of :func:`replicated`. A null
+    source is a source of its own; a null id hashes like an empty one. Null texts count no characters. Repeated
+    rows repeat alike. Input columns named ``copy`` or ``shuffle_key`` are replaced; :func:`replicate` keeps
+    them. An empty table gives no rows.
+    """
+    kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    mixed = replicated(docs, weights, scale, **names)
+    return mixed.select(*[F.col("row")[c].alias(c) for c in kept], "copy", "shuffle_key")
+
+
+def replicate(docs: DataFrame, weights: dict[str, float] | None = None, scale: float = 1.0, **names) -> DataFrame:
+    """The rows of :func:`mix_sources` with the columns of ``docs`` alone, whatever they are called."""
+    mixed = replicated(docs, weights, scale, **names)
+    return mixed.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 # The same in DuckDB: default weights, the seed "mix" and a scale of 1.
@@ -121,21 +134,31 @@ with sizes as (
 ), totals as (
   select sum(sqrt(chars)) as weights, sum(chars) as all_chars from sizes
 ), rates as (
-  select source,
-    case when chars > 0 then least(sqrt(chars) / weights * all_chars / chars, {MAX_RATE}) else 1.0 end as rate
-  from sizes, totals where weights > 0
+  select source, case when weights > 0 and chars > 0 then sqrt(chars) / weights * all_chars / chars else 1.0 end as rate
+  from sizes, totals
+), parts as (
+  select source, greatest(ceil(rate / {MAX_RATE}) - 1, 0)::int as draws,
+    rate - greatest(ceil(rate / {MAX_RATE}) - 1, 0) * {MAX_RATE} as rest
+  from rates
+), means as (
+  select distinct rest as mean from parts union select {MAX_RATE}
 ), steps as (
-  select source, k, sum(exp(-rate) * pow(rate, k) / gamma(k + 1)) over (partition by source order by k) as c
-  from rates, range(0, {int(MAX_RATE * 5) + 21}) as r(k)
+  select mean, k, sum(exp(-mean) * pow(mean, k) / gamma(k + 1)) over (partition by mean order by k) as c
+  from means, range(0, {int(MAX_RATE * 5) + 21}) as r(k)
 ), cdf as (
-  select source, list(c order by k) as cdf from steps group by source
+  select mean, list(c order by k) as cdf from steps group by mean
+), keyed as (
+  select d as row, 'mix:' || coalesce(d.doc_id::varchar, '') as key, draws, own.cdf as own, whole.cdf as whole
+  from {{table}} d join parts on parts.source is not distinct from d.source
+    join cdf own on own.mean = parts.rest join cdf whole on whole.mean = {MAX_RATE}
 ), counted as (
-  select d.*, 'mix:' || coalesce(d.doc_id::varchar, '') as key,
-    ('0x' || substr(md5('mix:' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0 as u,
-    cdf
-  from {{table}} d join cdf on cdf.source is not distinct from d.source
+  select row, key, list_sum(list_transform(range(0, draws + 1), lambda k: len(list_filter(
+    case when k = 0 then own else whole end,
+    lambda c: c <= ('0x' || substr(md5(case when k = 0 then key else 'draw ' || k || ':' || key end), 1, 13))::bigint
+      / 4503599627370496.0))))::int as n
+  from keyed
 ), copies as (
-  select * exclude (u, cdf), unnest(range(1, len(list_filter(cdf, lambda c: c <= u)) + 1))::int as copy from counted
+  select row, key, unnest(range(1, n + 1))::int as copy from counted
 )
-select * exclude (key), md5(key || ':' || copy::varchar) as shuffle_key from copies
+select row.*, copy, md5(key || ':' || copy::varchar) as shuffle_key from copies
 """
