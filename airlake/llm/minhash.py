@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from airlake.llm.common import byte_slices, prepare, single_spaced, written
+from airlake.llm.common import byte_slices, prepare, quoted, single_spaced, written
 from airlake.llm.graph import components
 from airlake.llm.wordspace import WordSpace, mix
 
@@ -355,5 +355,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """
     doc_id = options.get("doc_id", "doc_id")
     found = near_duplicates(docs, **options)
-    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), F.col(doc_id) == F.col("__gone"), "left_anti")
+    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct()
+    # The documents travel as one struct, so that no column of theirs can clash.
+    rows = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"))
+    rest = rows.join(gone, F.col("row")[doc_id].cast("long") == F.col("gone"), "left_anti")
+    return rest.select(*[F.col("row")[c].alias(c) for c in docs.columns])

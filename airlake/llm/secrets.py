@@ -1,7 +1,7 @@
 """Secret scans with an incremental blob ledger.
 
 A document is a path; its text is a blob, addressed by its SHA-256. The ledger is a Parquet
-table (blob, rule_version, findings) of what has been scanned. A scan content-addresses the
+table (blob, findings), partitioned by rule_version, of what has been scanned; other versions' files are not read. A scan content-addresses the
 given texts, takes the blobs that the ledger does not have for the present rule version, scans one
 holder of each, appends the findings, and joins the ledger back to all paths.
 
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from airlake.llm.common import prepare, scratch
+from airlake.llm.common import prepare, quoted, scratch
 
 # Patterns are fixed values: the three base kinds, then public formats of credentials.
 # (kind, pattern, measured group, least length of that group)
@@ -40,13 +40,14 @@ RULES = (
         0,
         1,
     ),
-    ("web_token", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 1),
+    # From the beginning of a run of its characters only, so that each run is entered once.
+    ("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 1),
     ("host_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})", 0, 1),
 )
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = tuple(rule[0] for rule in RULES)
 RULE_VERSION = hashlib.sha256(repr(RULES).encode()).hexdigest()[:16]
-LEDGER = "blob binary, rule_version string, findings array<struct<kind:int,start:int,end:int>>"
+LEDGER = "blob binary, findings array<struct<kind:int,start:int,end:int>>, rule_version string"
 
 _compiled = [(re.compile(pattern, re.ASCII), group, least) for _, pattern, group, least in RULES]
 
@@ -105,8 +106,8 @@ def scan_new(docs: DataFrame, ledger: str, text: str = "text", doc_id: str = "do
     # Joined by the holder's id, which no group shares; the digest settles rows with a repeated id.
     chosen = texts.join(unseen, F.col("id").eqNullSafe(F.col("holder"))).where("content = blob").select("blob", "text")
     chosen.mapInArrow(_scan, "blob binary, findings array<struct<kind:int,start:int,end:int>>").select(
-        "blob", F.lit(RULE_VERSION).alias("rule_version"), "findings"
-    ).write.mode("append").parquet(ledger)
+        "blob", "findings", F.lit(RULE_VERSION).alias("rule_version")
+    ).write.mode("append").partitionBy("rule_version").parquet(ledger)
 
 
 def scan_secrets(
@@ -154,9 +155,10 @@ def redact_secrets(
     Overlapping spans are replaced together. Columns are those of ``docs``; null stays null.
     """
     found = scan_secrets(docs, ledger, text, doc_id).where(F.size("findings") > 0).dropDuplicates(["doc_id", "blob"])
-    found = found.select(*[F.col(c).alias(f"__{c}") for c in found.columns])
-    same = F.col(doc_id).eqNullSafe(F.col("__doc_id")) & (blob(F.col(text)) == F.col("__blob"))
-    clean = F.when(F.col("__findings").isNull(), F.col(text)).otherwise(
-        _redacted(F.col(text), F.col("__findings"))
-    )
-    return docs.join(found, same, "left").withColumn(text, clean).select(*docs.columns)
+    # The documents travel as one struct, so that no column of theirs can clash.
+    rows = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"))
+    own = F.col("row")[text]
+    same = F.col("row")[doc_id].cast("long").eqNullSafe(F.col("doc_id")) & (blob(own) == F.col("blob"))
+    clean = F.when(F.col("findings").isNull(), own).otherwise(_redacted(own, F.col("findings")))
+    joined = rows.join(found, same, "left")
+    return joined.select(*[(clean if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
