@@ -2,14 +2,16 @@
 
 Each rule is a score of a text, higher being worse, on a grid of ``STEPS`` steps. Labelled
 good documents that pass the base rules are the holdout. In each stratum (language) all rules share one
-cutoff: steps become severities, by how rare they are among the good documents of the other
+cutoff: steps become severities, by how rare they are among the good texts of the other
 strata and, beyond all of these, by how far beyond, and a document is as severe as its worst rule. Severities
 are tested from the highest down: "rejecting from here on loses more than ``RISK`` of good documents" must
 be refuted by the exact binomial tail at level ``ERROR / strata`` (the order is fixed without the
 stratum's own holdout, and testing stops at the first failure, so that only the strata need a correction).
 So with probability ``1 - ERROR`` at most ``RISK`` of good documents are rejected in any
-stratum. Only strata with enough labels for any cutoff (:func:`least_labels`) are tested and counted; the others
-reject nothing. A single stratum takes a half of its own holdout for the severities, by a hash of the id.
+stratum. Equal texts are one label of their stratum, since copies say nothing new. Only strata with enough labels
+for any cutoff (:func:`least_labels`) are tested and counted; the others reject nothing. A stratum beside which the
+others have fewer than ``LEAST_REFERENCE`` good texts takes a half of its own holdout for the severities, by a hash
+of the text, and the other half for the test.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from airlake.llm.common import lookup_join, prepare, written
 RISK = 0.02
 ERROR = 0.05
 STEPS = 400
+# Good texts of other strata, below which a stratum's severities come from a half of its own.
+LEAST_REFERENCE = 150
 RULES = ("symbols", "marks", "dup_lines", "repeats", "one_word")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -71,14 +75,14 @@ def measures(text: str) -> tuple[dict[str, int], dict[str, float]]:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [measures(t) for t in batch.column(2).to_pylist()]
+        rows = [measures(t) for t in batch.column(3).to_pylist()]
         # Steps of the grid; a score beyond the last step counts as the last.
         steps = [[min(STEPS, int(s[r] * STEPS)) for r in RULES] for _, s in rows]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1)]
+            [batch.column(0), batch.column(1), batch.column(2)]
             + [pa.array([b[name] for b, _ in rows], pa.int64()) for name in BASE]
             + [pa.array(steps, pa.list_(pa.int32()))],
-            ["doc_id", "stratum", *BASE, "steps"],
+            ["doc_id", "stratum", "content", *BASE, "steps"],
         )
 
 
@@ -136,13 +140,13 @@ def severities(reference: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _severities(totals: np.ndarray | None):
-    """Of one stratum: from the totals of all strata without its own documents; from its own if None."""
+def _severities(totals: np.ndarray):
+    """Of one stratum: from the totals of all strata without its own texts, or from its own half."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         own = np.zeros((len(RULES), STEPS + 1), np.int64)
         own[frame["rule"], frame["step"]] = frame["good"]
-        table = severities(own if totals is None else totals - own)
+        table = severities(own if frame["alone"].iloc[0] else totals - own)
         return pd.DataFrame({"stratum": [frame["stratum"].iloc[0]], "severities": [table.tolist()]})
 
     return run
@@ -165,27 +169,33 @@ def risk_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, err
     What reaches the driver is label numbers of strata and the grid's totals.
     """
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    holdout = written(
+    # Copies of a text have its measures; they are one label, reduced before the shuffle.
+    held = written(
         measured.where("not base_failed")
         .join(good, "doc_id")
-        .select("stratum", "steps", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("half")),
+        .groupBy("stratum", "content")
+        .agg(F.min("steps").alias("steps"))
+        .withColumn("half", F.pmod(F.xxhash64("content"), F.lit(2)) == 1),
         "holdout",
     )
-    single = holdout.select("stratum").distinct().limit(2).count() == 1
-    reference = holdout.where("half") if single else holdout
-    holdout = holdout.where("not half") if single else holdout
+    all_good = held.count()
+    shares = held.groupBy(F.col("stratum").alias("__stratum")).agg(
+        (F.lit(all_good) - F.count("*") < LEAST_REFERENCE).alias("alone")
+    )
+    held = lookup_join(held, written(shares, "shares"), F.col("stratum") == F.col("__stratum")).drop("__stratum")
+    holdout = held.where("not alone or not half")
+    steps = held.select("stratum", "alone", "half", F.posexplode("steps").alias("rule", "step"))
     counts = written(
-        reference.select("stratum", F.posexplode("steps").alias("rule", "step"))
-        .groupBy("stratum", "rule", "step")
-        .agg(F.count("*").alias("good")),
+        steps.groupBy("stratum", "alone", "rule", "step").agg(
+            F.count("*").alias("all"), F.count_if("half").alias("halved")
+        ),
         "grid",
     )
     totals = np.zeros((len(RULES), STEPS + 1), np.int64)
-    for row in counts.groupBy("rule", "step").agg(F.sum("good").alias("good")).collect():
+    for row in counts.groupBy("rule", "step").agg(F.sum("all").alias("good")).collect():
         totals[row["rule"], row["step"]] = row["good"]
-    tables = counts.groupBy("stratum").applyInPandas(
-        _severities(None if single else totals), "stratum string, severities array<array<int>>"
-    )
+    own = counts.select("stratum", "alone", "rule", "step", F.when(F.col("alone"), F.col("halved")).otherwise(F.col("all")).alias("good"))
+    tables = own.groupBy("stratum").applyInPandas(_severities(totals), "stratum string, severities array<array<int>>")
     tables = written(tables, "severities")
     sizes = written(holdout.groupBy("stratum").agg(F.count("*").alias("n")), "sizes")
     enough = sizes.where(F.col("n") >= least_labels(1, risk, error)).select("n").collect()
@@ -222,16 +232,17 @@ def quality_verdicts(
     cutoff in their stratum they reach (``failed_rules``).
 
     Null text: no words, so it fails. A null stratum is a stratum of its own; a null id has no label;
-    repeated rows are judged alike and count once per row; a document with several labels is good if any
-    says so. Without labels nothing but the base rules rejects. Other columns are not read.
+    repeated rows and copies of a text are judged alike and are one label (64 bits of the text's hash); a
+    document with several labels is good if any says so. Without labels nothing but the base rules rejects. Other columns are not read.
     """
     prepare(docs.sparkSession)
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.concat(F.lit("="), F.col(stratum)), F.lit("null")).alias("stratum"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("content"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    schema = "doc_id long, stratum string, " + ", ".join(f"{b} long" for b in BASE) + ", steps array<int>"
+    schema = "doc_id long, stratum string, content long, " + ", ".join(f"{b} long" for b in BASE) + ", steps array<int>"
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = written(rows.mapInArrow(_measure, schema).withColumn("base_failed", failed), "measures")
     cutoffs = written(risk_cutoffs(measured, labels, risk, error), "cutoffs")
