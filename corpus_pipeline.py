@@ -27,7 +27,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the target weights of their sources, in a global shuffle."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    return mixing.replicate(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,8 @@ STAGES = [
     ("bpe", encode),
 ]
 
-# Language models, near-duplicates, and BPE are not expressible in SQL; tests/llm compares each
-# stage with brute force.
+# Language models, near-duplicates, and BPE are not expressible in SQL; tests/llm compares each stage with
+# brute force (test_registered.py; language ID with the verdicts of its model, which is itself compared).
 ORACLE_SQL = None
 
 
