@@ -143,13 +143,15 @@ class QualityError(RuntimeError):
     """An error-level check failed; tables downstream must not be built."""
 
 
+def failures(rows: list) -> str:
+    """The error-level violations among report rows, as text; empty if there are none."""
+    failed = [r for r in rows if r.severity == ERROR and r.violations > 0]
+    return ", ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.violations}" for r in failed)
+
+
 def gate(report: DataFrame) -> list:
     """Run a report (one row per check), raise on error-level violations, return its rows."""
     rows = report.collect()
-    failed = [r for r in rows if r.severity == ERROR and r.violations > 0]
-    if failed:
-        listed = ", ".join(
-            f"{r.table_name}.{r.column_name} {r.check_name}: {r.violations}" for r in failed
-        )
-        raise QualityError(listed)
+    if failed := failures(rows):
+        raise QualityError(failed)
     return rows

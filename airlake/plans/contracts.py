@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from airlake.functions.flight import PHASES
-from airlake.operators.quality import WARN, Contract, Range, repeated
+from airlake.operators.quality import ERROR, WARN, Contract, Range, repeated
 from airlake.plans.staging import AIRFIELD_TYPES
 
 CONTRACTS: dict[str, Contract] = {
@@ -81,6 +81,17 @@ CONTRACTS: dict[str, Contract] = {
 FRESHNESS_HOURS = {"states": (2, 12), "air_quality": (36, 96)}
 
 
+def quarantine_report(quarantine: DataFrame) -> DataFrame:
+    """One check row: payloads that were landed, could not be read, and were not delivered again since."""
+    return quarantine.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("payload_quarantine").alias("table_name"),
+        F.lit("payload").alias("column_name"),
+        F.lit("readable").alias("check_name"),
+        F.lit(ERROR).alias("severity"),
+        "violations",
+    )
+
+
 def repeated_grain(positions: DataFrame) -> DataFrame:
     """Facts breaking the (aircraft, instant) grain."""
     return repeated(positions, ["aircraft_icao24", "snapshot_at"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,15 +21,22 @@ def land_snapshots(
     spark: SparkSession, path: str, root: str, region: str, ingested_at: Column | None = None
 ) -> None:
     """State payloads, one JSON file per snapshot. Landing a snapshot again replaces it,
-    also with nothing. Rows and audit carry one moment."""
-    moment = _moment(ingested_at)
+    also with nothing. Rows and audit carry one moment.
+
+    Payloads that cannot be read go to the audit ``quarantine`` with their text and the reason, and the rest
+    of the delivery is landed.
+    """
+    moment, delivery = _moment(ingested_at), uuid.uuid4().hex
     payloads = landing.read_payloads(spark, path)
-    lake.write_states(landing.decode_states(payloads, region, moment), root)
-    audit = landing.audit_snapshots(payloads, region, moment)
-    delivered = audit.where("snapshot_ts is not null").groupBy("snapshot_ts").agg(F.sum("rows").alias("rows"))
-    # One number per empty payload of this delivery.
-    lake.clear_snapshots(spark, root, [r["snapshot_ts"] for r in delivered.where("rows = 0").collect()])
-    lake.append_audit(audit, root)
+    lake.append_audit(landing.quarantined(payloads, region, moment), root, "quarantine")
+    good = landing.readable(payloads)
+    lake.write_states(landing.decode_states(good, region, moment), root)
+    audit = landing.audit_snapshots(good, region, moment)
+    lake.append_audit(audit.withColumn("delivery", F.lit(delivery)), root)
+    # From the audit that was just written; one time per empty snapshot of this delivery.
+    delivered = lake.read_audit(spark, root).where(F.col("delivery") == delivery)
+    empty = delivered.groupBy("snapshot_ts").agg(F.sum("rows").alias("rows")).where("rows = 0").collect()
+    lake.clear_snapshots(spark, root, [(r["snapshot_ts"], region) for r in empty])
 
 
 def _land_reference(
@@ -85,4 +93,5 @@ def bronze_from_lake(spark: SparkSession, root: str) -> Bronze:
     return Bronze(
         states=lake.scan_states(spark, root),
         **{name: lake.scan_reference(spark, root, name) for name in lake.REFERENCES},
+        quarantine=lake.open_quarantine(spark, root),
     )

@@ -28,10 +28,12 @@ from airlake.functions.moments import (
 from airlake.functions.text import airline_prefix, display_label, strip
 from airlake.operators.median import grouped_median
 from airlake.operators.pick import most_frequent
-from airlake.operators.proximity import nearest_within
+from airlake.operators.proximity import KM_PER_DEGREE, nearest_within
 
 RADIUS_KM = 8.0
 APPROACH_ALTITUDE_M = 1200.0
+# Logarithm of the registers of a sketch: at most 8 KB per airport and hour, and far less where few aircraft are.
+SKETCH_BITS = 14
 
 
 # Dimensions ---------------------------------------------------------------------------
@@ -66,7 +68,8 @@ def dim_airline(stg_airlines: DataFrame) -> DataFrame:
 
 
 def aircraft_usage(positions: DataFrame) -> DataFrame:
-    """Facts counted per aircraft, callsign and day: the grain both profile parts start from."""
+    """Facts counted per aircraft, callsign and day: the additive grain that both profile parts start
+    from, kept as a table so that the profile needs no fact and a day is refreshed alone."""
     return positions.groupBy(
         "aircraft_icao24", "callsign", "ingest_date", "origin_country"
     ).agg(
@@ -97,9 +100,9 @@ def usual_callsign(usage: DataFrame) -> DataFrame:
     return most_frequent(usage, ["aircraft_icao24"], "callsign", weight="observation_count")
 
 
-def dim_aircraft(positions: DataFrame, registry: DataFrame, airlines: DataFrame) -> DataFrame:
-    """Observed profile of each aircraft, enriched with the registry and the airline."""
-    usage = aircraft_usage(positions)
+def dim_aircraft(usage: DataFrame, registry: DataFrame, airlines: DataFrame) -> DataFrame:
+    """Observed profile of each aircraft (from :func:`aircraft_usage`), enriched with the registry and the
+    airline."""
     profile = aircraft_profile(usage)
     callsigns = usual_callsign(usage).select(
         "aircraft_icao24", F.col("callsign").alias("most_frequent_callsign")
@@ -150,7 +153,13 @@ def int_positions_near_airports(
     ceiling_m: float = APPROACH_ALTITUDE_M,
     wrap: bool = False,
 ) -> DataFrame:
-    """Each low position with its nearest airport inside the radius."""
+    """Each low position with its nearest airport inside the radius.
+
+    Without ``wrap`` only neighbouring degree cells are looked at; a radius beyond one degree would lose
+    airports there and is refused.
+    """
+    if not wrap and radius_km > KM_PER_DEGREE:
+        raise ValueError(f"a radius of {radius_km} km needs wrap=True")
     low = low_positions(positions, ceiling_m).select(
         "aircraft_icao24",
         "snapshot_at",
@@ -301,6 +310,26 @@ def fct_airport_activity(near_airports: DataFrame, airports: DataFrame) -> DataF
     )
 
 
+def fct_airport_aircraft_sketches(near_airports: DataFrame) -> DataFrame:
+    """A mergeable sketch of the aircraft at each airport in each hour.
+
+    Distinct counts cannot be added over hours; sketches can be united (:func:`aircraft_over`).
+    """
+    hour = hour_bucket(F.col("snapshot_at")).alias("activity_hour")
+    sketch = F.hll_sketch_agg("aircraft_icao24", F.lit(SKETCH_BITS))
+    return near_airports.groupBy("airport_id", hour, "ingest_date").agg(sketch.alias("aircraft_sketch"))
+
+
+def aircraft_over(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Distinct aircraft per group over all its hours, from one small row per airport and hour.
+
+    The relative error has a standard deviation of 1.04 / sqrt(2 ** SKETCH_BITS), 0.8 %; up to some hundred
+    aircraft the count is exact.
+    """
+    united = F.hll_union_agg("aircraft_sketch")
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(united).alias("distinct_aircraft"))
+
+
 def fct_airline_airport_activity(
     near_airports: DataFrame, airports: DataFrame, airlines: DataFrame
 ) -> DataFrame:

@@ -19,13 +19,14 @@ NO_BREAK_SPACE = "\u00a0"
 
 @dataclass(frozen=True)
 class Bronze:
-    """The five raw tables every plan starts from."""
+    """The five raw tables every plan starts from, and the payloads that could not be read into them."""
 
     states: DataFrame
     airports: DataFrame
     air_quality: DataFrame
     registry: DataFrame
     airlines: DataFrame
+    quarantine: DataFrame | None = None
 
 
 def _prefix(n: str) -> str:

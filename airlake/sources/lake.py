@@ -1,19 +1,21 @@
 """The raw lake: partitioned scans, replayable writes, retention and inventory.
 
-Layout: ``states/ingest_date=YYYY-MM-DD/ingest_hour=H/snapshot=<ts>/part-*``. The leaf holds
-one snapshot, so writing the same snapshot again replaces exactly its own files and needs
+Layout: ``states/ingest_date=YYYY-MM-DD/ingest_hour=H/snapshot=<ts>-<region>/part-*``. The leaf holds
+one snapshot of one region, so writing it again replaces exactly its own files and needs
 neither a read nor a merge of the others in that hour.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from airlake.sources.schemas import AIR_QUALITY, AIRLINES, AIRPORTS, LAKE_STATES, REGISTRY
+from airlake.sources.tables import Folder, folder_name
 
 REFERENCES = {
     "airports": AIRPORTS,
@@ -40,6 +42,46 @@ def scan_states(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LAKE_STATES).parquet(states_path(root)).select(*LAKE_STATES.names)
 
 
+def scan_hours(spark: SparkSession, root: str, hours: list[tuple[dt.date, int]]) -> DataFrame:
+    """The raw rows of some hours: only their folders are listed and opened."""
+    base = states_path(root)
+    folder = Folder(spark, base)
+    names = [folder_name(ingest_date=day, ingest_hour=hour) for day, hour in sorted(set(hours))]
+    paths = [f"{base}/{name}" for name in names if folder.names(name)]
+    if not paths:
+        return spark.createDataFrame([], LAKE_STATES)
+    return spark.read.schema(LAKE_STATES).option("basePath", base).parquet(*paths).select(*LAKE_STATES.names)
+
+
+def hours_since(spark: SparkSession, root: str, seconds: int = 0) -> list[tuple[dt.date, int]]:
+    """Hours of the lake that can hold snapshots after an instant, by folder names, the newest first.
+
+    Older dates are not listed.
+    """
+    bound = dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
+    return [h for h in _newest_hours(spark, root, bound.date()) if h >= (bound.date(), bound.hour)]
+
+
+def _newest_hours(spark: SparkSession, root: str, since_date: dt.date = dt.date.min):
+    folder = Folder(spark, states_path(root))
+    days = [n.split("=", 1)[1] for n in folder.names(folders=True) if n.startswith("ingest_date=")]
+    for day in sorted((dt.date.fromisoformat(d) for d in days if d[:1].isdigit()), reverse=True):
+        if day < since_date:
+            return
+        hours = [n.split("=", 1)[1] for n in folder.names(folder_name(ingest_date=day), True)]
+        for hour in sorted((int(h) for h in hours if h.isdigit()), reverse=True):
+            yield day, hour
+
+
+def newest_states(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the newest hour that has files; the rest of the history is neither listed nor read."""
+    folder = Folder(spark, states_path(root))
+    for day, hour in _newest_hours(spark, root):
+        if folder.names(folder_name(ingest_date=day, ingest_hour=hour)):
+            return scan_hours(spark, root, [(day, hour)])
+    return spark.createDataFrame([], LAKE_STATES)
+
+
 def scan_reference(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(REFERENCES[name]).parquet(f"{root.rstrip('/')}/{name}")
 
@@ -52,15 +94,21 @@ def with_partitions(states: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_name(seconds: int, region: str) -> str:
+    """The leaf of one snapshot; the region by a hash, since its name may hold any character."""
+    return f"{seconds}-{hashlib.md5(region.encode()).hexdigest()[:8]}"
+
+
 def write_states(states: DataFrame, root: str) -> None:
-    """Land snapshots; each one replaces an earlier version of itself.
+    """Land snapshots; each one replaces an earlier version of itself, and no other region's.
 
     The rebalance puts a snapshot into few files and splits one that outgrows a task.
     """
     leaves = ["ingest_date", "ingest_hour", "snapshot"]
+    region = F.substring(F.md5(F.coalesce("region", F.lit("")).cast("binary")), 1, 8)
     (
         with_partitions(states)
-        .withColumn("snapshot", F.col("snapshot_ts"))
+        .withColumn("snapshot", F.concat(F.col("snapshot_ts").cast("string"), F.lit("-"), region))
         .hint("rebalance", *leaves)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -86,7 +134,17 @@ def append_audit(audit: DataFrame, root: str, kind: str = "snapshots") -> None:
 
 
 def read_audit(spark: SparkSession, root: str, kind: str = "snapshots") -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/_audit/{kind}")
+    return spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/_audit/{kind}")
+
+
+def open_quarantine(spark: SparkSession, root: str) -> DataFrame | None:
+    """Payloads that could not be read and whose file was not delivered readably since; None before any delivery."""
+    if not exists(spark, f"{root.rstrip('/')}/_audit/quarantine"):
+        return None
+    held = read_audit(spark, root, "quarantine")
+    good = read_audit(spark, root).groupBy(F.col("path").alias("good_path")).agg(F.max("ingested_at").alias("good_at"))
+    since = (F.col("path") == F.col("good_path")) & (F.col("good_at") > F.col("ingested_at"))
+    return held.join(good, since, "left_anti")
 
 
 def stale_references(spark: SparkSession, root: str, now: Column) -> DataFrame:
@@ -169,10 +227,13 @@ def prune_states(
     return sorted(dropped)
 
 
-def clear_snapshots(spark: SparkSession, root: str, times: list[int]) -> None:
-    """Remove the rows of snapshots that were delivered again without any."""
-    moments = [(dt.datetime.fromtimestamp(seconds, dt.timezone.utc), seconds) for seconds in times]
-    leaves = [f"ingest_date={m.date()}/ingest_hour={m.hour}/snapshot={seconds}" for m, seconds in moments]
+def clear_snapshots(spark: SparkSession, root: str, snapshots: list[tuple[int, str]]) -> None:
+    """Remove the rows of snapshots (time, region) that were delivered again without any."""
+    leaves = []
+    for seconds, region in snapshots:
+        moment = dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
+        hour = folder_name(ingest_date=moment.date(), ingest_hour=moment.hour)
+        leaves.append(f"{hour}/snapshot={snapshot_name(seconds, region)}")
     delete_folders(spark, states_path(root), leaves)
 
 
@@ -187,15 +248,15 @@ def delete_folders(spark: SparkSession, table: str, leaves: list[str]) -> None:
 # Inventory ----------------------------------------------------------------------------
 
 
-def lake_files(states: DataFrame) -> DataFrame:
-    """File count and total bytes behind a scan."""
-    files = states.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-    ).distinct()
-    return files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("total_bytes"),
+def lake_files(spark: SparkSession, root: str) -> DataFrame:
+    """(ingest_date, ingest_hour, snapshot_ts, files, total_bytes) of every snapshot, from a list of files.
+
+    Spark lists the folders and the contents are not opened: one row per file, none per position.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(states_path(root))
+    seconds = F.split(F.col("snapshot").cast("string"), "-")[0].cast("bigint")
+    return files.groupBy("ingest_date", "ingest_hour", seconds.alias("snapshot_ts")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("total_bytes")
     )
 
 

@@ -27,6 +27,45 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 # State snapshots ----------------------------------------------------------------------
 
+# Fixed value: the last second that a date of four-digit years has.
+LAST_SECOND = 253402300799
+
+
+def unreadable(payload: str = "value") -> Column:
+    """Why a state payload cannot be taken, null if it can."""
+    document = F.try_parse_json(payload)
+    known = F.from_json(payload, RECEIVED)
+    states = F.try_variant_get(document, "$.states", "string")
+    kind = F.schema_of_variant(F.try_variant_get(document, "$.states", "variant"))
+    return (
+        F.when(document.isNull(), "not JSON")
+        .when(known["time"].isNull(), "no time")
+        .when(~known["time"].between(0, LAST_SECOND), "time out of range")
+        .when(states.isNotNull() & ~kind.startswith("ARRAY"), "states are no list")
+    )
+
+
+def quarantined(payloads: DataFrame, region: str, ingested_at: Column) -> DataFrame:
+    """(path, reason, payload, payload_bytes, sha256, region, ingested_at) of the payloads that cannot be taken.
+
+    The text is kept as it came, so that it can be looked at and delivered again.
+    """
+    path = F.col("path") if "path" in payloads.columns else F.lit(None).cast("string")
+    return payloads.withColumn("reason", unreadable()).where("reason is not null").select(
+        path.alias("path"),
+        "reason",
+        F.col("value").alias("payload"),
+        F.octet_length("value").cast("bigint").alias("payload_bytes"),
+        F.sha2("value", 256).alias("sha256"),
+        F.lit(region).alias("region"),
+        ingested_at.cast("timestamp").alias("ingested_at"),
+    )
+
+
+def readable(payloads: DataFrame) -> DataFrame:
+    """The payloads that can be taken."""
+    return payloads.where(unreadable().isNull())
+
 
 def _item(position: int, kind: T.DataType) -> Column:
     """One item as ``kind``, null where it cannot be read as such.
@@ -76,6 +115,7 @@ def audit_snapshots(payloads: DataFrame, region: str, ingested_at: Column) -> Da
     """One audit row per payload, including the empty ones that leave no rows behind."""
     payload = F.from_json("value", RECEIVED)
     states = F.coalesce(payload["states"], F.array().cast("array<array<string>>"))
+    path = F.col("path") if "path" in payloads.columns else F.lit(None).cast("string")
     return payloads.select(
         payload["time"].alias("snapshot_ts"),
         F.lit(region).alias("region"),
@@ -86,6 +126,7 @@ def audit_snapshots(payloads: DataFrame, region: str, ingested_at: Column) -> Da
         F.octet_length("value").cast("bigint").alias("payload_bytes"),
         F.sha2("value", 256).alias("sha256"),
         ingested_at.cast("timestamp").alias("ingested_at"),
+        path.alias("path"),
     )
 
 

@@ -9,45 +9,33 @@ be repeated, and handles replays and late snapshots.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airlake.plans.positions import positions_from_states
-from airlake.plans.staging import stg_states
-from airlake.plans.warehouse import PARTITIONS, write_table
-from airlake.sources.lake import delete_folders, exists, scan_states, since, states_path
+from airlake.plans.warehouse import FACT, HOUR, Warehouse, touched_folders
+from airlake.sources.lake import hours_since, scan_hours, scan_states, since, states_path
 from airlake.sources.schemas import LAKE_STATES
-
-FACT = "fct_aircraft_positions"
-HOUR = PARTITIONS[FACT]
+from airlake.sources.tables import CommittedTable
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """The fact table in its declared schema: no footers are read to find it, and columns added
-    later are null in older files."""
-    declared = positions_from_states(spark.createDataFrame([], LAKE_STATES)).schema
-    return spark.read.schema(declared).parquet(path)
-
-
-def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Union by name where either side may lack columns the other has."""
-    return old.unionByName(new, allowMissingColumns=True)
+    """The fact table in the schema of its manifest; columns added later are null in older files."""
+    return CommittedTable(spark, path).read()
 
 
 # High-water mark ----------------------------------------------------------------------
 
 
-def high_water_mark(facts: DataFrame) -> int:
-    """Newest loaded snapshot in epoch seconds, 0 for an empty table.
+def high_water_mark(spark: SparkSession, path: str) -> int:
+    """Newest loaded snapshot in epoch seconds, 0 for an empty or missing table.
 
-    Only the newest date partition is read.
+    Only the newest partition is opened; it is found by its name.
     """
-    newest_date = facts.select(F.max("ingest_date")).scalar()
-    newest = facts.where(F.col("ingest_date") == newest_date).agg(
-        F.unix_seconds(F.max("snapshot_at")).alias("seconds")
-    )
-    return newest.first()["seconds"] or 0
+    table = CommittedTable(spark, path)
+    if not table.exists():
+        return 0
+    return table.newest().agg(F.unix_seconds(F.max("snapshot_at")).alias("seconds")).first()["seconds"] or 0
 
 
 def incremental_slice(states: DataFrame, high_water: int) -> DataFrame:
@@ -56,10 +44,18 @@ def incremental_slice(states: DataFrame, high_water: int) -> DataFrame:
 
 
 def append_new(spark: SparkSession, lake_root: str, path: str) -> None:
-    """Load what is newer than the newest loaded snapshot."""
-    mark = high_water_mark(read_facts(spark, path)) if exists(spark, path) else 0
-    fresh = incremental_slice(scan_states(spark, lake_root), mark)
-    fresh.hint("rebalance", *HOUR).write.mode("append").partitionBy(*HOUR).parquet(path)
+    """Load what is newer than the newest loaded snapshot.
+
+    Only the raw hours from the mark on are listed and read. The mark's own hour keeps its facts beside the new ones.
+    """
+    table, mark = CommittedTable(spark, path), high_water_mark(spark, path)
+    states = scan_hours(spark, lake_root, hours_since(spark, lake_root, mark))
+    fresh = incremental_slice(states, mark)
+    if table.exists():
+        bound = dt.datetime.fromtimestamp(mark, dt.timezone.utc)
+        held = table.read(folders=touched_folders(FACT, [(bound.date(), bound.hour)]))
+        fresh = held.unionByName(fresh, allowMissingColumns=True)
+    table.write(fresh, HOUR, keep_rest=True)
 
 
 # Partition rebuild --------------------------------------------------------------------
@@ -77,40 +73,26 @@ def touched_since(spark: SparkSession, lake_root: str, modified_after: str) -> D
     )
 
 
-def hours_predicate(hours: list[tuple[dt.date, int]]) -> Column:
-    """Literal filter for exactly these partitions; dates sharing their hours share a clause."""
-    by_date: dict[dt.date, set[int]] = {}
-    for date, hour in hours:
-        by_date.setdefault(date, set()).add(hour)
-    dates: dict[frozenset[int], list[dt.date]] = {}
-    for date, day_hours in sorted(by_date.items()):
-        dates.setdefault(frozenset(day_hours), []).append(date)
-    clauses = [
-        F.col("ingest_date").isin(*days) & F.col("ingest_hour").isin(*sorted(day_hours))
-        for day_hours, days in dates.items()
-    ]
-    return reduce(lambda a, b: a | b, clauses, F.lit(False))
+def rebuild_partitions(spark: SparkSession, lake_root: str, path: str, touched: DataFrame) -> list[tuple[dt.date, int]]:
+    """Recompute the touched hours from raw data and replace them in the fact table; returns the hours.
 
+    The hours (at most 24 per day of data) are collected, and only their raw folders are listed and read,
+    once. Hours that have no usable position any more lose their old facts: the files written say which
+    hours have any. The table changes in one step.
+    """
+    hours = sorted(tuple(row) for row in touched.select(*HOUR).distinct().collect())
+    if hours:
+        facts = positions_from_states(scan_hours(spark, lake_root, hours))
+        CommittedTable(spark, path).write(facts, HOUR, replace=touched_folders(FACT, hours), keep_rest=True)
+    return hours
 
-def rebuild_partitions(spark: SparkSession, lake_root: str, path: str, touched: DataFrame) -> None:
-    """Recompute the touched hours from raw data and replace them in the fact table.
 
-    The hours (at most 24 per day of data) are collected and become a literal partition
-    filter, so that the lake is neither scanned beyond them nor shuffled to find them. Hours
-    that have no usable position any more lose their old facts.
-    """
-    hours = [tuple(row) for row in touched.select(*HOUR).distinct().collect()]
-    if not hours:
-        return
-    states = scan_states(spark, lake_root).where(hours_predicate(hours))
-    write_table(positions_from_states(states), path, HOUR, partitionOverwriteMode="dynamic")
-    # A dynamic overwrite leaves partitions alone that get no row. Staging decides which hours do.
-    filled = {tuple(row) for row in stg_states(states).select(*HOUR).distinct().collect()}
-    emptied = [f"ingest_date={date}/ingest_hour={hour}" for date, hour in hours if (date, hour) not in filled]
-    delete_folders(spark, path, emptied)
+def refresh_touched(warehouse: Warehouse, lake_root: str, touched: DataFrame, rollups: bool = True) -> None:
+    """The same for every table behind the facts: see ``Warehouse.refresh_hours``."""
+    hours = sorted(tuple(row) for row in touched.select(*HOUR).distinct().collect())
+    warehouse.refresh_hours(hours, scan_hours(warehouse.spark, lake_root, hours), rollups)
 
 
 def full_refresh(spark: SparkSession, lake_root: str, path: str) -> None:
     """Rebuild the whole fact table; partitions without raw data disappear."""
-    facts = positions_from_states(scan_states(spark, lake_root))
-    write_table(facts, path, HOUR, partitionOverwriteMode="static")
+    CommittedTable(spark, path).write(positions_from_states(scan_states(spark, lake_root)), HOUR)
