@@ -37,6 +37,7 @@ def build_all(spark, folder: str) -> None:
     w = registry.warehouse(spark, folder)
     for wave in WAVES:
         w.build_all(wave)
+    w.vacuum(keep=1)
 
 
 def main() -> None:

@@ -17,14 +17,15 @@ from airlake.functions import geo
 from airlake.functions.text import airline_prefix, strip
 from airlake.operators.correlate import demean
 from airlake.operators.pick import keep_latest
-from airlake.operators.quality import orphans, repeated, union_all, unique_report
-from airlake.plans import analytics as A, contracts as C, marts as M, positions as P
+from airlake.operators.quality import QualityError, orphans, repeated, union_all, unique_report
+from airlake.plans import analytics as A, contracts as C, ingest, marts as M, positions as P
 from airlake.plans import staging as S
-from airlake.plans.warehouse import Warehouse, write_table
+from airlake.plans.warehouse import HOUR, Warehouse
 from airlake.session import prepare, shared_folder
 from airlake.sources import landing, lake
-from airlake.sources.adapter import bronze_from_tables, read, read_events, states_from_events
+from airlake.sources.adapter import Bronze, bronze_from_tables, read, read_events, states_from_events
 from airlake.sources.schemas import STATE_VECTOR
+from airlake.sources.tables import CommittedTable
 from airlake.streaming import incremental, stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,7 @@ KEEP_DAYS = 1
 # 2024-01-02 12:00 UTC
 MARK = 1704196800
 OVERLAP_SECONDS = 43200
+LATE_SECONDS = 6 * 3600
 MARKET_AIRPORT = "EAC"
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
@@ -82,6 +84,11 @@ def _over(function, *models: str, inexact: tuple[str, ...] = ()) -> Query:
     return run
 
 
+def _newest(function, inexact: tuple[str, ...] = ()) -> Query:
+    """A function of the newest partition of the facts."""
+    return lambda spark, folder: rounded(function(warehouse(spark, folder).newest("fct_aircraft_positions")), *inexact)
+
+
 # Sources and lake ---------------------------------------------------------------------
 
 
@@ -118,7 +125,12 @@ def scan_reference(spark, folder):
     return union_all(parts)
 
 
-def _payloads(spark, folder):
+def _reference(name: str) -> Query:
+    """Every row of a landed reference."""
+    return lambda spark, folder: lake.scan_reference(spark, lake_root(spark, folder), name)
+
+
+def _payloads(spark, folder, *kept):
     """One landed payload per event, with the flaws the decoder must survive.
 
     Some vectors lack an aircraft id, some a readable time, some end one item early, and some
@@ -140,8 +152,89 @@ def _payloads(spark, folder):
     return vector.select(
         F.concat(
             F.lit('{"time":'), F.col("snapshot_ts").cast("string"), F.lit(',"states":'), states, F.lit("}")
-        ).alias("value")
+        ).alias("value"),
+        *kept,
+    )
+
+
+def _broken_payloads(spark, folder):
+    """The payloads above, some of them cut off, without a time, with an impossible one, or with text for states."""
+    n, value = F.col("n"), F.col("value")
+    broken = (
+        F.when(n % 17 == 0, F.concat(F.lit("{"), value))
+        .when(n % 19 == 0, F.regexp_replace(value, '"time":[0-9]+', '"moment":1'))
+        .when(n % 23 == 0, F.regexp_replace(value, '"time":[0-9]+', '"time":99999999999999'))
+        .when(n % 29 == 0, F.regexp_replace(value, '"states":.*$', '"states":"none"}'))
+        .otherwise(value)
     )
+    return _payloads(spark, folder, "n").select(broken.alias("value"))
+
+
+def payload_quarantine(spark, folder):
+    """What was kept of unreadable payloads, by reason, and how many payloads remain to be decoded."""
+    payloads = _broken_payloads(spark, folder)
+    held = landing.quarantined(payloads, "france", F.expr(NOW))
+    rest = landing.readable(payloads).agg(F.lit("readable").alias("reason"), F.count(F.lit(1)).alias("payloads"))
+    intact = F.count_if(F.sha2("payload", 256) == F.col("sha256")) == F.count(F.lit(1))
+    counted = held.groupBy("reason").agg(F.count(F.lit(1)).alias("payloads"), intact.alias("intact"))
+    return counted.unionByName(rest.withColumn("intact", F.lit(True)))
+
+
+def _landed_files(spark, folder) -> str:
+    """A lake landed from JSON files, one per snapshot; every tenth is then delivered again without states."""
+    root = work_folder(spark, folder, "delivered")
+    if root not in _landed:
+        files = work_folder(spark, folder, "payloads")
+        states = _bronze(spark, folder).states
+        named = F.struct(*[F.col(name).alias(f"c{i}") for i, (name, _) in enumerate(STATE_VECTOR)])
+        items = F.regexp_replace(F.to_json(named, {"ignoreNullFields": "false"}), r'[{]?"c[0-9]+":|[}]$', "")
+        whole = states.groupBy("snapshot_ts").agg(F.array_join(F.collect_list(F.concat(F.lit("["), items, F.lit("]"))), ",").alias("items"))
+        empty = whole.where(F.col("snapshot_ts") / 900 % 10 == 0).withColumn("items", F.lit(None).cast("string"))
+        for delivery, snapshots in enumerate((whole, empty)):
+            listed = F.coalesce(F.concat(F.lit("["), F.col("items"), F.lit("]")), F.lit("null"))
+            value = F.concat(F.lit('{"time":'), F.col("snapshot_ts").cast("string"), F.lit(',"states":'), listed, F.lit("}"))
+            path = f"{files}/{delivery}"
+            snapshots.select(value.alias("value"), "snapshot_ts").repartition("snapshot_ts").write.partitionBy(
+                "snapshot_ts"
+            ).option("partitionOverwriteMode", "static").mode("overwrite").text(path)
+            ingest.land_snapshots(spark, f"{path}/*", root, "france", F.expr(NOW) + F.make_interval(mins=F.lit(delivery)))
+        _landed.add(root)
+    return root
+
+
+def landed_states(spark, folder):
+    """Rows per snapshot of the lake that was landed from files."""
+    states = lake.scan_states(spark, _landed_files(spark, folder))
+    return states.groupBy("snapshot_ts", "region").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("icao24").alias("aircraft"), F.max("last_contact").alias("last_contact")
+    )
+
+
+def empty_snapshots(spark, folder):
+    """Snapshots whose last delivery had no states: known by their audit, gone from the lake."""
+    root = _landed_files(spark, folder)
+    audit = lake.read_audit(spark, root).groupBy("snapshot_ts", "region").agg(
+        F.max_by("rows", "ingested_at").alias("rows"), F.count(F.lit(1)).alias("deliveries")
+    )
+    left = lake.scan_states(spark, root).select("snapshot_ts", "region").distinct()
+    return audit.where("rows = 0").join(left, ["snapshot_ts", "region"], "left_anti")
+
+
+def regions_landed(spark, folder):
+    """Two regions landed one after the other at the same instants, the second one twice."""
+    root = work_folder(spark, folder, "regions")
+    if root not in _landed:
+        states = _bronze(spark, folder).states
+        for part in (states, _second_region(states), _second_region(states)):
+            lake.write_states(part, root)
+        _landed.add(root)
+    return lake.scan_states(spark, root).groupBy("region", "ingest_date", "ingest_hour").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("snapshot_ts").alias("snapshots")
+    )
+
+
+def _second_region(states):
+    return states.where("last_contact % 3 = 0").withColumn("region", F.lit("benelux/nord"))
 
 
 def decode_states(spark, folder):
@@ -199,8 +292,7 @@ def csv_airports(spark, folder):
         spark, folder, "airports", airports, header=True, quoteAll=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    kept = ["id", "ident", "type", "name", "latitude_deg", "longitude_deg", "elevation_ft"]
-    return landing.read_text_csv(spark, path).select(*kept)
+    return landing.read_text_csv(spark, path)
 
 
 def csv_airlines(spark, folder):
@@ -241,7 +333,9 @@ def lake_inventory(spark, folder):
 
 
 def lake_files(spark, folder):
-    return lake.lake_files(spark.read.parquet(lake.states_path(lake_root(spark, folder))))
+    """Files per snapshot; their sizes are the writer's own affair."""
+    files = lake.lake_files(spark, lake_root(spark, folder))
+    return files.select("ingest_date", "ingest_hour", "snapshot_ts", "files", (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
 def retention_keep(spark, folder):
@@ -252,11 +346,53 @@ def retention_keep(spark, folder):
 def warehouse_inventory(spark, folder):
     w = warehouse(spark, folder)
     for name in ("dim_airline", "dim_aircraft", "fct_traffic_hourly", "fct_airline_airport_activity",
-                 "fct_airport_hourly_air_quality"):
+                 "fct_airport_hourly_air_quality", "fct_airport_aircraft_sketches"):
         w[name]
     return w.inventory()
 
 
+def facts_after_prune(spark, folder):
+    """Facts after retention removed raw dates: a build keeps theirs, a full refresh does not, and the version
+    before it can still be read."""
+    root, out = work_folder(spark, folder, "prune/lake"), work_folder(spark, folder, "prune/warehouse")
+    model = "fct_aircraft_positions"
+    if out not in _landed:
+        bronze = _bronze(spark, folder)
+        lake.write_states(bronze.states, root)
+
+        def at_present():
+            return Warehouse(spark, Bronze(**{**vars(bronze), "states": lake.scan_states(spark, root)}), out)
+
+        at_present().build(model)
+        lake.prune_states(spark, root, TODAY, KEEP_DAYS)
+        at_present().build(model)
+        at_present().build(model, full_refresh=True)
+        _landed.add(out)
+    table = CommittedTable(spark, Warehouse(spark, _bronze(spark, folder), out).path(model))
+    built, refreshed = table.versions()[-2:]
+    parts = [("build", table.read(built)), ("full refresh", table.read(refreshed)), ("present", table.read())]
+    return union_all([df.withColumn("state", F.lit(state)) for state, df in parts])
+
+
+def gate_blocks(spark, folder):
+    """The airline dimension after a build that its checks refuse: the former version, which readers keep."""
+    out = work_folder(spark, folder, "gate")
+    bronze, only = _bronze(spark, folder), ["stg_airlines", "dim_airline", "stg_airports", "dim_airport"]
+    w = Warehouse(spark, bronze, out)
+    w.run(only=only)
+    refused = 0
+    # The staging rules hold for these airports; what does not is the label, which the dimension promises.
+    faulty = Bronze(**{**vars(bronze), "airports": bronze.airports.withColumn("name", F.lit(None).cast("string"))})
+    try:
+        Warehouse(spark, faulty, out).run(only=only)
+    except QualityError:
+        refused = 1
+    after = Warehouse(spark, faulty, out)
+    return after["dim_airport"].withColumns(
+        {"refused": F.lit(refused), "airlines": after["dim_airline"].select(F.count(F.lit(1))).scalar()}
+    )
+
+
 # Expressions and filters --------------------------------------------------------------
 
 
@@ -303,7 +439,7 @@ def incremental_slice(spark, folder):
 def _early_facts(spark, folder, path):
     """Facts as they were before the second delivery."""
     early = _bronze(spark, folder).states.where(F.col("snapshot_ts") <= MARK)
-    write_table(P.positions_from_states(early), path, incremental.HOUR, partitionOverwriteMode="static")
+    CommittedTable(spark, path).write(P.positions_from_states(early), HOUR)
 
 
 def append_new(spark, folder):
@@ -311,13 +447,18 @@ def append_new(spark, folder):
     root, path = lake_root(spark, folder), work_folder(spark, folder, "append/facts")
     _early_facts(spark, folder, path)
     incremental.append_new(spark, root, path)
-    return incremental.read_facts(spark, path).select(*FACT_COLUMNS)
+    return incremental.read_facts(spark, path)
 
 
-FACT_COLUMNS = [
-    "aircraft_icao24", "snapshot_at", "callsign", "flight_phase", "barometric_altitude_ft",
-    "ground_speed_kt", "position_age_seconds", "ingested_at", "ingest_date", "ingest_hour",
-]
+def evolved_facts(spark, folder):
+    """Facts loaded before two columns existed, then by a load that has them."""
+    root, path = lake_root(spark, folder), work_folder(spark, folder, "evolve/facts")
+    early = _bronze(spark, folder).states.where(F.col("snapshot_ts") <= MARK)
+    narrow = P.positions_from_states(early).drop("squawk", "position_age_seconds")
+    CommittedTable(spark, path).write(narrow, HOUR)
+    incremental.append_new(spark, root, path)
+    facts = incremental.read_facts(spark, path)
+    return facts.select("aircraft_icao24", "snapshot_at", "callsign", "squawk", "position_age_seconds", "ingest_hour")
 
 
 def upsert_replay(spark, folder):
@@ -327,7 +468,30 @@ def upsert_replay(spark, folder):
     replayed = _bronze(spark, folder).states.where(F.col("snapshot_ts") > MARK - OVERLAP_SECONDS)
     for _ in range(2):
         incremental.rebuild_partitions(spark, root, path, replayed)
-    return incremental.read_facts(spark, path).select(*FACT_COLUMNS)
+    return incremental.read_facts(spark, path)
+
+
+def _upserted(spark, folder) -> Warehouse:
+    """A warehouse built from the early delivery whose tables were then refreshed for the hours delivered later.
+
+    Before, those hours held other facts: half of them, under another callsign."""
+    root, out = lake_root(spark, folder), work_folder(spark, folder, "refresh")
+    bronze = _bronze(spark, folder)
+    w = Warehouse(spark, Bronze(**{**vars(bronze), "states": lake.scan_states(spark, root)}), out)
+    if out not in _landed:
+        later = F.col("snapshot_ts") > MARK - OVERLAP_SECONDS
+        stale = bronze.states.where(~later | ((F.col("last_contact") % 2 == 0) & (F.col("snapshot_ts") <= MARK)))
+        stale = stale.withColumn("callsign", F.when(later, F.lit("ZZZ1")).otherwise(F.col("callsign")))
+        Warehouse(spark, Bronze(**{**vars(bronze), "states": stale}), out).run(checks=False)
+        touched = bronze.states.where(later)
+        for _ in range(2):
+            incremental.refresh_touched(w, root, touched)
+        _landed.add(out)
+    return w
+
+
+def _after_upsert(model: str, *inexact: str) -> Query:
+    return lambda spark, folder: rounded(_upserted(spark, folder)[model], *inexact)
 
 
 def stream_upsert(spark, folder):
@@ -337,7 +501,21 @@ def stream_upsert(spark, folder):
         checkpoint = work_folder(spark, folder, "stream/facts-checkpoint")
         stream.start_upsert(spark, root, path, checkpoint, max_files=150).awaitTermination()
         _streamed.add(path)
-    return incremental.read_facts(spark, path).select(*FACT_COLUMNS)
+    return incremental.read_facts(spark, path)
+
+
+def stream_late(spark, folder):
+    """What a watermark of six hours would have dropped: the later half is landed and streamed first."""
+    root, path = work_folder(spark, folder, "late/lake"), work_folder(spark, folder, "late/rows")
+    late = stream.LateRows(spark, path, LATE_SECONDS)
+    if path not in _streamed:
+        facts, checkpoint = (work_folder(spark, folder, f"late/{name}") for name in ("facts", "checkpoint"))
+        states = _bronze(spark, folder).states
+        for part in (F.col("snapshot_ts") > MARK, F.col("snapshot_ts") <= MARK):
+            lake.write_states(states.where(part), root)
+            stream.start_upsert(spark, root, facts, checkpoint, late=late).awaitTermination()
+        _streamed.add(path)
+    return late.rows()
 
 
 def stream_hourly(spark, folder):
@@ -393,6 +571,19 @@ def dq_consistency(spark, folder):
     return C.inconsistent_hours(warehouse(spark, folder)["fct_traffic_hourly"])
 
 
+def dq_consistency_planted(spark, folder):
+    """The same check where some hours were made inconsistent, each in another way."""
+    hour = F.hour("traffic_hour")
+    planted = warehouse(spark, folder)["fct_traffic_hourly"].withColumns(
+        {
+            "position_count": F.when(hour % 5 == 1, F.col("distinct_aircraft") - 1).otherwise(F.col("position_count")),
+            "aircraft_on_ground": F.when(hour % 7 == 2, F.col("distinct_aircraft") + 1).otherwise(F.col("aircraft_on_ground")),
+            "aircraft_cruising": F.when(hour % 11 == 3, F.col("distinct_aircraft") + 2).otherwise(F.col("aircraft_cruising")),
+        }
+    )
+    return C.inconsistent_hours(planted)
+
+
 def dq_future(spark, folder):
     return C.future_snapshots(warehouse(spark, folder)["fct_aircraft_positions"], F.expr(FUTURE_NOW))
 
@@ -405,16 +596,26 @@ def source_freshness(spark, folder):
 
 
 def latest_nonempty(spark, folder):
-    # The raw tables come without a landing audit; tests/test_ingest.py covers audited deliveries.
-    return C.latest_snapshot_rows(_bronze(spark, folder).states)
+    # Only the newest hour of the lake is opened. Snapshots delivered again as empty count by their audit.
+    root = _landed_files(spark, folder)
+    newest = lake.newest_states(spark, root)
+    return C.latest_snapshot_rows(newest, lake.read_audit(spark, root))
 
 
 QUERIES: dict[str, Query] = {
     # sources, sinks, lake
     "scan_states": scan_states,
     "scan_reference": scan_reference,
+    "scan_airports": _reference("airports"),
+    "scan_air_quality": _reference("air_quality"),
+    "scan_registry": _reference("registry"),
+    "scan_airlines": _reference("airlines"),
     "decode_states": decode_states,
     "audit_snapshots": audit_snapshots,
+    "payload_quarantine": payload_quarantine,
+    "landed_states": landed_states,
+    "empty_snapshots": empty_snapshots,
+    "regions_landed": regions_landed,
     "flatten_hourly": flatten_hourly,
     "csv_airports": csv_airports,
     "csv_airlines": csv_airlines,
@@ -425,6 +626,8 @@ QUERIES: dict[str, Query] = {
     "lake_files": lake_files,
     "retention_keep": retention_keep,
     "warehouse_inventory": warehouse_inventory,
+    "facts_after_prune": facts_after_prune,
+    "gate_blocks": gate_blocks,
     # staging
     "stg_states": _model("stg_states"),
     "stg_airports": _model("stg_airports"),
@@ -439,28 +642,23 @@ QUERIES: dict[str, Query] = {
     "grid_density": grid_density,
     "bbox_filter": bbox_filter,
     "phase_counts": phase_counts,
-    "low_positions": _over(
-        lambda p: M.low_positions(p).select("aircraft_icao24", "snapshot_at", "is_on_ground",
-                                            "barometric_altitude_m"),
-        "fct_aircraft_positions",
-    ),
+    "low_positions": _over(M.low_positions, "fct_aircraft_positions"),
     # dimensions and facts
     "dim_airport": _model("dim_airport"),
     "dim_airline": _model("dim_airline"),
-    "aircraft_profile": _over(
-        lambda p: M.aircraft_profile(M.aircraft_usage(p)),
-        "fct_aircraft_positions",
-        inexact=("on_ground_ratio",),
-    ),
-    "most_frequent_callsign": _over(
-        lambda p: M.usual_callsign(M.aircraft_usage(p)), "fct_aircraft_positions"
-    ),
+    "aircraft_usage": _model("int_aircraft_usage"),
+    "aircraft_profile": _over(M.aircraft_profile, "int_aircraft_usage", inexact=("on_ground_ratio",)),
+    "most_frequent_callsign": _over(M.usual_callsign, "int_aircraft_usage"),
     "dim_aircraft": _model("dim_aircraft", "on_ground_ratio"),
     "near_airports": _model("int_positions_near_airports", "distance_km"),
     "traffic_hourly": _model("fct_traffic_hourly"),
     "airport_activity": _model("fct_airport_activity"),
     "airline_airport": _model("fct_airline_airport_activity"),
     "traffic_air_panel": _model("fct_airport_hourly_air_quality"),
+    "aircraft_over_days": _over(lambda s: M.aircraft_over(s, "airport_id"), "fct_airport_aircraft_sketches"),
+    "aircraft_per_day": _over(
+        lambda s: M.aircraft_over(s, "airport_id", "ingest_date"), "fct_airport_aircraft_sketches"
+    ),
     # consumption
     "overview": _over(A.overview, "fct_aircraft_positions"),
     "active_airports": _over(A.active_airports, "fct_airport_activity"),
@@ -469,11 +667,11 @@ QUERIES: dict[str, Query] = {
         "fct_aircraft_positions",
         inexact=("age_minutes", "span_hours"),
     ),
-    "latest_region": _over(A.latest_region, "fct_aircraft_positions"),
+    "latest_region": _newest(A.latest_region),
     "snapshot_series": _over(A.snapshot_series, "fct_aircraft_positions"),
-    "latest_snapshot": _over(A.latest_snapshot, "fct_aircraft_positions"),
-    "flight_phase_mix": _over(A.flight_phase_mix, "fct_aircraft_positions"),
-    "latest_medians": _over(A.latest_medians, "fct_aircraft_positions"),
+    "latest_snapshot": _newest(A.latest_snapshot),
+    "flight_phase_mix": _newest(A.flight_phase_mix),
+    "latest_medians": _newest(A.latest_medians),
     "hourly_trend": _over(A.hourly_trend, "fct_traffic_hourly"),
     "top_countries": _over(A.top_countries, "fct_traffic_hourly"),
     "top_airports": _over(A.top_airports, "fct_airport_activity"),
@@ -520,14 +718,22 @@ QUERIES: dict[str, Query] = {
     "dq_relationships": dq_relationships,
     "dq_grain": dq_grain,
     "dq_consistency": dq_consistency,
+    "dq_consistency_planted": dq_consistency_planted,
     "dq_future": dq_future,
     "source_freshness": source_freshness,
     "latest_nonempty": latest_nonempty,
     # incremental and streaming
     "incremental_slice": incremental_slice,
     "append_new": append_new,
+    "evolved_facts": evolved_facts,
     "upsert_replay": upsert_replay,
+    "near_after_upsert": _after_upsert("int_positions_near_airports", "distance_km"),
+    "traffic_after_upsert": _after_upsert("fct_traffic_hourly"),
+    "activity_after_upsert": _after_upsert("fct_airport_activity"),
+    "panel_after_upsert": _after_upsert("fct_airport_hourly_air_quality"),
+    "aircraft_after_upsert": _after_upsert("dim_aircraft", "on_ground_ratio"),
     "stream_upsert": stream_upsert,
+    "stream_late": stream_late,
     "stream_hourly": stream_hourly,
 }
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from airlake.plans import analytics, ingest
 from airlake.plans.contracts import latest_snapshot_rows
+from airlake.operators.quality import QualityError
 from airlake.plans.warehouse import Warehouse
 from airlake.sources import lake
 from tests.test_landing import AIRLINES_DAT, REGISTRY_CSV, VECTOR, hourly
@@ -69,7 +71,7 @@ def test_landed_files_become_marts(spark, tmp_path, rows):
 
     warehouse = Warehouse(spark, bronze, str(tmp_path / "warehouse"))
     report = warehouse.run()
-    assert len(report) == 77 and sum(r["violations"] for r in report) == 0
+    assert len(report) == 78 and sum(r["violations"] for r in report) == 0
 
     activity = warehouse["fct_airport_activity"].select(
         "airport_label", "distinct_aircraft", "position_count", "climbing_aircraft",
@@ -116,6 +118,37 @@ def test_snapshot_delivered_again_as_empty_loses_its_rows(spark, tmp_path):
     assert (newest["snapshot_ts"], newest["rows"], newest["passed"]) == (T, 0, False)
 
 
+def test_unreadable_payloads_are_kept_and_fail_the_gate(spark, tmp_path):
+    """One good payload and several that cannot be read: the good one is landed, the others are rows of the quarantine
+    until their files are delivered again."""
+    root, payloads = str(tmp_path / "lake"), tmp_path / "states"
+    payloads.mkdir()
+    good = {"time": T, "states": [vector("5c0001", "VLA1", 49.01, 2.55, 300.0)]}
+    broken = {
+        "cut.json": '{"time": 17', "late.json": json.dumps({"time": 99999999999999, "states": None}),
+        "none.json": json.dumps({"states": []}), "text.json": json.dumps({"time": T, "states": "x"}),
+    }
+    (payloads / "good.json").write_text(json.dumps(good))
+    for name, text in broken.items():
+        (payloads / name).write_text(text)
+    ingest.land_snapshots(spark, str(payloads), root, "france")
+    assert lake.scan_states(spark, root).count() == 1
+    assert [r["rows"] for r in lake.read_audit(spark, root).collect()] == [1]
+    held = {r["path"].rpartition("/")[2]: r for r in lake.open_quarantine(spark, root).collect()}
+    assert {n: r["reason"] for n, r in held.items()} == {
+        "cut.json": "not JSON", "late.json": "time out of range", "none.json": "no time", "text.json": "states are no list",
+    }
+    assert all(r["payload"] == broken[n] and r["payload_bytes"] == len(broken[n]) for n, r in held.items())
+    land(spark, tmp_path / "landing", root)
+    with pytest.raises(QualityError, match="payload_quarantine.payload readable: 4"):
+        Warehouse(spark, ingest.bronze_from_lake(spark, root), str(tmp_path / "w")).run()
+    for name in broken:
+        (payloads / name).write_text(json.dumps(good))
+    ingest.land_snapshots(spark, str(payloads), root, "france")
+    assert lake.open_quarantine(spark, root).count() == 0
+    Warehouse(spark, ingest.bronze_from_lake(spark, root), str(tmp_path / "w")).run()
+
+
 def test_reading_written_tables_keeps_facts_of_pruned_raw_data(spark, tmp_path):
     root, out = str(tmp_path / "lake"), str(tmp_path / "warehouse")
     land(spark, tmp_path / "landing", root)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import os
 
 import pyarrow.parquet as pq
 import pytest
@@ -121,8 +122,18 @@ def test_inventory(spark, root):
         "rows", "snapshots", "unix_seconds(oldest) as oldest", "unix_seconds(newest) as newest"
     )
     assert tuple(row.first()) == (5, 2, T, T + 900)
-    sizes = lake.lake_files(spark.read.parquet(lake.states_path(root))).first()
-    assert sizes["files"] == 2 and sizes["total_bytes"] > 0
+    listed = lake.lake_files(spark, root).collect()
+    assert sorted((r["snapshot_ts"], r["files"]) for r in listed) == [(T, 1), (T + 900, 1)]
+    assert sum(r["total_bytes"] for r in listed) == sum(os.path.getsize(f) for f in files(root))
+
+
+def test_regions_at_one_instant_do_not_replace_each_other(spark, root, rows):
+    for region, count in (("france", 4), ("Île d'Yeu/=é", 2), ("france", 3), ("Île d'Yeu/=é", 1)):
+        lake.write_states(snapshot(spark, T, count).withColumn("region", F.lit(region)), root)
+    states = lake.scan_states(spark, root)
+    assert rows(states.groupBy("region").count()) == [("Île d'Yeu/=é", 1), ("france", 3)]
+    lake.clear_snapshots(spark, root, [(T, "Île d'Yeu/=é")])
+    assert rows(lake.scan_states(spark, root).groupBy("region").count()) == [("france", 3)]
 
 
 def test_empty_snapshot_is_known_to_the_audit(spark, root):

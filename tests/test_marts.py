@@ -145,6 +145,13 @@ def test_near_airports_equal_the_nine_cell_formulation(warehouse):
     close(got.select("aircraft_icao24", "snapshot_at", "airport_id", "distance_km"), nearest)
 
 
+def test_a_radius_beyond_the_cells_is_refused(spark, warehouse):
+    facts, airports = warehouse["fct_aircraft_positions"], warehouse["dim_airport"]
+    with pytest.raises(ValueError, match="wrap"):
+        marts.int_positions_near_airports(facts, airports, radius_km=150.0)
+    assert marts.int_positions_near_airports(facts, airports, radius_km=150.0, wrap=True).columns
+
+
 def test_low_phase_filter_depends_on_altitude_or_ground(spark):
     df = spark.createDataFrame(
         [(1, False, 1200.0), (2, False, 1200.1), (3, True, None), (4, False, None)],
@@ -188,7 +195,7 @@ def test_unknown_airlines_keep_a_null_name(warehouse):
 def test_aircraft_without_registry_or_callsign_are_kept(spark, warehouse):
     facts = warehouse["fct_aircraft_positions"].withColumn("callsign", F.lit(None).cast("string"))
     none = warehouse["stg_registry"].where("false")
-    dim = marts.dim_aircraft(facts, none, warehouse["dim_airline"])
+    dim = marts.dim_aircraft(marts.aircraft_usage(facts), none, warehouse["dim_airline"])
     assert dim.count() == facts.select("aircraft_icao24").distinct().count()
     row = dim.first()
     assert row["manufacturer_group"] == "Inconnu" and row["most_frequent_callsign"] is None

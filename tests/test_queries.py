@@ -18,7 +18,7 @@ def con():
 
 def test_sql_belongs_to_queries():
     assert set(oracle_sql()) <= set(queries())
-    assert set(QUERIES) - set(ORACLE) == {"lake_files"}
+    assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(queries())
 
 
