@@ -264,6 +264,45 @@ def write_archives(
     return folder, read_index(spark, folder)
 
 
+def archive_chunks(
+    chunks: DataFrame,
+    folder: str | None = None,
+    least: int = REVISIT_BYTES,
+    date: str = EPOCH,
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> tuple[str, DataFrame]:
+    """The same from a chunked record table, for payloads that do not fit a row: (page_id, url, chunk, last, data).
+
+    Chunks of a record are numbered from 0 and ``last`` marks the final one; ``page_id`` names one record and is not
+    null. Chunks meet by record and are streamed in order, so that no task holds a payload, whatever its size.
+    Null data is empty.
+    """
+    spark = prepare(chunks.sparkSession)
+    folder = folder or scratch(spark, "archives")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions, "page_id").sortWithinPartitions("page_id", "chunk")
+
+    data = F.coalesce(F.col("data"), F.lit("").cast("binary"))
+    chunks = chunks.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col("chunk").cast("int").alias("chunk"), "last", data.alias("data"))
+    digests = in_order(chunks.select("page_id", "chunk", "last", "data")).select("page_id", "last", "data")
+    digests = written(digests.mapInArrow(_digests, "page_id long, payload_bytes long, sha1 binary, sha256 binary"), "warc-digests")
+    again = written(revisits(digests, least).select("page_id", "holder"), "warc-revisits")
+    heads = digests.join(again, "page_id", "left").select(
+        "page_id", "holder", F.col("holder").isNotNull().alias("is_revisit"), F.col("payload_bytes").alias("size"), "sha1"
+    )
+    rows = chunks.join(written(heads, "warc-heads"), "page_id").where("not is_revisit or chunk = 0").select(
+        "page_id", "url", "holder", "is_revisit", "size", "sha1", "chunk",
+        (F.col("last") | F.col("is_revisit")).alias("last"),
+        F.when(F.col("is_revisit"), F.lit("").cast("binary")).otherwise(F.col("data")).alias("data"),
+    )
+    storage, base = _storage(folder)
+    storage.create_dir(base, recursive=True)
+    in_order(rows).mapInArrow(_write(folder, date, archive_bytes), INDEX).write.parquet(f"{folder}/index")
+    return folder, read_index(spark, folder)
+
+
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 

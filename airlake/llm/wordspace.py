@@ -10,27 +10,15 @@ from functools import lru_cache
 
 import numpy as np
 
-# Odd multipliers (fixed values): powers of an odd number can be undone modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
+# Odd multiplier of a window's words (fixed value).
 STEP = 0xD6E8FEB86659FD93
+# Places in a word whose bytes have a random number each in a table; later ones get theirs from a mix.
+PLACES = 64
 
 
 @lru_cache(maxsize=None)
 def byte_table() -> np.ndarray:
-    return np.random.default_rng(7).integers(1, 2**64, 256, dtype=np.uint64)
-
-
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64; grown as needed and kept for the next batch."""
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        grown = np.full(max(n, 1024), base, np.uint64)
-        grown[0] = 1
-        known = _powers[base] = np.cumprod(grown, dtype=np.uint64)
-    return known[:n]
+    return np.random.default_rng(7).integers(1, 2**64, PLACES << 8, dtype=np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -59,11 +47,21 @@ class WordSpace:
             self.ends = np.concatenate((spaces, [len(raw)]))
         else:
             self.starts = self.ends = np.zeros(0, np.int64)
-        # Prefix sums of byte values times powers; a word's sum is then moved to position 0.
+        # A word's hash is the sum of a random number per place and byte: no two words, however regular, collide
+        # by construction, as they do under any polynomial modulo a power of two. Prefix sums add them up.
+        sizes = self.ends - self.starts
+        index = np.arange(len(raw), dtype=np.int32)
+        index -= np.repeat(self.starts.astype(np.int32), sizes + 1)[: len(raw)]
+        far = np.flatnonzero(index >= PLACES) if len(sizes) and sizes.max() >= PLACES else index[:0]
+        late = mix((index[far].astype(np.uint64) << np.uint64(8)) | raw[far])
+        index[far] = 0
+        index <<= 8
+        index |= raw
+        values = byte_table()[index]
+        values[far] = late
         sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(byte_table()[raw] * powers(BASE, len(raw)), out=sums[1:])
-        back = powers(pow(BASE, -1, 2**64), len(raw) + 1)
-        self.hash = mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+        np.cumsum(values, out=sums[1:])
+        self.hash = mix(sums[self.ends] - sums[self.starts])
 
     def windows(self, size: int) -> np.ndarray:
         """Hash of the ``size`` words from each word on (also across texts; see :meth:`inside`)."""

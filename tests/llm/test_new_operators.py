@@ -86,6 +86,27 @@ def test_chunks_are_the_payloads(spark, pages, tmp_path, monkeypatch):
         assert len(block) == size + 4 and block.endswith(b"\r\n\r\n")
 
 
+def test_a_chunked_table_is_archived_like_its_pages(spark, pages, tmp_path, rows):
+    """Payloads given as chunk rows in any order, cut anywhere, come back as the payloads of whole pages."""
+    whole = pages.where("page_id not in (9, 10)")
+    data = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    cut = whole.where("page_id is not null").select("page_id", "url", data.alias("all")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("all") / 70_001).cast("int")))
+    )
+    last = F.col("chunk") == F.floor(F.octet_length("all") / 70_001)
+    chunks = cut.select(
+        "page_id", "url", "chunk", last.alias("last"), F.substring("all", F.col("chunk") * 70_001 + 1, F.lit(70_001)).alias("data")
+    )
+    folder, index = warc.archive_chunks(chunks.orderBy(F.rand(3)), str(tmp_path / "chunks"))
+    got = warc.read_chunks(spark, folder, data=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    given = [(r["page_id"], r["html"]) for r in whole.collect() if r["page_id"] is not None]
+    assert rows(got) == sorted(expected_records(given), key=repr) and index.count() == len(given)
+    again, _ = warc.archive_chunks(
+        warc.read_chunks(spark, folder).where("record_type = 'response'").withColumn("url", F.lit("u")), str(tmp_path / "again")
+    )
+    assert {r["record_type"] for r in warc.read_index(spark, again).collect()} == {"response"}
+
+
 def test_a_changed_archive_is_noticed(spark, pages, tmp_path):
     folder, index = warc.write_archives(pages.where("page_id = 10"), str(tmp_path / "a"))
     name = index.first()["archive"]

@@ -344,3 +344,35 @@ def test_columns_of_any_name_are_kept(spark):
     assert rest(single) == {tuple(values)} and columns(single, "doc_id") == [(1,), (3,), (4,)]
     again = mixing.replicate(frame)
     assert rest(again) <= {tuple(values)} and again.count() > 0
+
+
+def test_regular_words_do_not_collide(spark):
+    """Two words of 2,048 characters, all different place by place, that any polynomial modulo 2**64 takes for equal."""
+    from airlake.llm import suffix_tree
+
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    frame = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
+    found = columns(minhash.near_duplicates(frame), "doc_id", "component_id")
+    assert found == [(1, 1), (2, 2), (3, 1)]
+    known = columns(suffix_tree.score_documents(frame, "doc_id = 1"), "doc_id", "n_known")
+    assert known == [(1, 2), (2, 1), (3, 2)]
+
+
+def test_hashed_words_equal_the_contract():
+    """Words from the bytes of an Arrow column, also of a slice of it, equal those of the pattern."""
+    import pyarrow as pa
+
+    from airlake.llm import suffix_tree
+
+    texts = ["", "a", " a  B\t\ta\x0bé É\x1cx ", "\n", "x" * 300 + " y" + " " * 100 + "Z", "", "A b", "end"]
+    column = pa.array(["skipped"] + texts).slice(1)
+    hashes, doc = suffix_tree.hashed_words(column)
+    lower = str.maketrans(minhash.UPPER, minhash.LOWER)
+    expected = [(i, w) for i, t in enumerate(texts) for w in WORD.findall(t.translate(lower))]
+    assert doc.tolist() == [i for i, _ in expected]
+    names = {}
+    for (_, word), h in zip(expected, hashes.tolist()):
+        assert names.setdefault(word, h) == h
+    assert len(set(names.values())) == len(names)
+    assert [len(x) for x in suffix_tree.hashed_words(pa.array([], pa.string()))] == [0, 0]
