@@ -13,26 +13,27 @@ for each retained context before it log(PRIOR / (N + PRIOR)), plus for each of t
 log(1 + n / (PRIOR * parent)). These are sums over the word sequences of a text, and each sequence is
 looked up by its hash alone.
 
-Counts and values stay in tables in hash buckets of packed arrays; each bucket is sent the
-sequences of all documents and gives back sums. Frequent words (at most 1 / ``FREQUENT_SHARE``)
-are broadcast and never sent, so no bucket holds more than a small share of the tokens of one
-word. Bitmaps of ``BITS`` bits keep back sequences without a candidate or retained context; a full one
-only sends more. Words and sequences are identified by 64 bits.
+Sequences travel as packed arrays in hash buckets, whose number follows the size of the texts. A level's counts go
+to the bucket of their suffix (all but the first word), where the parent's probabilities are, and from there to
+the bucket of their context, where it is tested. Sequences that make up more than ``FREQUENT_SHARE`` of the tokens (so at
+most 1 / ``FREQUENT_SHARE`` per length) are broadcast, and what hangs on them is dealt by the whole sequence: no
+bucket gathers a frequent word. Bitmaps of at most 2 ** ``BITS`` bits keep back sequences without a candidate or retained
+context; a full one only sends more. Words and sequences are identified by 64 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airlake.llm.common import byte_slices, prepare, single_spaced, written
-from airlake.llm.minhash import LOWER, UPPER
-from airlake.llm.wordspace import WordSpace
+from airlake.llm.common import prepare, scratch, written
+from airlake.llm.wordspace import PLACES, byte_table, mix
 
 FREQUENT_SHARE = 1e-4
 # Most words of a context, and least tokens after it.
@@ -42,97 +43,132 @@ LEAST = 20
 PRIOR = 20.0
 # Chance of retaining a context that does not differ from its parent.
 ERROR = 1e-3
-# Size of a bitmap.
+# Most bits of a bitmap (16 MB), and bits per sequence below that.
 BITS = 27
+BITS_EACH = 8
 END = np.uint64(0xE0F)
 START = np.uint64(0x50F)
+# Bytes of text per bucket, and least buckets.
+BUCKET_BYTES = 4 << 20
 LEAST_BUCKETS = 64
-# Distinct words that a task holds before it sends their counts on.
+# Distinct words, and sequences, that a task holds before it sends their counts on.
 HELD_WORDS = 2_000_000
-# Values that a task packs at once.
-HELD_VALUES = 1_000_000
+HELD_GRAMS = 1_500_000
 
-
-def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every token, each text closed by its end."""
-    space = WordSpace(texts)
-    stops = space.first + space.n
-    return np.insert(space.hash, stops, END), np.insert(space.doc, stops, np.arange(len(texts)))
+# Rows of a bucket come in this order of kinds, with up to five packed arrays each.
+COUNTS, VALUES, WORDS, SEQUENCES, HEADS = range(5)
+PARENTS, GRAMS, WEIGHED, OFTEN, PARTIAL, STATES = range(10, 16)
+# Values by the length of their sequence, and counts by the length of their context.
+VALUES_OF, GRAMS_OF = 100, 200
+PACKED = "bucket long, kind int, a binary, b binary, c binary, d binary, e binary"
+COLUMNS = "abcde"
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(which, np.concatenate(counts), len(distinct)).astype(np.int64)
+def _pack(buckets: np.ndarray | list, kind: int, *columns: list) -> pa.RecordBatch:
+    columns = [*columns, *[[None] * len(buckets)] * (len(COLUMNS) - len(columns))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(buckets, pa.int64()), pa.array([kind] * len(buckets), pa.int32())]
+        + [pa.array(c, pa.binary()) for c in columns],
+        ["bucket", "kind", *COLUMNS],
+    )
 
 
 def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
-def _packed_counts(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Keys and counts as one row of packed arrays per bucket."""
-    own = _buckets(keys, buckets)
+def _dealt(buckets: int, kind: int, own: np.ndarray, *arrays: np.ndarray) -> pa.RecordBatch:
+    """Parallel arrays as one row per bucket."""
     order = np.argsort(own, kind="stable")
-    keys, counts, bounds = keys[order], counts[order], np.searchsorted(own[order], np.arange(buckets + 1))
+    bounds = np.searchsorted(own[order], np.arange(buckets + 1))
+    used = np.flatnonzero(np.diff(bounds))
+    arrays = [a[order] for a in arrays]
+    return _pack(used, kind, *[[a[bounds[b] : bounds[b + 1]].tobytes() for b in used] for a in arrays])
+
+
+def _dealt_runs(buckets: int, kind: int, own: np.ndarray, lead: np.ndarray, *arrays: np.ndarray) -> pa.RecordBatch:
+    """The same, the first array as distinct values and run lengths."""
+    order = np.argsort(lead)
+    order = order[np.argsort(own[order], kind="stable")]
+    own, lead, arrays = own[order], lead[order], [a[order] for a in arrays]
+    new = np.ones(len(lead), bool)
+    new[1:] = (lead[1:] != lead[:-1]) | (own[1:] != own[:-1])
+    starts = np.flatnonzero(new)
+    runs = np.diff(np.append(starts, len(lead))).astype(np.uint32)
+    lead = lead[starts]
+    bounds = np.searchsorted(own, np.arange(buckets + 1))
+    heads = np.searchsorted(starts, bounds)
     used = np.flatnonzero(np.diff(bounds))
-    cut = lambda a: pa.array([a[bounds[b] : bounds[b + 1]].tobytes() for b in used], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), cut(keys), cut(counts)], ["bucket", "keys", "n"])
+    return _pack(
+        used, kind,
+        [lead[heads[b] : heads[b + 1]].tobytes() for b in used], [runs[heads[b] : heads[b + 1]].tobytes() for b in used],
+        *[[a[bounds[b] : bounds[b + 1]].tobytes() for b in used] for a in arrays],
+    )
 
 
-def _count_words(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = [], []
-        for batch in batches:
-            for part in byte_slices(batch, 0):
-                distinct, n = np.unique(_tokens(part.column(0).to_pylist())[0], return_counts=True)
-                keys.append(distinct)
-                counts.append(n)
-                if len(keys) > 8:
-                    held = _merge(keys, counts)
-                    if len(held[0]) > HELD_WORDS:
-                        yield _packed_counts(*held, buckets)
-                        keys, counts = [], []
-                    else:
-                        keys, counts = [held[0]], [held[1]]
-        if keys:
-            yield _packed_counts(*_merge(keys, counts), buckets)
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[tuple]]]]:
+    """(bucket, rows by kind) out of rows sorted by bucket."""
+    bucket, held = None, {}
+    for batch in batches:
+        for own, kind, *columns in zip(*(c.to_pylist() for c in batch.columns)):
+            if own != bucket:
+                if held:
+                    yield bucket, held
+                bucket, held = own, {}
+            held.setdefault(kind, []).append(columns)
+    if held:
+        yield bucket, held
 
-    return run
 
+def _column(rows: list[tuple], i: int, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(row[i] for row in rows), kind)
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row of summed, sorted counts per bucket."""
-    held: dict[int, tuple[list, list]] = {}
-    for batch in batches:
-        for bucket, keys, n in zip(*(c.to_pylist() for c in batch.columns)):
-            own = held.setdefault(bucket, ([], []))
-            own[0].append(np.frombuffer(keys, np.uint64))
-            own[1].append(np.frombuffer(n, np.int64))
-    for bucket in list(held):
-        keys, n = _merge(*held.pop(bucket))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([bucket], pa.int64()),
-                pa.array([keys.tobytes()], pa.binary()),
-                pa.array([n.tobytes()], pa.binary()),
-                pa.array([int(n.sum())], pa.int64()),
-                pa.array([len(keys)], pa.int64()),
-            ],
-            ["bucket", "keys", "n", "tokens", "words"],
-        )
 
+# Words --------------------------------------------------------------------------------
 
-def _frequent(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, n in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, n = np.frombuffer(keys, np.uint64), np.frombuffer(n, np.int64)
-                many = n >= least
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[many].view(np.int64)), pa.array(n[many])], ["key", "n"]
-                )
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
-    return run
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word, straight from the bytes: A-Z lower-cased, split at ASCII white space.
+
+    A word's hash is the sum of a random number per place and byte, as in ``wordspace``.
+    """
+    if not len(texts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    bounds = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    bounds = bounds - bounds[0]
+    word = ~_SPACE[raw]
+    begins, stops = word.copy(), word.copy()
+    begins[1:] &= ~word[:-1]
+    stops[:-1] &= ~word[1:]
+    filled = bounds[1:] > bounds[:-1]
+    first, last = bounds[:-1][filled], bounds[1:][filled] - 1
+    begins[first], stops[last] = word[first], word[last]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    sizes = np.diff(np.append(starts, len(raw)))
+    raw = _LOWER[raw[starts[0] :]]
+    index = np.arange(len(raw), dtype=np.int32)
+    index -= np.repeat((starts - starts[0]).astype(np.int32), sizes)
+    far = np.flatnonzero(index >= PLACES) if sizes.max() >= PLACES else index[:0]
+    late = mix((index[far].astype(np.uint64) << np.uint64(8)) | raw[far])
+    index[far] = 0
+    index <<= 8
+    index |= raw
+    values = byte_table()[index]
+    values[far] = late
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    hashes = mix(sums[ends - starts[0]] - sums[starts - starts[0]])
+    return hashes, np.searchsorted(bounds, starts, side="right") - 1
 
 
 def _joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
@@ -152,18 +188,19 @@ def _joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return h
 
 
-def _sequences(texts: list[str], longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _sequences(texts: pa.Array, longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Text number of every token, and per length the hash of the sequence from each token on.
 
     Each text has a start before and an end after its words. Sequences may run across texts.
     """
-    space = WordSpace(texts)
-    edges = np.stack((space.first, space.first + space.n), axis=1).reshape(-1)
-    tokens = np.insert(space.hash, edges, np.tile(np.array([START, END]), len(texts)))
-    hashes = [tokens]
+    words, doc = hashed_words(texts)
+    n = np.bincount(doc, minlength=len(texts))
+    first = np.cumsum(n) - n
+    edges = np.stack((first, first + n), axis=1).reshape(-1)
+    hashes = [np.insert(words, edges, np.tile(np.array([START, END]), len(texts)))]
     for _ in range(longest - 1):
         hashes.append(_joined(hashes[-1][:-1], hashes[-1][1:]))
-    return np.repeat(np.arange(len(texts)), space.n + 2), hashes
+    return np.repeat(np.arange(len(texts)), n + 2), hashes
 
 
 def _inside(doc: np.ndarray, size: int) -> np.ndarray:
@@ -172,67 +209,263 @@ def _inside(doc: np.ndarray, size: int) -> np.ndarray:
     return doc[:count] == doc[size - 1 : size - 1 + count]
 
 
+# Counts -------------------------------------------------------------------------------
+
+
+def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    return distinct, np.bincount(which, np.concatenate(counts), len(distinct)).astype(np.int64)
+
+
+def _count_words(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, size = [], [], 0
+        for batch in batches:
+            words = hashed_words(batch.column(0))[0]
+            distinct, n = np.unique(words, return_counts=True)
+            keys += [distinct, np.array([END])]
+            counts += [n, np.array([batch.num_rows])]
+            size += len(distinct)
+            if size > HELD_WORDS:
+                held = _merge(keys, counts)
+                keys, counts, size = [held[0]], [held[1]], len(held[0])
+                if size > HELD_WORDS // 2:
+                    yield _dealt(buckets, COUNTS, _buckets(held[0], buckets), *held)
+                    keys, counts, size = [], [], 0
+        if keys:
+            held = _merge(keys, counts)
+            yield _dealt(buckets, COUNTS, _buckets(held[0], buckets), *held)
+
+    return run
+
+
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of summed, sorted counts per bucket."""
+    for bucket, rows in _by_bucket(batches):
+        keys, n = _merge([_column(rows[COUNTS], 0, np.uint64)], [_column(rows[COUNTS], 1, np.int64)])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([bucket], pa.int64()),
+                pa.array([keys.tobytes()], pa.binary()),
+                pa.array([n.tobytes()], pa.binary()),
+                pa.array([int(n.sum())], pa.int64()),
+                pa.array([len(keys)], pa.int64()),
+            ],
+            ["bucket", "keys", "n", "tokens", "words"],
+        )
+
+
+def _at_least(least: float):
+    """(seq, n) of packed keys (first column) and counts (second) that reach a number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, n = np.frombuffer(keys, np.int64), np.frombuffer(n, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[n >= least]), pa.array(n[n >= least])], ["seq", "n"])
+
+    return run
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for keys in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64))], ["seq"])
+
+
 def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    """Whether the bit of each hash is set; a bitmap has a power of two of bytes."""
+    bits = len(bitmap).bit_length() + 2
+    bit = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def _bitmap(hashes: DataFrame) -> bytes:
-    """A bit for each hash in column ``seq``."""
-    bit = F.shiftrightunsigned("seq", 64 - BITS) + 1
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """A bit for each hash in column ``seq``; its size follows their number."""
+    size = min(BITS, max(16, int(hashes.count() * BITS_EACH).bit_length()))
+    bit = F.shiftrightunsigned("seq", 64 - size) + 1
     slices = hashes.groupBy(F.bitmap_bucket_number(bit).alias("slice")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
     )
-    bitmap = bytearray(1 << (BITS - 3))
-    for row in slices.toLocalIterator():
+    bitmap = bytearray(1 << (size - 3))
+    for row in slices.collect():  # 2 ** BITS bits
         first = (row["slice"] - 1) * len(row["bits"])
         bitmap[first : first + len(row["bits"])] = row["bits"]
-    return bytes(bitmap)
+    return np.frombuffer(bytes(bitmap), np.uint8)
+
+
+@dataclass
+class Frequent:
+    """Frequent sequences of one length, sorted: their parent's probability as a suffix (see ``scale``), and
+    as contexts how many tokens follow and whether they are retained."""
+
+    keys: np.ndarray
+    parent: np.ndarray
+    total: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    retained: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, and which keys are there at all."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
 
-def _count_grams(depth: int, bitmap):
-    """(context, suffix, n): the tokens after each context that is in the bitmap.
 
-    The suffix is the context without its first word, with the token.
+def _count_grams(sizes: list[int], candidates, frequent: dict[int, np.ndarray], buckets: int):
+    """Counts of the tokens after contexts of some lengths, dealt by suffix.
+
+    A single word is a context if it is in the bitmap; a longer sequence if each two neighbours in it are.
     """
 
+    def flush(size: int, pieces: list[tuple]) -> pa.RecordBatch:
+        context, suffix = (np.concatenate(p) for p in zip(*pieces))
+        context, suffix, key, n = _distinct(context, suffix, np.ones(len(context), np.int64))
+        _, hot = Frequent(frequent[size], frequent[size]).find(suffix)
+        own = _buckets(np.where(hot, key, suffix), buckets)
+        return _dealt_runs(buckets, GRAMS_OF + size, own, suffix, context, n)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, np.uint8)
+        bits, held, count = candidates.value, {size: [] for size in sizes}, dict.fromkeys(sizes, 0)
         for batch in batches:
-            for part in byte_slices(batch, 0):
-                doc, hashes = _sequences(part.column(0).to_pylist(), depth)
-                own = hashes[depth - 1]
-                at = np.flatnonzero(_inside(doc, depth + 1))
-                at = at[_marked(bits, own[at])]
-                _, first, n = np.unique(_joined(own[at], own[at + 1]), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[at[first]].view(np.int64)), pa.array(own[at[first] + 1].view(np.int64)), pa.array(n)],
-                    ["context", "suffix", "n"],
-                )
+            doc, hashes = _sequences(batch.column(0), max(sizes))
+            marked = _marked(bits, hashes[0 if sizes == [1] else 1])
+            for size in sizes:
+                at = np.flatnonzero(_inside(doc, size + 1))
+                for k in range(max(1, size - 1)):
+                    at = at[marked[at + k]]
+                held[size].append((hashes[size - 1][at], hashes[size - 1][at + 1]))
+                count[size] += len(at)
+                if count[size] > HELD_GRAMS:
+                    yield flush(size, held[size])
+                    held[size], count[size] = [], 0
+        for size in sizes:
+            if count[size]:
+                yield flush(size, held[size])
 
     return run
 
 
-def _log_gamma(x: Column) -> Column:
+def _distinct(context: np.ndarray, suffix: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(context, suffix, key, n) of the distinct sequences, counts added up."""
+    key = _joined(context, suffix)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    starts = np.flatnonzero(new)
+    first = order[starts]
+    return context[first], suffix[first], key[starts], np.add.reduceat(n[order], starts) if len(starts) else n
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series of x + 8, taken back by the product of the 8 steps."""
     y = x + 8
     steps = reduce(lambda a, k: a * (x + k), range(1, 8), x)
-    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    return (y - 0.5) * F.log(y) - y + F.lit(0.5 * float(np.log(2 * np.pi))) + series - F.log(steps)
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(steps)
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for keys, n in zip(*(c.to_pylist() for c in batch.columns)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(n, np.int64))], ["seq", "n"]
-            )
+def _evidence(n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """What each next word adds to the likelihood ratio: a word seen once log(PRIOR), whatever its parent."""
+    terms = np.full(len(n), np.log(PRIOR))
+    often = n > 1
+    n, p = n[often].astype(np.float64), p[often]
+    terms[often] = _log_gamma(n + PRIOR * p) - _log_gamma(PRIOR * p) - n * np.log(p)
+    return terms
+
+
+def _differs(total: np.ndarray, evidence: np.ndarray) -> np.ndarray:
+    prior = np.array([PRIOR])
+    return evidence + _log_gamma(prior) - _log_gamma(total + PRIOR) > -np.log(ERROR)
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by key, where groups begin in it, and the group of each place."""
+    order = np.argsort(keys, kind="stable")
+    sorted_keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _weigh(size: int, frequent, buckets: int, scale: float):
+    """Whole counts with their parent's probability, dealt by context; frequent ones among the new sequences; and
+    the frequent contexts' sums over this bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = frequent.value
+        for bucket, rows in _by_bucket(batches):
+            pieces = rows.get(GRAMS_OF + size)
+            if not pieces:
+                continue
+            parents, known = _column(rows.get(PARENTS, []), 0, np.uint64), _column(rows.get(PARENTS, []), 1, np.float64)
+            order = np.argsort(parents)
+            table = Frequent(parents[order], known[order])
+            suffix = np.repeat(_column(pieces, 0, np.uint64), _column(pieces, 1, np.uint32))
+            context, suffix, key, n = _distinct(_column(pieces, 2, np.uint64), suffix, _column(pieces, 3, np.int64))
+            at, found = table.find(suffix)
+            value = np.where(found, table.parent[at] if len(parents) else 0.0, 0.0)
+            at, is_hot = hot.find(suffix)
+            value = np.where(is_hot, hot.parent[at] if len(hot.keys) else 0.0, value)
+            use = found | is_hot  # else its context is none, and only a bit of the bitmap was set
+            context, suffix, key, n, value = context[use], suffix[use], key[use], n[use], value[use]
+            _, hot_context = hot.find(context)
+            own = _buckets(np.where(hot_context, key, context), buckets)
+            yield _dealt_runs(buckets, WEIGHED, own, context, suffix, n, value)
+            often = n >= LEAST
+            yield _pack([bucket], OFTEN, [key[often].tobytes()], [n[often].tobytes()])
+            if hot_context.any():
+                own, m, p = context[hot_context], n[hot_context], value[hot_context] * scale
+                order, starts, _ = _groups(own)
+                yield _pack(
+                    [bucket], PARTIAL, [own[order][starts].tobytes()],
+                    [np.add.reduceat(m[order], starts).tobytes()],
+                    [np.add.reduceat(_evidence(m, p)[order], starts).tobytes()],
+                )
+
+    return run
+
+
+def _test(size: int, frequent, needed, buckets: int, scale: float):
+    """Values of the retained contexts and of what follows them, the probabilities that the next level needs, and
+    the retained contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = frequent.value
+        for _, rows in _by_bucket(batches):
+            pieces = rows[WEIGHED]
+            context = np.repeat(_column(pieces, 0, np.uint64), _column(pieces, 1, np.uint32))
+            order, starts, group = _groups(context)
+            suffix, n, value = _column(pieces, 2, np.uint64), _column(pieces, 3, np.int64), _column(pieces, 4, np.float64)
+            context, suffix, n, p = context[order], suffix[order], n[order], value[order] * scale
+            contexts = context[starts]
+            total = np.add.reduceat(n, starts)
+            retained = _differs(total, np.add.reduceat(_evidence(n, p), starts)) & (total >= LEAST)
+            at, is_hot = hot.find(contexts)
+            if is_hot.any():  # whose words are in many buckets
+                total = np.where(is_hot, hot.total[at], total)
+                retained = np.where(is_hot, hot.retained[at], retained)
+            own = retained & ~is_hot
+            states = np.log10(PRIOR / (total[own] + PRIOR))
+            yield _dealt(buckets, VALUES_OF + size, _buckets(contexts[own], buckets), contexts[own], states)
+            yield _pack([0], STATES, [contexts[retained].tobytes()])
+            kept, following = retained[group], (total >= LEAST)[group]
+            key, likely = _joined(context, suffix), PRIOR * p
+            gains = np.log10(1 + n[kept] / likely[kept])
+            yield _dealt(buckets, VALUES_OF + size + 1, _buckets(key[kept], buckets), key[kept], gains)
+            if needed is not None:
+                smoothed = np.where(kept, (n + likely) / (total[group] + PRIOR), p)
+                use = following & _marked(needed.value, key)
+                yield _dealt(buckets, PARENTS, _buckets(key[use], buckets), key[use], smoothed[use])
+
+    return run
 
 
 @dataclass
 class SuffixTree:
     """Totals, and what is broadcast: frequent words with their counts and values as contexts, the
-    value of the start, and a bitmap of the retained contexts. ``counts`` and ``values`` are tables."""
+    value of the start, and a bitmap of the retained contexts."""
 
     tokens: int
     words: int
@@ -240,138 +473,204 @@ class SuffixTree:
     n: np.ndarray
     context: np.ndarray
     start: float
-    bitmap: bytes
+    bitmap: np.ndarray
 
     @property
     def total(self) -> float:
         return self.tokens + 0.5 * (self.words + 1)  # of the smoothed word counts
 
 
-def fit_suffix_tree(words: DataFrame, buckets: int, depth: int = DEPTH) -> tuple[SuffixTree, DataFrame, DataFrame]:
-    """The tree of the texts in column ``words`` (single-spaced), the written word counts, and
-    (seq, value): log10 of what a sequence adds, in up to two rows.
+class _Scratch:
+    """Written tables that are deleted when no one reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = scratch(self.spark, f"tree-{name}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    What reaches the driver is frequent words and bitmaps.
+    def drop(self, name: str) -> None:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _forget(broadcasts: list) -> None:
+    """Remove what was broadcast from executors and driver; nothing reads it any more."""
+    for value in broadcasts:
+        value.destroy()
+
+
+def _in_buckets(df: DataFrame, buckets: int) -> DataFrame:
+    return df.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+
+
+def _of_kind(df: DataFrame, *kinds: int) -> DataFrame:
+    return df.where(F.col("kind").isin(*kinds))
+
+
+def _parents(counts: DataFrame) -> DataFrame:
+    """The smoothed counts of words as packed parents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket, keys, n = (c.to_pylist() for c in batch.columns)
+            yield _pack(bucket, PARENTS, keys, [(np.frombuffer(x, np.int64) + 0.5).tobytes() for x in n])
+
+    return counts.select("bucket", "keys", "n").mapInArrow(run, PACKED)
+
+
+def _chosen(keys: np.ndarray):
+    """(seq, parent) of the packed parents that are among ``keys``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = keys.value
+        for batch in batches:
+            for own, p in zip(*(c.to_pylist() for c in batch.columns)):
+                own, p = np.frombuffer(own, np.uint64), np.frombuffer(p, np.float64)
+                use = Frequent(wanted, wanted).find(own)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(own[use].view(np.int64)), pa.array(p[use])], ["seq", "parent"])
+
+    return run
+
+
+def _tested(frequent: Frequent, weighed: DataFrame) -> Frequent:
+    """The frequent contexts with their sums over all buckets; at most 1 / FREQUENT_SHARE of them."""
+    total, evidence = np.zeros(len(frequent.keys), np.int64), np.zeros(len(frequent.keys))
+    for row in _of_kind(weighed, PARTIAL).select("a", "b", "c").toLocalIterator():
+        at = np.searchsorted(frequent.keys, np.frombuffer(row["a"], np.uint64))
+        total[at] += np.frombuffer(row["b"], np.int64)
+        evidence[at] += np.frombuffer(row["c"], np.float64)
+    retained = _differs(total, evidence) & (total >= LEAST)
+    return Frequent(frequent.keys, frequent.parent, total, retained)
+
+
+def fit_suffix_tree(
+    texts: DataFrame, buckets: int, tables: _Scratch, depth: int = DEPTH
+) -> tuple[SuffixTree, DataFrame, list[DataFrame]]:
+    """The tree of the texts in column ``text``, the written word counts, and packed values per level.
+
+    What reaches the driver is frequent sequences, sums of them, and bitmaps.
     """
-    spark = words.sparkSession
-    counts = written(
-        words.mapInArrow(_count_words(buckets), "bucket long, keys binary, n binary")
-        .repartition(buckets, "bucket")
-        .mapInArrow(_sum_counts, "bucket long, keys binary, n binary, tokens long, words long"),
+    spark = texts.sparkSession
+    share = spark.sparkContext.broadcast
+    counts = tables.keep(
+        _in_buckets(texts.mapInArrow(_count_words(buckets), PACKED), buckets).mapInArrow(
+            _sum_counts, "bucket long, keys binary, n binary, tokens long, words long"
+        ),
         "counts",
     )
     tokens, distinct = counts.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))
     ).first()
-    frequent = counts.select("keys", "n").mapInArrow(_frequent(max(FREQUENT_SHARE * tokens, 1)), "key long, n long")
-    frequent = frequent.toPandas().sort_values("key")
-    tree = SuffixTree(
-        tokens, distinct, frequent["key"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), None, 0.0, b""
-    )
-    unigrams = counts.select("keys", "n").mapInArrow(_unpacked, "seq long, n long")
-    parents = unigrams.select("seq", F.log((F.col("n") + 0.5) / tree.total).alias("logp"))
+    least = max(FREQUENT_SHARE * tokens, 1)
+    found = counts.select("keys", "n").mapInArrow(_at_least(least), "seq long, n long").toPandas()
+    keys, n = found["seq"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    order = np.argsort(keys)
+    tree = SuffixTree(tokens, distinct, keys[order], n[order], np.zeros(len(keys)), 0.0, np.zeros(0, np.uint8))
+    both = np.append(tree.keys, START)
+    order = np.argsort(both)
+    frequent = Frequent(both[order], np.append(tree.n + 0.5, 0.5)[order])
     start = spark.range(1).select(F.lit(int(START)).cast("long").alias("seq"))
-    candidates = unigrams.where(F.col("n") >= LEAST).select("seq").union(start)
-    prior = F.lit(PRIOR)
-    likely = prior * F.exp("logp")
-    evidence = F.when(F.col("n") == 1, F.log(prior)).otherwise(
-        _log_gamma(F.col("n") + likely) - _log_gamma(likely) - F.col("n") * F.col("logp")
-    )
-    values, states = [], []
+    words = counts.select("keys", "n").mapInArrow(_at_least(LEAST), "seq long, n long").select("seq")
+    candidates = share(_bitmap(words.union(start)))
+    parents, scale, values, states, needed = _parents(counts), 1 / tree.total, [], [], {}
+    grams = texts.mapInArrow(_count_grams([1], candidates, {1: frequent.keys}, buckets), PACKED)
+    longer, used = None, [candidates]
     for size in range(1, depth + 1):
-        shared = spark.sparkContext.broadcast(_bitmap(candidates))
-        grams = (
-            words.mapInArrow(_count_grams(size, shared), "context long, suffix long, n long")
-            .groupBy("context", "suffix")
-            .agg(F.sum("n").alias("n"))
-        )
-        weighed = written(grams.join(parents.withColumnRenamed("seq", "suffix"), "suffix"), "grams")
-        tested = weighed.groupBy("context").agg(F.sum("n").alias("total"), F.sum(evidence).alias("evidence"))
-        ratio = F.col("evidence") + _log_gamma(prior) - _log_gamma(F.col("total") + prior)
-        tested = written(
-            tested.where(F.col("total") >= LEAST).select(
-                "context", "total", (ratio > float(-np.log(ERROR))).alias("retained")
-            ),
-            "contexts",
+        hot = share(frequent)
+        used.append(hot)
+        weighed = tables.keep(
+            _in_buckets(parents.union(grams), buckets).mapInArrow(_weigh(size, hot, buckets, scale), PACKED), f"weighed{size}"
         )
-        smoothed = F.log((F.col("n") + likely) / (F.col("total") + prior))
-        known = written(
-            weighed.join(tested if size < depth else tested.where("retained"), "context").select(
-                F.xxhash64("context", "suffix").alias("seq"),
-                "n",
-                F.when(F.col("retained"), smoothed).otherwise(F.col("logp")).alias("logp"),
-                F.when(F.col("retained"), F.log10(1 + F.col("n") / likely)).alias("value"),
+        _forget(used)
+        often = _of_kind(weighed, OFTEN).select("a", "b")
+        if size == 1 and depth > 1:
+            # All longer contexts in one pass over the texts: they need nothing but the frequent pairs.
+            candidates = share(_bitmap(often.select("a").mapInArrow(_keys, "seq long")))
+            sizes = list(range(2, depth + 1))
+            longer = tables.keep(
+                texts.mapInArrow(_count_grams(sizes, candidates, dict.fromkeys(sizes, np.zeros(0, np.uint64)), buckets), PACKED), "longer"
+            )
+            _forget([candidates])
+            for k in sizes:
+                needed[k] = share(_bitmap(_of_kind(longer, GRAMS_OF + k).select("a").mapInArrow(_keys, "seq long")))
+        frequent = _tested(frequent, weighed)
+        hot = share(frequent)
+        tested = tables.keep(
+            _in_buckets(_of_kind(weighed, WEIGHED), buckets).mapInArrow(
+                _test(size, hot, needed.get(size + 1), buckets, scale), PACKED
             ),
-            "sequences",
-        )
-        kept = tested.where("retained").select(
-            F.col("context").alias("seq"), F.log10(prior / (F.col("total") + prior)).alias("value")
+            f"tested{size}",
         )
-        states.append(kept)
-        values += [kept, known.where("value is not null").select("seq", "value")]
-        parents = known.select("seq", "logp")
-        candidates = known.where(F.col("n") >= LEAST).select("seq")
-    tree.bitmap = _bitmap(reduce(DataFrame.union, states).select("seq"))
-    wanted = spark.createDataFrame([(int(k),) for k in [*tree.keys, START]], "seq long")
-    found = dict(states[0].join(F.broadcast(wanted), "seq", "left_semi").toPandas().to_numpy(object).tolist())
-    tree.context = np.array([found.get(int(k), 0.0) for k in tree.keys], np.float64)
-    tree.start = float(found.get(int(START), 0.0))
-    order = np.argsort(tree.keys.view(np.uint64))
-    tree.keys, tree.n, tree.context = tree.keys.view(np.uint64)[order], tree.n[order], tree.context[order]
-    return tree, counts, reduce(DataFrame.union, values)
-
-
-# Rows of a bucket come in this order, with up to four packed arrays each.
-COUNTS, VALUES, WORDS, SEQUENCES, HEADS = range(5)
-PACKED = "bucket long, kind int, a binary, b binary, c binary, d binary"
-
-
-def _pack(buckets: np.ndarray | list, kind: int, *columns: list) -> pa.RecordBatch:
-    columns = [*columns, *[[None] * len(buckets)] * (4 - len(columns))]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(buckets, pa.int64()), pa.array([kind] * len(buckets), pa.int32())]
-        + [pa.array(c, pa.binary()) for c in columns],
-        ["bucket", "kind", "a", "b", "c", "d"],
-    )
-
-
-def _pack_values(buckets: int):
-    def packed(keys: list, values: list) -> pa.RecordBatch:
-        keys, values = np.concatenate(keys), np.concatenate(values)
-        own = _buckets(keys, buckets)
-        order = np.argsort(own, kind="stable")
-        keys, values, bounds = keys[order], values[order], np.searchsorted(own[order], np.arange(buckets + 1))
-        used = np.flatnonzero(np.diff(bounds))
-        cut = lambda a: [a[bounds[b] : bounds[b + 1]].tobytes() for b in used]
-        return _pack(used, VALUES, cut(keys), cut(values))
+        _forget([hot, *([needed[size + 1]] if size < depth else [])])
+        kept = frequent.keys[frequent.retained]
+        gains = np.log10(PRIOR / (frequent.total[frequent.retained] + PRIOR))
+        if size == 1:
+            at, use = Frequent(kept, gains).find(tree.keys)
+            tree.context = np.where(use, gains[at] if len(kept) else 0.0, 0.0)
+            tree.start = float(gains[kept == START].sum())
+        elif len(kept):
+            batch = _dealt(buckets, VALUES_OF + size, _buckets(kept, buckets), kept, gains)
+            values.append(spark.createDataFrame(batch.to_pandas().to_numpy(object).tolist(), PACKED))
+        if len(kept):
+            states.append(spark.createDataFrame([(int(k),) for k in kept.view(np.int64)], "seq long"))
+        values.append(tested)
+        states.append(_of_kind(tested, STATES).select("a").mapInArrow(_keys, "seq long"))
+        if size < depth:
+            hot_keys = often.mapInArrow(_at_least(least), "seq long, n long").toPandas()["seq"].to_numpy(np.int64)
+            hot_keys = share(np.sort(hot_keys.view(np.uint64)))
+            parents = _of_kind(tested, PARENTS)
+            found = parents.select("a", "b").mapInArrow(_chosen(hot_keys), "seq long, parent double").toPandas()
+            keys = found["seq"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(keys)
+            frequent, scale = Frequent(keys[order], found["parent"].to_numpy(np.float64)[order]), 1.0
+            _forget([hot_keys])
+            hot = share(frequent.keys)
+            used = [hot]
+            grams = _of_kind(longer, GRAMS_OF + size + 1).mapInArrow(_redealt(size + 1, hot, buckets), PACKED)
+        tables.drop(f"weighed{size}")
+    if longer is not None:
+        tables.drop("longer")
+    tree.bitmap = _bitmap(reduce(DataFrame.union, states))
+    return tree, counts, values
+
+
+def _redealt(size: int, frequent, buckets: int):
+    """Counts whose suffix turned out to be frequent, dealt by the whole sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values = [], []
+        hot = Frequent(frequent.value, frequent.value)
         for batch in batches:
-            keys.append(batch.column(0).to_numpy().view(np.uint64))
-            values.append(batch.column(1).to_numpy())
-            if sum(map(len, keys)) > HELD_VALUES:
-                yield packed(keys, values)
-                keys, values = [], []
-        if keys:
-            yield packed(keys, values)
+            for _, _, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                suffix = np.repeat(np.frombuffer(row[0], np.uint64), np.frombuffer(row[1], np.uint32))
+                context, n = np.frombuffer(row[2], np.uint64), np.frombuffer(row[3], np.int64)
+                own = _buckets(np.where(hot.find(suffix)[1], _joined(context, suffix), suffix), buckets)
+                yield _dealt_runs(buckets, GRAMS_OF + size, own, suffix, context, n)
 
     return run
 
 
-def _post(tree, buckets: int, depth: int):
-    """Each text's sums over frequent words, and its other words and sequences once each, by bucket."""
+# Scores -------------------------------------------------------------------------------
+
+
+def _post(tree, buckets: int, lengths: list[int], heads: bool):
+    """Each text's sums over frequent words, its other words, and its sequences of some lengths, once each, by bucket."""
 
     def posted(kind: int, hashes: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
         own = _buckets(hashes, buckets)
-        order = np.lexsort((hashes, doc, own))
-        hashes, doc = hashes[order], doc[order]
+        # By bucket, text and the first bits of the hash, in one number; sequences that agree in them may come apart.
+        place = own * len(ids) + doc
+        shift = np.uint64(64 - int(buckets * len(ids)).bit_length())
+        order = np.argsort((place.astype(np.uint64) << shift) | (hashes >> (np.uint64(64) - shift)))
+        hashes, doc, own = hashes[order], doc[order], own[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
         starts = np.flatnonzero(new)
         n = np.diff(np.append(starts, len(hashes))).astype(np.uint32)
-        hashes, doc = hashes[starts], doc[starts]
-        bounds = np.searchsorted(_buckets(hashes, buckets), np.arange(buckets + 1))
+        hashes, doc, own = hashes[starts], doc[starts], own[starts]
+        bounds = np.searchsorted(own, np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(bounds))
         columns = [], [], [], []
         for b in used:
@@ -384,17 +683,17 @@ def _post(tree, buckets: int, depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tree.value
-        bits = np.frombuffer(model.bitmap, np.uint8)
+        table = Frequent(model.keys, model.n)
         for batch in batches:
-            for part in byte_slices(batch, 0):
-                size = part.num_rows
-                ids = part.column(1).to_numpy(zero_copy_only=False)
-                doc, hashes = _sequences(part.column(0).to_pylist(), depth + 1)
+            size = batch.num_rows
+            if not size:
+                continue
+            ids = batch.column(1).to_numpy(zero_copy_only=False)
+            doc, hashes = _sequences(batch.column(0), max(lengths))
+            if heads:
                 real = hashes[0] != START
                 tokens, own = hashes[0][real], doc[real]
-                at = np.searchsorted(model.keys, tokens)
-                at[at == len(model.keys)] = 0
-                direct = model.keys[at] == tokens if len(model.keys) else np.zeros(len(tokens), bool)
+                at, direct = table.find(tokens)
                 count = np.where(direct, model.n[at] if len(model.keys) else 0, 0)
                 context = np.where(direct, model.context[at] if len(model.keys) else 0.0, 0.0)
                 direct |= tokens == END
@@ -406,13 +705,14 @@ def _post(tree, buckets: int, depth: int):
                     [np.stack((sums(np.where(direct, np.log10(count + 0.5), 0.0)), sums(context) + model.start)).tobytes()],
                 )
                 yield posted(WORDS, tokens[~direct], own[~direct], ids)
-                marked = [_marked(bits, h) for h in hashes]
-                for length in range(2, depth + 2):
-                    # Of use if the context or the whole sequence, as a context, is retained.
-                    use = _inside(doc, length)
-                    use &= marked[length - 2][: len(use)] | marked[length - 1][: len(use)]
-                    use = np.flatnonzero(use)
-                    yield posted(SEQUENCES, hashes[length - 1][use], doc[use], ids)
+            for length in lengths:
+                if length == 1:
+                    continue
+                # Of use if the context or the whole sequence, as a context, is retained.
+                use = _inside(doc, length)
+                use &= _marked(model.bitmap, hashes[length - 2][: len(use)]) | _marked(model.bitmap, hashes[length - 1][: len(use)])
+                use = np.flatnonzero(use)
+                yield posted(SEQUENCES, hashes[length - 1][use], doc[use], ids)
 
     return run
 
@@ -434,7 +734,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return np.where(table[at] == keys, values[at], 0.0)
 
     for batch in batches:
-        for own, kind, a, b, c, d in zip(*(column.to_pylist() for column in batch.columns)):
+        for own, kind, a, b, c, d, _ in zip(*(column.to_pylist() for column in batch.columns)):
             if own != bucket:
                 bucket, pieces, tables = own, {}, {}
             if kind in (COUNTS, VALUES):
@@ -464,6 +764,24 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+SUMS = "key long, n_tokens long, n_known long, logc double, context double, copies long"
+
+
+@contextmanager
+def _short_shuffles(spark: SparkSession):
+    """Files of a shuffle go when its query has been written, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def score_documents(
     docs: DataFrame, train: str, text: str = "text", doc_id: str = "doc_id", depth: int = DEPTH
 ) -> DataFrame:
@@ -479,25 +797,35 @@ def score_documents(
     columns are not read; an empty table gives no rows.
     """
     spark = prepare(docs.sparkSession)
-    buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.expr(train), F.lit(False)).alias("trained"),
-        single_spaced(F.translate(F.col(text), UPPER, LOWER)).alias("words"),
-    ).withColumn("key", F.xxhash64("doc_id", "words"))
-    tree, counts, values = fit_suffix_tree(texts.where("trained").select("words"), buckets, depth)
-    shared = spark.sparkContext.broadcast(tree)
-    absent = F.lit(None).cast("binary")
-    looked = (
-        counts.select("bucket", F.lit(COUNTS).alias("kind"), F.col("keys").alias("a"), F.col("n").alias("b"), absent.alias("c"), absent.alias("d"))
-        .union(values.mapInArrow(_pack_values(buckets), PACKED))
-        .union(texts.select("words", "key").mapInArrow(_post(shared, buckets, depth), PACKED))
-        .repartition(buckets, "bucket")
-        .sortWithinPartitions("bucket", "kind")
-        .mapInArrow(_look_up, "key long, n_tokens long, n_known long, logc double, context double, copies long")
-    )
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+    ).withColumn("key", F.xxhash64("doc_id", "text"))
+    with _short_shuffles(spark):
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
+        tables = _Scratch(spark)
+        tree, counts, values = fit_suffix_tree(texts.where("trained").select("text"), buckets, tables, depth)
+        shared = spark.sparkContext.broadcast(tree)
+        absent = [F.lit(None).cast("binary").alias(c) for c in "cde"]
+        counted = counts.select("bucket", F.lit(COUNTS).alias("kind"), F.col("keys").alias("a"), F.col("n").alias("b"), *absent)
+        parts = []
+        # Pairs are most of what is sent, so they go apart from the rest.
+        for lengths in ([1, *range(3, depth + 2)], [2]):
+            heads = 1 in lengths
+            own = [_of_kind(v, *[VALUES_OF + k for k in lengths]).withColumn("kind", F.lit(VALUES)) for v in values]
+            posts = texts.select("text", "key").mapInArrow(_post(shared, buckets, lengths, heads), PACKED)
+            rows = reduce(DataFrame.union, [*own, *([counted] if heads else []), posts])
+            sums = _in_buckets(rows, buckets).mapInArrow(_look_up, SUMS)
+            sums = sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in sums.columns[1:]])
+            parts.append(written(sums, "sums"))
+        _forget([shared])
+        for name in list(tables.paths):
+            tables.drop(name)
     # Equal rows share a key and add up alike; their number is divided out again.
-    sums = looked.groupBy("key").agg(*[F.sum(c).alias(c) for c in looked.columns[1:]])
+    sums = reduce(DataFrame.union, parts)
+    sums = sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in sums.columns[1:]])
     base = F.col("logc") - F.col("n_tokens") * float(np.log10(tree.total))
     scored = sums.select(
         "key",
