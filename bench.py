@@ -20,6 +20,13 @@ from checks import registry  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+# Queries that land or rebuild a whole lake or warehouse of their own first: their time is that of the set-up,
+# which build_all, land_lake, append_new and upsert_replay measure.
+SET_UP = {
+    "landed_states", "empty_snapshots", "latest_nonempty", "regions_landed", "facts_after_prune", "gate_blocks",
+    "evolved_facts", "stream_late", "near_after_upsert", "traffic_after_upsert", "activity_after_upsert",
+    "panel_after_upsert", "aircraft_after_upsert",
+}
 WARM_FOLDER = os.path.join(os.path.dirname(FOLDER.rstrip("/")), "sf0.001")
 
 
@@ -54,7 +61,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    queries = dict(registry.QUERIES)
+    queries = {name: query for name, query in registry.QUERIES.items() if name not in SET_UP}
     if os.path.isdir(WARM_FOLDER):
         build_all(spark, WARM_FOLDER)
         run(registry.entry(spark, WARM_FOLDER))
