@@ -105,6 +105,16 @@ def test_null_states_and_unreadable_payloads_give_no_rows(spark):
     assert landing.decode_states(broken, "france", now()).count() == 0
 
 
+def test_unfolded_vectors_do_not_carry_their_payload(spark):
+    """Else the rows of one snapshot hold it as often as it has vectors: memory by the square of its size."""
+    df = decode(spark, {"time": 1, "states": [changed(icao24=f"{i:06x}") for i in range(300)]})
+    unfolded = [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Generate explode" in line]
+    assert len(unfolded) == 1
+    carried = unfolded[0].split("), [", 1)[1].split("]")[0]
+    assert carried.startswith("snapshot_ts") and "," not in carried
+    assert [tuple(r) for r in df.groupBy("snapshot_ts").count().collect()] == [(1, 300)]
+
+
 def test_audit_counts_empty_snapshots(spark):
     payloads = [
         {"time": 1, "states": [VECTOR, changed(icao24=None)]},
