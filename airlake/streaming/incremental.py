@@ -9,6 +9,7 @@ be repeated, and handles replays and late snapshots.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -87,10 +88,12 @@ def rebuild_partitions(spark: SparkSession, lake_root: str, path: str, touched:
     return hours
 
 
-def refresh_touched(warehouse: Warehouse, lake_root: str, touched: DataFrame, rollups: bool = True) -> None:
+def refresh_touched(
+    warehouse: Warehouse, lake_root: str, touched: DataFrame, rollups: bool = True, only: Iterable[str] | None = None
+) -> None:
     """The same for every table behind the facts: see ``Warehouse.refresh_hours``."""
     hours = sorted(tuple(row) for row in touched.select(*HOUR).distinct().collect())
-    warehouse.refresh_hours(hours, scan_hours(warehouse.spark, lake_root, hours), rollups)
+    warehouse.refresh_hours(hours, scan_hours(warehouse.spark, lake_root, hours), rollups, only)
 
 
 def full_refresh(spark: SparkSession, lake_root: str, path: str) -> None:

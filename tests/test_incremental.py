@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 import pytest
@@ -7,9 +8,11 @@ from pyspark.sql import functions as F
 
 from airlake.plans.positions import GRAIN, positions_from_states
 from airlake.plans.staging import stg_states
-from airlake.plans.warehouse import TABLES, Warehouse, hours_predicate
+from airlake.plans.warehouse import READS, TABLES, Warehouse, behind, hours_predicate
 from airlake.sources import lake
 from airlake.sources.adapter import Bronze, bronze_from_tables
+from airlake.sources.schemas import LAKE_STATES
+from airlake.sources.tables import CommittedTable
 from airlake.streaming import incremental, stream
 from tests.conftest import SMALL
 from tests.test_lake import T, snapshot
@@ -163,6 +166,24 @@ def test_stream_refreshes_the_marts_behind_the_facts(spark, place, rows, tmp_pat
             assert rows(got) == rows(expected), model
 
 
+def test_refresh_can_be_limited_to_what_a_model_reads(spark, tmp_path, monkeypatch):
+    written = []
+    for model, made in TABLES.items():
+        assert {name for name in made.__code__.co_consts if name in TABLES} == set(READS.get(model, ()))
+    for model in TABLES:
+        monkeypatch.setitem(TABLES, model, lambda w: None)
+    monkeypatch.setattr(CommittedTable, "exists", lambda self: True)
+    monkeypatch.setattr(Warehouse, "_replace", lambda self, model, df, hours: written.append(model))
+    monkeypatch.setattr(Warehouse, "build_all", lambda self, models: written.extend(models))
+    w = Warehouse(spark, None, str(tmp_path))
+    hours, states = [(dt.date(2024, 1, 1), 0)], spark.createDataFrame([], LAKE_STATES)
+    w.refresh_hours(hours, states, only=behind("dim_aircraft"))
+    assert written == ["fct_aircraft_positions", "int_aircraft_usage", "dim_aircraft"]
+    written.clear()
+    w.refresh_hours(hours, states)
+    assert set(written) == set(TABLES) - {"dim_airport", "dim_airline"}
+
+
 def test_late_rows_are_recorded(spark, place):
     root, path, checkpoint = place
     late = stream.LateRows(spark, path + "-late", 3600)
