@@ -21,7 +21,9 @@ is settled by ids alone. Passages are windows of ``width`` words that occur in s
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import ahocorasick
 import numpy as np
@@ -212,9 +214,11 @@ def _by_shard(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _locate_shard(frame: pd.DataFrame, width: int) -> pd.DataFrame:
-    lists = frame["words"].str.split(" ")
-    lengths = lists.str.len().to_numpy()
-    codes = pd.factorize(np.concatenate(lists.to_numpy()))[0].tolist()
+    lists = [words.split(" ") for words in frame["words"]]
+    lengths = [len(words) for words in lists]
+    # Words stay Python strings: numpy's own would be padded to the longest and lose zero characters at their end.
+    numbers: dict[str, int] = defaultdict(count().__next__)
+    codes = [numbers[word] for word in chain.from_iterable(lists)]
     ends = np.cumsum(lengths).tolist()
     least, low, high = (frame[c].tolist() for c in ("least_id", "low", "high"))
     held: dict[tuple, list] = {}
@@ -246,7 +250,8 @@ def _locate_shard(frame: pd.DataFrame, width: int) -> pd.DataFrame:
             if hit:
                 digests.append(_digest(text))
                 owners.append([None if o == -1 else o for o in found])
-    return pd.DataFrame({"digest": digests, "owners": owners})
+    # As objects also when nothing was found, where pandas would take them for numbers.
+    return pd.DataFrame({"digest": digests, "owners": owners}, dtype=object)
 
 
 def _cut(width: int):

@@ -75,6 +75,13 @@ def test_substring_removal(tables, rows):
         assert rows(substring.drop_repeats(frame).drop("kept_text")) == removed(pairs)
 
 
+def test_words_that_differ_by_zero_characters_are_no_repeats(spark, rows):
+    words = [f"q{i}" for i in range(20)]
+    pairs = [(1, " ".join(words)), (2, " ".join([*words[:9], words[9] + "\0", *words[10:]]) + "  end"), (3, "\t")]
+    frame = spark.createDataFrame(pairs, "doc_id long, text string")
+    assert rows(substring.drop_repeats(frame).drop("kept_text")) == removed(pairs)
+
+
 def linked(pairs, width, threshold=80):
     lower = str.maketrans(minhash.UPPER, minhash.LOWER)
     sets = []
