@@ -14,11 +14,16 @@ log(1 + n / (PRIOR * parent)). These are sums over the word sequences of a text,
 looked up by its hash alone.
 
 Sequences travel as packed arrays in hash buckets, whose number follows the size of the texts. A level's counts go
-to the bucket of their suffix (all but the first word), where the parent's probabilities are, and from there to
-the bucket of their context, where it is tested. Sequences that make up more than ``FREQUENT_SHARE`` of the tokens (so at
-most 1 / ``FREQUENT_SHARE`` per length) are broadcast, and what hangs on them is dealt by the whole sequence: no
+to the bucket of their suffix (all but the first word), where the parent's probabilities are, and stay there. Since a word
+seen once adds the same to every ratio, only what words seen twice and more add goes on to the bucket of the context, where it
+is tested. The ``TOP`` most frequent retained contexts are broadcast, and values are worked out from the counts in place; what
+follows the others is dealt by context once more. Sequences that make up more than ``FREQUENT_SHARE`` of the tokens (so at
+most 1 / ``FREQUENT_SHARE`` per length) are broadcast too, and what hangs on them is dealt by the whole sequence: no
 bucket gathers a frequent word. Bitmaps of at most 2 ** ``BITS`` bits keep back sequences without a candidate or retained
 context; a full one only sends more. Words and sequences are identified by 64 bits.
+
+A text is scored by the broadcast values of up to ``TOP`` frequent sequences per length; the others meet their values in
+buckets, in three passes over the texts, so that the disk holds a part of them at a time.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airlake.llm.common import prepare, scratch, written
-from airlake.llm.wordspace import PLACES, byte_table, mix
+from airlake.llm.wordspace import mix
 
 FREQUENT_SHARE = 1e-4
 # Most words of a context, and least tokens after it.
@@ -48,18 +53,20 @@ BITS = 27
 BITS_EACH = 8
 END = np.uint64(0xE0F)
 START = np.uint64(0x50F)
+# Most sequences of a length whose values are broadcast.
+TOP = 1 << 18
 # Bytes of text per bucket, and least buckets.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 64
 # Distinct words, and sequences, that a task holds before it sends their counts on.
-HELD_WORDS = 2_000_000
-HELD_GRAMS = 1_500_000
+HELD_WORDS = 1_000_000
+HELD_GRAMS = 750_000
 
 # Rows of a bucket come in this order of kinds, with up to five packed arrays each.
 COUNTS, VALUES, WORDS, SEQUENCES, HEADS = range(5)
-PARENTS, GRAMS, WEIGHED, OFTEN, PARTIAL, STATES = range(10, 16)
-# Values by the length of their sequence, and counts by the length of their context.
-VALUES_OF, GRAMS_OF = 100, 200
+PARENTS, GRAMS, WEIGHED, OFTEN, PARTIAL, STATES, SETTLED = range(10, 17)
+# Counts by the length of their context.
+GRAMS_OF = 200
 PACKED = "bucket long, kind int, a binary, b binary, c binary, d binary, e binary"
 COLUMNS = "abcde"
 
@@ -130,12 +137,15 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# The first 0 to 8 bytes of eight, and fixed random numbers.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_ROOT, _ODD = np.uint64(0x9AE16A3B2F90404F), np.uint64(0x9E3779B97F4A7C15)
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word, straight from the bytes: A-Z lower-cased, split at ASCII white space.
 
-    A word's hash is the sum of a random number per place and byte, as in ``wordspace``.
+    A word's hash is the sum of a mixed number per place and 8 bytes, so regular words do not collide by construction.
     """
     if not len(texts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -154,37 +164,50 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     if not len(starts):
         return np.zeros(0, np.uint64), starts
-    sizes = np.diff(np.append(starts, len(raw)))
-    raw = _LOWER[raw[starts[0] :]]
-    index = np.arange(len(raw), dtype=np.int32)
-    index -= np.repeat((starts - starts[0]).astype(np.int32), sizes)
-    far = np.flatnonzero(index >= PLACES) if sizes.max() >= PLACES else index[:0]
-    late = mix((index[far].astype(np.uint64) << np.uint64(8)) | raw[far])
-    index[far] = 0
-    index <<= 8
-    index |= raw
-    values = byte_table()[index]
-    values[far] = late
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(values, out=sums[1:])
-    hashes = mix(sums[ends - starts[0]] - sums[starts - starts[0]])
+    sizes = ends - starts
+    lowered = np.append(_LOWER[raw], np.zeros(8, np.uint8))
+    eights = np.ndarray(len(raw) + 1, "<u8", lowered, strides=(1,))  # the 8 bytes from each one on
+    sums = mix((eights[starts] & _FIRST[np.minimum(sizes, 8)]) ^ _ROOT) + sizes.astype(np.uint64) * _ODD
+    long = np.flatnonzero(sizes > 8)
+    if len(long):
+        more = (sizes[long] - 1) >> 3
+        first = np.cumsum(more) - more
+        place = np.arange(more.sum()) - np.repeat(first, more) + 1
+        own = np.repeat(long, more)
+        part = eights[starts[own] + 8 * place] & _FIRST[np.minimum(sizes[own] - 8 * place, 8)]
+        sums[long] += np.add.reduceat(mix(part ^ mix(place.astype(np.uint64) * _ODD)), first)
+    hashes = mix(sums)
     return hashes, np.searchsorted(bounds, starts, side="right") - 1
 
 
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p)
+    for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
+
+
+def _rotated(x: np.ndarray, k: int) -> np.ndarray:
+    high = x << np.uint64(k)
+    x >>= np.uint64(64 - k)
+    x |= high
+    return x
+
+
 def _joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Hash of a sequence from those of all but its last and all but its first word: Spark's xxhash64."""
-    p1, p2, p3, p4, p5 = (
-        np.uint64(p)
-        for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-    )
-    rotated = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
     h = np.full(len(prefix), 42, np.uint64)
     for part in (prefix, suffix):
-        h = (h + p5 + np.uint64(8)) ^ (rotated(part * p2, 31) * p1)
-        h = rotated(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h ^= h >> np.uint64(32)
+        mixed = _rotated(part * _P2, 31)
+        mixed *= _P1
+        h += _P5 + np.uint64(8)
+        h ^= mixed
+        h = _rotated(h, 27)
+        h *= _P1
+        h += _P4
+        for shift, factor in ((33, _P2), (29, _P3), (32, None)):
+            h ^= h >> np.uint64(shift)
+            if factor is not None:
+                h *= factor
     return h
 
 
@@ -280,9 +303,15 @@ def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bit for each hash in column ``seq``; its size follows their number."""
-    size = min(BITS, max(16, int(hashes.count() * BITS_EACH).bit_length()))
+def _bitmap(packed: DataFrame, least: int = 0) -> np.ndarray:
+    """A bit for each hash packed in the first column, or those whose count in the second reaches a number."""
+    if least:
+        hashes = packed.mapInArrow(_at_least(least), "seq long, n long").select("seq")
+        number = hashes.count()
+    else:
+        hashes = packed.mapInArrow(_keys, "seq long")
+        number = (packed.agg(F.sum(F.octet_length(packed.columns[0]))).first()[0] or 0) // 8
+    size = min(BITS, max(16, int(number * BITS_EACH).bit_length()))
     bit = F.shiftrightunsigned("seq", 64 - size) + 1
     slices = hashes.groupBy(F.bitmap_bucket_number(bit).alias("slice")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
@@ -294,26 +323,36 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return np.frombuffer(bytes(bitmap), np.uint8)
 
 
-@dataclass
-class Frequent:
-    """Frequent sequences of one length, sorted: their parent's probability as a suffix (see ``scale``), and
-    as contexts how many tokens follow and whether they are retained."""
+class Table:
+    """Distinct keys in order, with parallel arrays. Keys are hashes, so their first bits tell about where they are."""
 
-    keys: np.ndarray
-    parent: np.ndarray
-    total: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    retained: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    def __init__(self, keys: np.ndarray, *columns: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.columns = keys[order], [c[order] for c in columns]
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        heads = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.first = np.append(np.searchsorted(self.keys, heads), len(keys)).astype(np.int32)
+        self.steps = int(np.diff(self.first).max())
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places, and which keys are there at all."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        last = len(self.keys) - 1
+        at = np.minimum(self.first[keys >> self.shift], last)
+        for _ in range(self.steps):
+            at += (self.keys[at] < keys) & (at < last)
         return at, self.keys[at] == keys
 
+    def value(self, keys: np.ndarray, column: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """A column's value for each key, 0 for those that are not there, and which are."""
+        at, found = self.find(keys)
+        return (np.where(found, self.columns[column][at], 0) if len(self.keys) else np.zeros(len(keys))), found
+
 
-def _count_grams(sizes: list[int], candidates, frequent: dict[int, np.ndarray], buckets: int):
-    """Counts of the tokens after contexts of some lengths, dealt by suffix.
+def _count_grams(sizes: list[int], candidates, frequent, buckets: int):
+    """Counts of the tokens after contexts of some lengths, dealt by suffix; frequent suffixes of the least length are known.
 
     A single word is a context if it is in the bitmap; a longer sequence if each two neighbours in it are.
     """
@@ -321,9 +360,8 @@ def _count_grams(sizes: list[int], candidates, frequent: dict[int, np.ndarray],
     def flush(size: int, pieces: list[tuple]) -> pa.RecordBatch:
         context, suffix = (np.concatenate(p) for p in zip(*pieces))
         context, suffix, key, n = _distinct(context, suffix, np.ones(len(context), np.int64))
-        _, hot = Frequent(frequent[size], frequent[size]).find(suffix)
-        own = _buckets(np.where(hot, key, suffix), buckets)
-        return _dealt_runs(buckets, GRAMS_OF + size, own, suffix, context, n)
+        own = _buckets(np.where(frequent.value.find(suffix)[1], key, suffix) if size == min(sizes) else suffix, buckets)
+        return _dealt_runs(buckets, GRAMS_OF + size, own, suffix, context, n.astype(np.uint32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, held, count = candidates.value, {size: [] for size in sizes}, dict.fromkeys(sizes, 0)
@@ -380,18 +418,9 @@ def _differs(total: np.ndarray, evidence: np.ndarray) -> np.ndarray:
     return evidence + _log_gamma(prior) - _log_gamma(total + PRIOR) > -np.log(ERROR)
 
 
-def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order by key, where groups begin in it, and the group of each place."""
-    order = np.argsort(keys, kind="stable")
-    sorted_keys = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
-    return order, np.flatnonzero(new), np.cumsum(new) - 1
-
-
 def _weigh(size: int, frequent, buckets: int, scale: float):
-    """Whole counts with their parent's probability, dealt by context; frequent ones among the new sequences; and
-    the frequent contexts' sums over this bucket."""
+    """Whole counts with their parent's probability, by suffix; those of at least ``LEAST`` among the new sequences; and per
+    context what words seen twice and more add to its ratio beyond what as many words seen once would."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = frequent.value
@@ -399,80 +428,222 @@ def _weigh(size: int, frequent, buckets: int, scale: float):
             pieces = rows.get(GRAMS_OF + size)
             if not pieces:
                 continue
-            parents, known = _column(rows.get(PARENTS, []), 0, np.uint64), _column(rows.get(PARENTS, []), 1, np.float64)
-            order = np.argsort(parents)
-            table = Frequent(parents[order], known[order])
+            table = Table(_column(rows.get(PARENTS, []), 0, np.uint64), _column(rows.get(PARENTS, []), 1, np.float64))
             suffix = np.repeat(_column(pieces, 0, np.uint64), _column(pieces, 1, np.uint32))
-            context, suffix, key, n = _distinct(_column(pieces, 2, np.uint64), suffix, _column(pieces, 3, np.int64))
-            at, found = table.find(suffix)
-            value = np.where(found, table.parent[at] if len(parents) else 0.0, 0.0)
-            at, is_hot = hot.find(suffix)
-            value = np.where(is_hot, hot.parent[at] if len(hot.keys) else 0.0, value)
-            use = found | is_hot  # else its context is none, and only a bit of the bitmap was set
-            context, suffix, key, n, value = context[use], suffix[use], key[use], n[use], value[use]
-            _, hot_context = hot.find(context)
-            own = _buckets(np.where(hot_context, key, context), buckets)
-            yield _dealt_runs(buckets, WEIGHED, own, context, suffix, n, value)
+            n = _column(pieces, 3, np.uint32).astype(np.int64)
+            context, suffix, key, n = _distinct(_column(pieces, 2, np.uint64), suffix, n)
+            order = np.argsort(suffix, kind="stable")
+            context, suffix, key, n = context[order], suffix[order], key[order], n[order]
+            starts = np.flatnonzero(np.append(True, suffix[1:] != suffix[:-1]))
+            heads, runs = suffix[starts], np.diff(np.append(starts, len(suffix)))
+            p, found = table.value(heads)
+            hot_p, is_hot = hot.value(heads)
+            p, use = np.where(is_hot, hot_p, p), found | is_hot
+            if not use.all():  # their context is none, and only a bit of the bitmap was set
+                within = np.repeat(use, runs)
+                context, key, n = context[within], key[within], n[within]
+                heads, runs, p = heads[use], runs[use], p[use]
+            if not len(n):
+                continue
+            contexts, which = np.unique(context, return_inverse=True)
+            yield _pack(
+                [bucket], WEIGHED, [heads.tobytes()], [runs.astype(np.uint32).tobytes()], [p.tobytes()],
+                [contexts.tobytes()], [np.stack((which, n)).astype(np.uint32).tobytes()],
+            )
             often = n >= LEAST
-            yield _pack([bucket], OFTEN, [key[often].tobytes()], [n[often].tobytes()])
-            if hot_context.any():
-                own, m, p = context[hot_context], n[hot_context], value[hot_context] * scale
-                order, starts, _ = _groups(own)
-                yield _pack(
-                    [bucket], PARTIAL, [own[order][starts].tobytes()],
-                    [np.add.reduceat(m[order], starts).tobytes()],
-                    [np.add.reduceat(_evidence(m, p)[order], starts).tobytes()],
-                )
+            yield _dealt(buckets, OFTEN, _buckets(key[often], buckets), key[often], n[often])
+            twice = n > 1
+            more = _evidence(n[twice], np.repeat(p, runs)[twice] * scale) - n[twice] * np.log(PRIOR)
+            some = np.flatnonzero(np.bincount(which[twice], minlength=len(contexts)))
+            more = np.bincount(which[twice], more, len(contexts))
+            yield _dealt(buckets, PARTIAL, _buckets(contexts[some], buckets), contexts[some], more[some])
+
+    return run
+
+
+def _test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The retained contexts of each bucket with the tokens after them.
+
+    Contexts without a word seen twice are not among them: their ratio is at most 1.
+    """
+    for bucket, rows in _by_bucket(batches):
+        if PARTIAL not in rows:
+            continue
+        contexts, which = np.unique(_column(rows[PARTIAL], 0, np.uint64), return_inverse=True)
+        more = np.bincount(which, _column(rows[PARTIAL], 1, np.float64), len(contexts))
+        known = rows.get(OFTEN, [])
+        total, _ = Table(_column(known, 0, np.uint64), _column(known, 1, np.int64)).value(contexts)
+        retained = (total >= LEAST) & _differs(total, total * np.log(PRIOR) + more)
+        yield _pack([bucket], STATES, [contexts[retained].tobytes()], [total[retained].astype(np.int64).tobytes()])
+
+
+@dataclass
+class Counted:
+    """The counts of a bucket's sequences: per sequence its key, context, count and parent's probability; the
+    tokens after its context if that is retained, else 0."""
+
+    key: np.ndarray
+    context: np.ndarray
+    suffix: np.ndarray
+    n: np.ndarray
+    p: np.ndarray
+    total: np.ndarray
+
+    @property
+    def gain(self) -> np.ndarray:
+        return np.log10(1 + self.n / (PRIOR * self.p))
+
+
+@dataclass
+class Known:
+    """What of a level the executors need: the ``TOP`` most frequent retained contexts with the tokens after them, a bitmap
+    of all if they are more, and the weight of a parent in the counts."""
+
+    top: Table
+    bitmap: np.ndarray | None
+    scale: float
+
+
+@dataclass
+class Level:
+    """Contexts of one length: packed counts of what follows them, and packed retained contexts."""
+
+    size: int
+    weighed: DataFrame
+    retained: DataFrame
+    known: Known
+
+
+def _counted(level: Known, batch: pa.RecordBatch, retained: bool = False, rest: bool = False) -> Iterator[Counted]:
+    """The counts in each packed row; ``retained``: after retained contexts only.
+
+    What follows contexts that may be retained but are not broadcast comes from settled rows instead; ``rest``: just that.
+    """
+    for _, kind, heads, runs, p, contexts, both in zip(*(c.to_pylist() for c in batch.columns)):
+        contexts, (which, n) = np.frombuffer(contexts, np.uint64), np.frombuffer(both, np.uint32).reshape(2, -1)
+        if kind == SETTLED:
+            contexts, total = contexts.reshape(2, -1)
+            total = total.astype(np.int64)
+            use = total > 0 if retained else np.ones(len(total), bool)
+        else:
+            total, found = level.top.value(contexts)
+            other = np.zeros(len(contexts), bool)
+            if level.bitmap is not None:
+                other = ~found & _marked(level.bitmap, contexts)
+            use = other if rest else found if retained else ~other
+        at = np.flatnonzero(use[which])
+        which, n = which[at], n[at].astype(np.int64)
+        own = np.repeat(np.arange(len(heads) // 8), np.frombuffer(runs, np.uint32))[at]
+        suffix, context = np.frombuffer(heads, np.uint64)[own], contexts[which]
+        p = np.frombuffer(p, np.float64)[own] * level.scale
+        yield Counted(_joined(context, suffix), context, suffix, n, p, total[which])
+
+
+def _followed(known, needed, buckets: int):
+    """The smoothed probabilities that the next level needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level, bits = known.value, needed.value
+        for batch in batches:
+            for own in _counted(level, batch):
+                use = np.flatnonzero(_marked(bits, own.key))
+                key, n, p, total = own.key[use], own.n[use], own.p[use], own.total[use]
+                smoothed = np.where(total > 0, (n + PRIOR * p) / (total + PRIOR), p)
+                yield _dealt(buckets, PARENTS, _buckets(key, buckets), key, smoothed)
 
     return run
 
 
-def _test(size: int, frequent, needed, buckets: int, scale: float):
-    """Values of the retained contexts and of what follows them, the probabilities that the next level needs, and
-    the retained contexts."""
+def _chosen(known, wanted):
+    """(seq, gain, parent) of the wanted sequences: what they gain, and their smoothed probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = frequent.value
-        for _, rows in _by_bucket(batches):
-            pieces = rows[WEIGHED]
+        level, keys = known.value, wanted.value
+        for batch in batches:
+            for own in _counted(level, batch):
+                use = np.flatnonzero((own.n >= LEAST) & keys.find(own.key)[1])
+                n, p, total = own.n[use], own.p[use], own.total[use]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(own.key[use].view(np.int64)),
+                        pa.array(np.where(total > 0, own.gain[use], 0.0)),
+                        pa.array(np.where(total > 0, (n + PRIOR * p) / (total + PRIOR), p)),
+                    ],
+                    ["seq", "gain", "parent"],
+                )
+
+    return run
+
+
+def _gained(known, apart, buckets: int, half: int | None):
+    """Values of what follows retained contexts, but for sequences whose values are broadcast; of all keys or one half."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level, table = known.value, apart.value
+        for batch in batches:
+            for own in _counted(level, batch, retained=True):
+                use = np.arange(len(own.key)) if half is None else np.flatnonzero(_in_half(own.key, half))
+                use = use[~table.find(own.key[use])[1]]
+                yield _dealt(buckets, VALUES, _buckets(own.key[use], buckets), own.key[use], own.gain[use])
+
+    return run
+
+
+def _stated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Values of retained contexts."""
+    for batch in batches:
+        bucket, keys, total = (c.to_pylist() for c in batch.columns)
+        values = [np.log10(PRIOR / (np.frombuffer(x, np.int64) + PRIOR)).tobytes() for x in total]
+        yield _pack(bucket, VALUES, keys, values)
+
+
+def _in_half(keys: np.ndarray, half: int) -> np.ndarray:
+    return keys & np.uint64(1) == np.uint64(half)
+
+
+def _others(known, buckets: int):
+    """Counts after contexts that may be retained but are not broadcast, dealt by context."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = known.value
+        for batch in batches:
+            for own in _counted(level, batch, rest=True):
+                yield _dealt_runs(buckets, WEIGHED, _buckets(own.context, buckets), own.context, own.suffix, own.n, own.p)
+
+    return run
+
+
+def _settle():
+    """The same as packed counts that carry the tokens after each context, 0 if it is not retained."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            if not (pieces := rows.get(WEIGHED)):
+                continue
+            states = rows.get(STATES, [])
+            table = Table(_column(states, 0, np.uint64), _column(states, 1, np.int64))
             context = np.repeat(_column(pieces, 0, np.uint64), _column(pieces, 1, np.uint32))
-            order, starts, group = _groups(context)
-            suffix, n, value = _column(pieces, 2, np.uint64), _column(pieces, 3, np.int64), _column(pieces, 4, np.float64)
-            context, suffix, n, p = context[order], suffix[order], n[order], value[order] * scale
-            contexts = context[starts]
-            total = np.add.reduceat(n, starts)
-            retained = _differs(total, np.add.reduceat(_evidence(n, p), starts)) & (total >= LEAST)
-            at, is_hot = hot.find(contexts)
-            if is_hot.any():  # whose words are in many buckets
-                total = np.where(is_hot, hot.total[at], total)
-                retained = np.where(is_hot, hot.retained[at], retained)
-            own = retained & ~is_hot
-            states = np.log10(PRIOR / (total[own] + PRIOR))
-            yield _dealt(buckets, VALUES_OF + size, _buckets(contexts[own], buckets), contexts[own], states)
-            yield _pack([0], STATES, [contexts[retained].tobytes()])
-            kept, following = retained[group], (total >= LEAST)[group]
-            key, likely = _joined(context, suffix), PRIOR * p
-            gains = np.log10(1 + n[kept] / likely[kept])
-            yield _dealt(buckets, VALUES_OF + size + 1, _buckets(key[kept], buckets), key[kept], gains)
-            if needed is not None:
-                smoothed = np.where(kept, (n + likely) / (total[group] + PRIOR), p)
-                use = following & _marked(needed.value, key)
-                yield _dealt(buckets, PARENTS, _buckets(key[use], buckets), key[use], smoothed[use])
+            contexts, which = np.unique(context, return_inverse=True)
+            total = table.value(contexts)[0].astype(np.uint64)
+            suffix, n, p = _column(pieces, 2, np.uint64), _column(pieces, 3, np.int64), _column(pieces, 4, np.float64)
+            yield _pack(
+                [bucket], SETTLED, [suffix.tobytes()], [np.ones(len(n), np.uint32).tobytes()], [p.tobytes()],
+                [np.stack((contexts, total)).tobytes()], [np.stack((which, n)).astype(np.uint32).tobytes()],
+            )
 
     return run
 
 
 @dataclass
 class SuffixTree:
-    """Totals, and what is broadcast: frequent words with their counts and values as contexts, the
-    value of the start, and a bitmap of the retained contexts."""
+    """Totals, and what is broadcast: frequent words with their counts and values as contexts, the value of the
+    start, values of frequent sequences by length, and a bitmap of the retained contexts."""
 
     tokens: int
     words: int
-    keys: np.ndarray
-    n: np.ndarray
-    context: np.ndarray
+    frequent: Table
     start: float
+    values: dict[int, Table]
     bitmap: np.ndarray
 
     @property
@@ -521,37 +692,80 @@ def _parents(counts: DataFrame) -> DataFrame:
     return counts.select("bucket", "keys", "n").mapInArrow(run, PACKED)
 
 
-def _chosen(keys: np.ndarray):
-    """(seq, parent) of the packed parents that are among ``keys``."""
+def _top(packed: DataFrame, least: float = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the most frequent packed sequences of at least a count, at most ``TOP``; ties are all in or out."""
+    rows = packed.mapInArrow(_at_least(least), "seq long, n long")
+    steps = rows.groupBy(F.floor(8 * F.log2("n")).alias("step")).count().orderBy(F.desc("step")).collect()
+    number, bound = 0, None
+    for row in steps:  # 8 for each doubling
+        number += row["count"]
+        if number > TOP:
+            break
+        bound = row["step"]
+    if bound is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found = rows.where(F.floor(8 * F.log2("n")) >= bound).toPandas()
+    return found["seq"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+
+
+def _tested(size: int, weighed: DataFrame, known: DataFrame, buckets: int, scale: float, tables: _Scratch) -> Level:
+    """A level out of its counts and of packed totals of its contexts."""
+    retained = tables.keep(
+        _in_buckets(_of_kind(weighed, PARTIAL).union(known), buckets).mapInArrow(_test, PACKED), f"retained{size}"
+    )
+    number = retained.agg(F.sum(F.octet_length("a"))).first()[0] or 0
+    known = Known(Table(*_top(retained.select("a", "b"))), None, scale)
+    weighed = _of_kind(weighed, WEIGHED)
+    if number // 8 > len(known.top.keys):
+        known.bitmap = _bitmap(retained.select("a"))
+        shared = weighed.sparkSession.sparkContext.broadcast(Known(known.top, known.bitmap, 1.0))
+        others = weighed.mapInArrow(_others(shared, buckets), PACKED)
+        settled = tables.keep(_in_buckets(others.union(retained), buckets).mapInArrow(_settle(), PACKED), f"settled{size}")
+        weighed = weighed.union(settled)
+        _forget([shared])
+    return Level(size, weighed, retained, known)
+
+
+def _of_key(key: np.uint64):
+    """The count of one key among packed keys and counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = keys.value
         for batch in batches:
-            for own, p in zip(*(c.to_pylist() for c in batch.columns)):
-                own, p = np.frombuffer(own, np.uint64), np.frombuffer(p, np.float64)
-                use = Frequent(wanted, wanted).find(own)[1]
-                yield pa.RecordBatch.from_arrays([pa.array(own[use].view(np.int64)), pa.array(p[use])], ["seq", "parent"])
+            for keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+                own = np.frombuffer(n, np.int64)[np.frombuffer(keys, np.uint64) == key]
+                yield pa.RecordBatch.from_arrays([pa.array(own)], ["n"])
 
     return run
 
 
-def _tested(frequent: Frequent, weighed: DataFrame) -> Frequent:
-    """The frequent contexts with their sums over all buckets; at most 1 / FREQUENT_SHARE of them."""
-    total, evidence = np.zeros(len(frequent.keys), np.int64), np.zeros(len(frequent.keys))
-    for row in _of_kind(weighed, PARTIAL).select("a", "b", "c").toLocalIterator():
-        at = np.searchsorted(frequent.keys, np.frombuffer(row["a"], np.uint64))
-        total[at] += np.frombuffer(row["b"], np.int64)
-        evidence[at] += np.frombuffer(row["c"], np.float64)
-    retained = _differs(total, evidence) & (total >= LEAST)
-    return Frequent(frequent.keys, frequent.parent, total, retained)
+def _among(wanted):
+    """(seq, n) of the packed keys and counts that are wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, n in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, n = np.frombuffer(keys, np.uint64), np.frombuffer(n, np.int64)
+                use = wanted.value.find(keys)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(n[use])], ["seq", "n"])
+
+    return run
+
+
+def _state_values(retained: DataFrame, wanted: Table) -> np.ndarray:
+    """The values as contexts of at most some ``TOP`` sequences, in the order of the table; 0 if not retained."""
+    shared = retained.sparkSession.sparkContext.broadcast(wanted)
+    found = retained.select("a", "b").mapInArrow(_among(shared), "seq long, n long").toPandas()
+    _forget([shared])
+    keys, total = found["seq"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    return Table(keys, np.log10(PRIOR / (total + PRIOR))).value(wanted.keys)[0]
 
 
 def fit_suffix_tree(
     texts: DataFrame, buckets: int, tables: _Scratch, depth: int = DEPTH
-) -> tuple[SuffixTree, DataFrame, list[DataFrame]]:
-    """The tree of the texts in column ``text``, the written word counts, and packed values per level.
+) -> tuple[SuffixTree, DataFrame, list[Level]]:
+    """The tree of the texts in column ``text``, the written word counts, and the levels.
 
-    What reaches the driver is frequent sequences, sums of them, and bitmaps.
+    What reaches the driver is frequent sequences and bitmaps.
     """
     spark = texts.sparkSession
     share = spark.sparkContext.broadcast
@@ -565,87 +779,80 @@ def fit_suffix_tree(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))
     ).first()
     least = max(FREQUENT_SHARE * tokens, 1)
-    found = counts.select("keys", "n").mapInArrow(_at_least(least), "seq long, n long").toPandas()
-    keys, n = found["seq"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
-    order = np.argsort(keys)
-    tree = SuffixTree(tokens, distinct, keys[order], n[order], np.zeros(len(keys)), 0.0, np.zeros(0, np.uint8))
-    both = np.append(tree.keys, START)
-    order = np.argsort(both)
-    frequent = Frequent(both[order], np.append(tree.n + 0.5, 0.5)[order])
-    start = spark.range(1).select(F.lit(int(START)).cast("long").alias("seq"))
-    words = counts.select("keys", "n").mapInArrow(_at_least(LEAST), "seq long, n long").select("seq")
-    candidates = share(_bitmap(words.union(start)))
-    parents, scale, values, states, needed = _parents(counts), 1 / tree.total, [], [], {}
-    grams = texts.mapInArrow(_count_grams([1], candidates, {1: frequent.keys}, buckets), PACKED)
-    longer, used = None, [candidates]
+    top_keys, top_n = _top(counts.select("keys", "n"))
+    hot = counts.select("keys", "n").mapInArrow(_at_least(least), "seq long, n long").toPandas()
+    keys, n = hot["seq"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64)
+    # A text has one start and one end.
+    trained = counts.select("keys", "n").mapInArrow(_of_key(END), "n long").agg(F.sum("n")).first()[0] or 0
+    frequent = Table(keys, n + 0.5)
+    first = np.array([START])
+    start = spark.createDataFrame(
+        _dealt(buckets, OFTEN, _buckets(first, buckets), first, np.array([trained])).to_pandas().to_numpy(object).tolist(), PACKED
+    )
+    absent = [F.lit(None).cast("binary").alias(c) for c in "cde"]
+    known = counts.select("bucket", F.lit(OFTEN).alias("kind"), F.col("keys").alias("a"), F.col("n").alias("b"), *absent)
+    known = known.union(start)
+    candidates = share(_bitmap(known.select("a", "b"), LEAST))
+    tree = SuffixTree(tokens, distinct, Table(top_keys, top_n), 0.0, {}, np.zeros(0, np.uint8))
+    parents, scale, levels, longer = _parents(counts), 1 / tree.total, [], None
+    hot = share(frequent)
+    grams = texts.mapInArrow(_count_grams([1], candidates, hot, buckets), PACKED)
+    used = [candidates]
     for size in range(1, depth + 1):
-        hot = share(frequent)
-        used.append(hot)
         weighed = tables.keep(
             _in_buckets(parents.union(grams), buckets).mapInArrow(_weigh(size, hot, buckets, scale), PACKED), f"weighed{size}"
         )
-        _forget(used)
-        often = _of_kind(weighed, OFTEN).select("a", "b")
-        if size == 1 and depth > 1:
-            # All longer contexts in one pass over the texts: they need nothing but the frequent pairs.
-            candidates = share(_bitmap(often.select("a").mapInArrow(_keys, "seq long")))
-            sizes = list(range(2, depth + 1))
-            longer = tables.keep(
-                texts.mapInArrow(_count_grams(sizes, candidates, dict.fromkeys(sizes, np.zeros(0, np.uint64)), buckets), PACKED), "longer"
-            )
-            _forget([candidates])
-            for k in sizes:
-                needed[k] = share(_bitmap(_of_kind(longer, GRAMS_OF + k).select("a").mapInArrow(_keys, "seq long")))
-        frequent = _tested(frequent, weighed)
-        hot = share(frequent)
-        tested = tables.keep(
-            _in_buckets(_of_kind(weighed, WEIGHED), buckets).mapInArrow(
-                _test(size, hot, needed.get(size + 1), buckets, scale), PACKED
-            ),
-            f"tested{size}",
-        )
-        _forget([hot, *([needed[size + 1]] if size < depth else [])])
-        kept = frequent.keys[frequent.retained]
-        gains = np.log10(PRIOR / (frequent.total[frequent.retained] + PRIOR))
-        if size == 1:
-            at, use = Frequent(kept, gains).find(tree.keys)
-            tree.context = np.where(use, gains[at] if len(kept) else 0.0, 0.0)
-            tree.start = float(gains[kept == START].sum())
-        elif len(kept):
-            batch = _dealt(buckets, VALUES_OF + size, _buckets(kept, buckets), kept, gains)
-            values.append(spark.createDataFrame(batch.to_pandas().to_numpy(object).tolist(), PACKED))
-        if len(kept):
-            states.append(spark.createDataFrame([(int(k),) for k in kept.view(np.int64)], "seq long"))
-        values.append(tested)
-        states.append(_of_kind(tested, STATES).select("a").mapInArrow(_keys, "seq long"))
+        _forget([*used, hot])
+        level = _tested(size, weighed, known, buckets, scale, tables)
+        levels.append(level)
+        known = _of_kind(weighed, OFTEN)
+        often = known.select("a", "b")
+        shared = share(level.known)
+        # Frequent sequences: their values, and those whose suffixes' counts are dealt apart, with their probability.
+        wanted = _top(often, LEAST)
+        apart = often.mapInArrow(_at_least(max(least, LEAST)), "seq long, n long").toPandas()["seq"].to_numpy(np.int64).view(np.uint64)
+        wanted = share(Table(np.union1d(wanted[0], apart)))
+        found = level.weighed.mapInArrow(_chosen(shared, wanted), "seq long, gain double, parent double").toPandas()
+        keys = found["seq"].to_numpy(np.int64).view(np.uint64)
+        _forget([wanted])
+        tree.values[size + 1] = Table(keys, found["gain"].to_numpy(np.float64))
+        used = [shared]
         if size < depth:
-            hot_keys = often.mapInArrow(_at_least(least), "seq long, n long").toPandas()["seq"].to_numpy(np.int64)
-            hot_keys = share(np.sort(hot_keys.view(np.uint64)))
-            parents = _of_kind(tested, PARENTS)
-            found = parents.select("a", "b").mapInArrow(_chosen(hot_keys), "seq long, parent double").toPandas()
-            keys = found["seq"].to_numpy(np.int64).view(np.uint64)
-            order = np.argsort(keys)
-            frequent, scale = Frequent(keys[order], found["parent"].to_numpy(np.float64)[order]), 1.0
-            _forget([hot_keys])
-            hot = share(frequent.keys)
-            used = [hot]
-            grams = _of_kind(longer, GRAMS_OF + size + 1).mapInArrow(_redealt(size + 1, hot, buckets), PACKED)
-        tables.drop(f"weighed{size}")
+            among = np.isin(keys, apart)
+            hot = share(Table(keys[among], found["parent"].to_numpy(np.float64)[among]))
+            if longer is None:
+                # All longer contexts in one pass over the texts: they need nothing but the frequent pairs.
+                candidates = share(_bitmap(often.select("a")))
+                sizes = list(range(2, depth + 1))
+                longer = tables.keep(texts.mapInArrow(_count_grams(sizes, candidates, hot, buckets), PACKED), "longer")
+                _forget([candidates])
+            grams = _of_kind(longer, GRAMS_OF + size + 1)
+            needed = share(_bitmap(grams.select("a")))
+            if size > 1:
+                grams = grams.mapInArrow(_redealt(size + 1, hot, buckets), PACKED)
+            parents = level.weighed.mapInArrow(_followed(shared, needed, buckets), PACKED)
+            used.append(needed)
+            scale = 1.0
+    _forget(used)
     if longer is not None:
         tables.drop("longer")
-    tree.bitmap = _bitmap(reduce(DataFrame.union, states))
-    return tree, counts, values
+    tree.frequent.columns.append(_state_values(levels[0].retained, tree.frequent))
+    tree.start = float(_state_values(levels[0].retained, Table(first))[0])
+    for level in levels[1:]:
+        tree.values[level.size].columns[0] += _state_values(level.retained, tree.values[level.size])
+    tree.bitmap = _bitmap(reduce(DataFrame.union, [level.retained.select("a") for level in levels]))
+    return tree, counts, levels
 
 
 def _redealt(size: int, frequent, buckets: int):
     """Counts whose suffix turned out to be frequent, dealt by the whole sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = Frequent(frequent.value, frequent.value)
+        hot = frequent.value
         for batch in batches:
             for _, _, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 suffix = np.repeat(np.frombuffer(row[0], np.uint64), np.frombuffer(row[1], np.uint32))
-                context, n = np.frombuffer(row[2], np.uint64), np.frombuffer(row[3], np.int64)
+                context, n = np.frombuffer(row[2], np.uint64), np.frombuffer(row[3], np.uint32)
                 own = _buckets(np.where(hot.find(suffix)[1], _joined(context, suffix), suffix), buckets)
                 yield _dealt_runs(buckets, GRAMS_OF + size, own, suffix, context, n)
 
@@ -655,8 +862,8 @@ def _redealt(size: int, frequent, buckets: int):
 # Scores -------------------------------------------------------------------------------
 
 
-def _post(tree, buckets: int, lengths: list[int], heads: bool):
-    """Each text's sums over frequent words, its other words, and its sequences of some lengths, once each, by bucket."""
+def _post(tree, buckets: int, lengths: list[int], half: int):
+    """Each text's sums over frequent sequences of some lengths, and its others, once each, by bucket; one half of the pairs."""
 
     def posted(kind: int, hashes: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
         own = _buckets(hashes, buckets)
@@ -683,36 +890,47 @@ def _post(tree, buckets: int, lengths: list[int], heads: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tree.value
-        table = Frequent(model.keys, model.n)
         for batch in batches:
             size = batch.num_rows
             if not size:
                 continue
             ids = batch.column(1).to_numpy(zero_copy_only=False)
             doc, hashes = _sequences(batch.column(0), max(lengths))
-            if heads:
+            nothing = np.zeros(size)
+            n_tokens = n_known = nothing.astype(np.int64)
+            logc, context = nothing, nothing.copy()
+            if 1 in lengths:
                 real = hashes[0] != START
                 tokens, own = hashes[0][real], doc[real]
-                at, direct = table.find(tokens)
-                count = np.where(direct, model.n[at] if len(model.keys) else 0, 0)
-                context = np.where(direct, model.context[at] if len(model.keys) else 0.0, 0.0)
+                at, direct = model.frequent.find(tokens)
+                count, state = (
+                    np.where(direct, c[at] if len(c) else 0, 0) for c in model.frequent.columns
+                )
                 direct |= tokens == END
                 sums = lambda x: np.bincount(own, x, size)
-                yield _pack(
-                    [int(ids[0]) % buckets], HEADS, [ids.tobytes()],
-                    [np.bincount(own, minlength=size).astype(np.int64).tobytes()],
-                    [sums(count > 0).astype(np.int64).tobytes()],
-                    [np.stack((sums(np.where(direct, np.log10(count + 0.5), 0.0)), sums(context) + model.start)).tobytes()],
-                )
+                n_tokens = np.bincount(own, minlength=size).astype(np.int64)
+                n_known = sums(count > 0).astype(np.int64)
+                logc = sums(np.where(direct, np.log10(count + 0.5), 0.0))
+                context += sums(state) + model.start
                 yield posted(WORDS, tokens[~direct], own[~direct], ids)
             for length in lengths:
                 if length == 1:
                     continue
                 # Of use if the context or the whole sequence, as a context, is retained.
                 use = _inside(doc, length)
+                if length == 2:
+                    use &= _in_half(hashes[1][: len(use)], half)
                 use &= _marked(model.bitmap, hashes[length - 2][: len(use)]) | _marked(model.bitmap, hashes[length - 1][: len(use)])
                 use = np.flatnonzero(use)
+                value, direct = model.values[length].value(hashes[length - 1][use])
+                context += np.bincount(doc[use], value, size)
+                use = use[~direct]
                 yield posted(SEQUENCES, hashes[length - 1][use], doc[use], ids)
+            copies = np.full(size, int(1 in lengths))
+            yield _pack(
+                [int(ids[0]) % buckets], HEADS, [ids.tobytes()], [n_tokens.tobytes()], [n_known.tobytes()],
+                [np.stack((logc, context)).tobytes()], [copies.tobytes()],
+            )
 
     return run
 
@@ -734,7 +952,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return np.where(table[at] == keys, values[at], 0.0)
 
     for batch in batches:
-        for own, kind, a, b, c, d, _ in zip(*(column.to_pylist() for column in batch.columns)):
+        for own, kind, a, b, c, d, e in zip(*(column.to_pylist() for column in batch.columns)):
             if own != bucket:
                 bucket, pieces, tables = own, {}, {}
             if kind in (COUNTS, VALUES):
@@ -745,7 +963,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 docs = np.frombuffer(a, np.int64)
                 tokens, known = np.frombuffer(b, np.int64), np.frombuffer(c, np.int64)
                 logc, context = np.frombuffer(d, np.float64).reshape(2, -1)
-                copies = np.ones(len(docs), np.int64)
+                copies = np.frombuffer(e, np.int64)
             else:
                 keys, docs = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)
                 n = np.frombuffer(d, np.uint32).astype(np.int64)
@@ -806,21 +1024,32 @@ def score_documents(
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
         tables = _Scratch(spark)
-        tree, counts, values = fit_suffix_tree(texts.where("trained").select("text"), buckets, tables, depth)
-        shared = spark.sparkContext.broadcast(tree)
+        tree, counts, levels = fit_suffix_tree(texts.where("trained").select("text"), buckets, tables, depth)
+        share = spark.sparkContext.broadcast
+        shared, known = share(tree), [share(level.known) for level in levels]
+        apart = {length: share(table) for length, table in tree.values.items()}
         absent = [F.lit(None).cast("binary").alias(c) for c in "cde"]
         counted = counts.select("bucket", F.lit(COUNTS).alias("kind"), F.col("keys").alias("a"), F.col("n").alias("b"), *absent)
         parts = []
-        # Pairs are most of what is sent, so they go apart from the rest.
-        for lengths in ([1, *range(3, depth + 2)], [2]):
-            heads = 1 in lengths
-            own = [_of_kind(v, *[VALUES_OF + k for k in lengths]).withColumn("kind", F.lit(VALUES)) for v in values]
-            posts = texts.select("text", "key").mapInArrow(_post(shared, buckets, lengths, heads), PACKED)
-            rows = reduce(DataFrame.union, [*own, *([counted] if heads else []), posts])
-            sums = _in_buckets(rows, buckets).mapInArrow(_look_up, SUMS)
+        # Pairs are most of what is sent, triples come next.
+        for lengths, half in [([3][: depth - 1], 0), ([2, *range(4, depth + 2)], 0), ([1, 2], 1)]:
+            if not lengths:
+                continue
+            rows = [texts.select("text", "key").mapInArrow(_post(shared, buckets, lengths, half), PACKED)]
+            for level, own in zip(levels, known):
+                if level.size in lengths:
+                    rows.append(level.retained.select("bucket", "a", "b").mapInArrow(_stated, PACKED))
+                if level.size + 1 in lengths:
+                    gained = _gained(own, apart[level.size + 1], buckets, half if level.size == 1 else None)
+                    rows.append(level.weighed.mapInArrow(gained, PACKED))
+            if 1 in lengths:
+                rows.append(counted)
+            sums = _in_buckets(reduce(DataFrame.union, rows), buckets).mapInArrow(_look_up, SUMS)
             sums = sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in sums.columns[1:]])
             parts.append(written(sums, "sums"))
-        _forget([shared])
+            for name in {"weighed2", "settled2", "retained3"} & set(tables.paths) if lengths == [3] else ():
+                tables.drop(name)
+        _forget([shared, *known, *apart.values()])
         for name in list(tables.paths):
             tables.drop(name)
     # Equal rows share a key and add up alike; their number is divided out again.

@@ -519,6 +519,52 @@ def test_suffix_tree_keeps_rare_contexts(spark):
     ]
 
 
+def test_suffix_tree_with_few_broadcast(spark, monkeypatch):
+    """Contexts and sequences that are not broadcast meet their values in buckets, with equal scores."""
+    rng = np.random.default_rng(5)
+    follows = rng.integers(0, 5, (5, 5, 5))
+    texts = []
+    for _ in range(120):
+        own = list(rng.integers(0, 5, 3))
+        while len(own) < 60:
+            a, b, c = (k % 5 for k in own[-3:])
+            own.append(follows[a, b, c] if rng.random() < 0.8 else rng.integers(0, 60))
+        texts.append(tuple(f"w{k}" for k in own))
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    expected, states = tree_scores(texts, [i % 5 != 1 for i in range(120)], 3)
+    assert {len(c) for c in states} == {1, 2, 3}
+    for most in (suffix_tree.TOP, 6):
+        monkeypatch.setattr(suffix_tree, "TOP", most)
+        got = suffix_tree.score_documents(frame, "doc_id % 5 != 1").orderBy("doc_id").collect()
+        assert [r["score"] for r in got] == pytest.approx(expected)
+
+
+def test_suffix_tree_sends_no_frequent_sequences(spark):
+    """Scoring sends nothing by sequence for a text whose sequences are all frequent, however rare they are by share."""
+    import pyarrow as pa
+
+    order = [f"w{k}" for k in np.random.default_rng(6).permutation(20_000)]
+    text = " ".join(order)
+    frame = spark.createDataFrame([(text,)] * 25, "text string")
+    tables = suffix_tree._Scratch(spark)
+    tree, _, _ = suffix_tree.fit_suffix_tree(frame, 4, tables)
+    for name in list(tables.paths):
+        tables.drop(name)
+
+    class Shared:
+        value = tree
+
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([1])], ["text", "key"])
+    sent = [
+        n
+        for lengths, half in (([3], 0), ([2, 4], 0), ([1, 2], 1))
+        for part in suffix_tree._post(Shared, 4, lengths, half)(iter([batch]))
+        for n, kind in zip(part["a"].to_pylist(), part["kind"].to_pylist())
+        if kind != suffix_tree.HEADS
+    ]
+    assert sent == []
+
+
 def test_secrets_and_ledger(spark, odd, tmp_path):
     text = 'x password = "abc123DEF" AKIA' + "A1" * 9 + " " + "0af" * 10 + " token:abc secret=short1"
     spans = [(secrets.KINDS[k], text[s:e]) for k, s, e in secrets.find_secrets(text)]
