@@ -115,6 +115,18 @@ def test_unfolded_vectors_do_not_carry_their_payload(spark):
     assert [tuple(r) for r in df.groupBy("snapshot_ts").count().collect()] == [(1, 300)]
 
 
+def test_made_payloads_are_parsed_once(spark):
+    """Else a filter inferred from the unfolding repeats their making, in as many variants as they have aliases."""
+    vector = json.dumps([[*VECTOR[:17], "{}"]])
+    made = spark.range(6).selectExpr("id as e", "id % 3 as n").selectExpr(
+        "e as a", f"case n when 0 then 'null' when 1 then '[]' else replace('{vector}', '\"{{}}\"', string(e)) end as states"
+    )
+    df = landing.decode_states(made.selectExpr("concat('{\"time\":', a, ',\"states\":', states, '}') as value"), "france", now())
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField") == 1 and "size(" not in plan
+    assert sorted((r["snapshot_ts"], r["icao24"], r["category"]) for r in df.collect()) == [(2, "5c0d3e", 2), (5, "5c0d3e", 5)]
+
+
 def test_audit_counts_empty_snapshots(spark):
     payloads = [
         {"time": 1, "states": [VECTOR, changed(icao24=None)]},
